@@ -61,3 +61,81 @@ def q_unmatched(spark, sf_dir):
     idx = link.corpus_index(cs.select("key", "ord"), "ord")
     out = link.unmatched(qs, idx)
     return out.select("q_id", "question", F.array_join("answer", " ").alias("answer"))
+
+
+# ---------------------------------------------------------------------------
+# Fuzzy linkage: exact key first, else best Jaccard >= 0.9 (14 stop words)
+
+def _sims_sql(qrows: str, qid: str, qtext: str, crows: str, cid: str, ctext: str,
+              stop: str) -> str:
+    """CTEs computing exact Jaccard for every (question, corpus) pair that
+    shares a keyword, by unnest + join + count (brute force)."""
+    return f"""qkw AS (SELECT {qid} AS lid, unnest({S.keywords(qtext, stop)}) AS w FROM {qrows}),
+qsz AS (SELECT lid, count(*) AS sz FROM qkw GROUP BY lid),
+ckw AS (SELECT {cid} AS rid, unnest({S.keywords(ctext, stop)}) AS w FROM {crows}),
+csz AS (SELECT rid, count(*) AS sz FROM ckw GROUP BY rid),
+inter AS (SELECT lid, rid, count(*) AS n FROM qkw JOIN ckw USING (w) GROUP BY lid, rid),
+sims AS (SELECT lid, rid, n::DOUBLE / (qsz.sz + csz.sz - n)::DOUBLE AS sim
+         FROM inter JOIN qsz USING (lid) JOIN csz USING (rid))"""
+
+
+@register("best_match", f"""
+WITH {S.prepared('text', require_url=True)},
+idx AS (SELECT key, min(ord) AS first_ord, max(ord) AS win_ord FROM pc GROUP BY key),
+ex AS (SELECT pq2.*, idx.win_ord FROM pq2 LEFT JOIN idx USING (key)),
+resid AS (SELECT * FROM ex WHERE win_ord IS NULL),
+{_sims_sql('resid', 'q_id', 'key', 'idx', 'first_ord', 'key', '14')},
+ranked AS (SELECT lid, rid, sim, row_number() OVER (PARTITION BY lid ORDER BY sim DESC, rid) AS rn
+           FROM sims WHERE sim >= 0.9),
+fz AS (SELECT ranked.lid AS q_id, idx.win_ord, ranked.sim FROM ranked JOIN idx ON idx.first_ord = ranked.rid
+       WHERE rn = 1),
+res AS (SELECT q_id, question, win_ord, 1.0::DOUBLE AS sim FROM ex WHERE win_ord IS NOT NULL
+        UNION ALL
+        SELECT resid.q_id, resid.question, fz.win_ord, fz.sim FROM resid LEFT JOIN fz USING (q_id))
+SELECT res.q_id, res.question, pc.document_url, res.sim AS nq_similarity, pc.corpus_question AS nq_question
+FROM res LEFT JOIN pc ON pc.ord = res.win_ord
+""")
+def q_best_match(spark, sf_dir):
+    from kinship.operators.fuzzy import best_match
+
+    qs, cs = _exact_inputs(spark, sf_dir, norm="text", require_url=True)
+    out = best_match(qs, cs, 0.9, "14")
+    return out.select("q_id", "question", "document_url", "nq_similarity",
+                      F.col("corpus_question").alias("nq_question"))
+
+
+# ---------------------------------------------------------------------------
+# Candidate search: top 3 per question at Jaccard >= 0.3 (35 stop words)
+
+TOP3_SQL = f"""
+WITH {S.prepared('basic')},
+texts AS (SELECT corpus_question AS t, min(ord) AS first_ord, arg_min(document_url, ord) AS document_url
+          FROM pc GROUP BY corpus_question),
+{_sims_sql('pq2', 'q_id', 'question', 'texts', 'first_ord', 't', '35')},
+r AS (SELECT lid, rid, sim, row_number() OVER (PARTITION BY lid ORDER BY sim DESC, rid) AS rank
+      FROM sims WHERE sim >= 0.3),
+top3 AS (SELECT r.lid AS q_id, r.rank, texts.t AS nq_question, texts.document_url, r.sim AS similarity
+         FROM r JOIN texts ON texts.first_ord = r.rid WHERE r.rank <= 3)"""
+
+
+def _top3(spark, sf_dir):
+    from kinship.operators.fuzzy import top_k_candidates
+
+    qs, cs = _exact_inputs(spark, sf_dir)
+    return qs, top_k_candidates(qs, cs, 0.3, 3, "35")
+
+
+@register("top3_matches", TOP3_SQL + "\nSELECT * FROM top3")
+def q_top3(spark, sf_dir):
+    return _top3(spark, sf_dir)[1]
+
+
+@register("match_counts", TOP3_SQL + """
+SELECT count(*) FILTER (WHERE q_id IN (SELECT q_id FROM top3)) AS questions_with_matches,
+       count(*) FILTER (WHERE q_id NOT IN (SELECT q_id FROM top3)) AS questions_without_matches
+FROM pq2""")
+def q_match_counts(spark, sf_dir):
+    from kinship.operators.fuzzy import match_counts
+
+    qs, top = _top3(spark, sf_dir)
+    return match_counts(qs, top)
