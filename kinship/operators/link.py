@@ -69,16 +69,20 @@ def enrich_left(questions: DataFrame, index: DataFrame) -> DataFrame:
 
 
 def exact_merge(questions: DataFrame, corpus: DataFrame, order: str,
-                payload: Sequence[str], keep: str = "last", late: bool = True) -> DataFrame:
-    """Matched questions with the winning corpus record's ``payload``.
+                payload: Sequence[str], keep: str = "last", how: str = "inner",
+                late: bool = True) -> DataFrame:
+    """Questions joined (``how`` = inner or left) with the payload of the
+    kept corpus record of their key.
 
     ``late=True`` matches on a narrow ``(key, order)`` index and then fetches
     the wide payload only for the winners that matched (broadcast when the
     winner set is proven small), instead of shuffling every wide corpus row.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("how must be 'inner' or 'left'")
     if late:
         idx = corpus_index(corpus.select("key", order), order, keep=keep)
-        hits = exact_match(questions, idx)
+        hits = questions.join(idx, "key", how)
         return attach_payload(hits, corpus, order, payload)
     idx = corpus_index(corpus, order, payload, keep=keep)
-    return exact_match(questions, idx)
+    return questions.join(idx, "key", how)

@@ -139,3 +139,295 @@ def q_match_counts(spark, sf_dir):
 
     qs, top = _top3(spark, sf_dir)
     return match_counts(qs, top)
+
+
+# ---------------------------------------------------------------------------
+# Scalar normalisers and keyword sets
+
+def _docs(spark, sf_dir):
+    return T.documents(spark, sf_dir)
+
+
+def _norm_query(kind):
+    from kinship.functions.text import normalizer
+
+    def fn(spark, sf_dir):
+        return _docs(spark, sf_dir).select("doc_id", normalizer(kind)(F.col("text")).alias("key"))
+    return fn
+
+
+for _kind, _name in (("basic", "norm_basic"), ("question", "norm_question"), ("text", "norm_text")):
+    register(_name, f"SELECT doc_id, {S.NORM[_kind]('text')} AS key FROM documents")(_norm_query(_kind))
+
+
+def _kw_query(stop):
+    from kinship.functions.text import keywords, sorted_joined
+
+    def fn(spark, sf_dir):
+        c = T.table(spark, sf_dir, "conversations")
+        kw = keywords(F.col("text"), stop)
+        return c.select("conv_id", "turn", sorted_joined(kw).alias("keywords"),
+                        F.size(kw).cast("bigint").alias("n_keywords"))
+    return fn
+
+
+for _stop in ("14", "35"):
+    register(f"keywords_{_stop}", f"""
+SELECT conv_id, turn, {S.sorted_joined(S.keywords('text', _stop))} AS keywords,
+       len({S.keywords('text', _stop)}) AS n_keywords
+FROM conversations""")(_kw_query(_stop))
+
+
+@register("nonempty_filter", f"""
+SELECT doc_id, {S.strip_ws("coalesce(text, '')")} AS question FROM documents
+WHERE {S.strip_ws("coalesce(text, '')")} <> '' AND coalesce(source, '') <> ''
+""")
+def q_nonempty(spark, sf_dir):
+    d = _docs(spark, sf_dir).withColumnRenamed("text", "question_text").withColumnRenamed("source", "document_url")
+    out = link.prepare_corpus(d, normalizer="basic", url_col="document_url", require_url=True)
+    return out.select("doc_id", F.col("corpus_question").alias("question"))
+
+
+@register("jaccard_pairs", f"""
+WITH k AS (SELECT doc_id, {S.keywords('text', '14')} AS kw FROM documents),
+p AS (SELECT a.doc_id AS pair_id, a.kw AS kw1, b.kw AS kw2, list_intersect(a.kw, b.kw) AS c
+      FROM k a JOIN k b ON b.doc_id = a.doc_id + 1)
+SELECT pair_id, len(kw1) AS n_kw1, len(kw2) AS n_kw2, len(c) AS n_common,
+       len(kw1) + len(kw2) - len(c) AS n_union, {S.sorted_joined('c')} AS common,
+       CASE WHEN len(kw1) = 0 OR len(kw2) = 0 THEN 0.0::DOUBLE
+            ELSE len(c)::DOUBLE / (len(kw1) + len(kw2) - len(c))::DOUBLE END AS similarity
+FROM p""")
+def q_jaccard_pairs(spark, sf_dir):
+    from kinship.functions.sets import explain_pair
+    from kinship.functions.text import keywords
+
+    k = _docs(spark, sf_dir).select("doc_id", keywords(F.col("text"), "14").alias("kw"))
+    a = k.select(F.col("doc_id").alias("pair_id"), F.col("kw").alias("kw1"))
+    b = k.select((F.col("doc_id") - 1).alias("pair_id"), F.col("kw").alias("kw2"))
+    return a.join(b, "pair_id").select("pair_id", *explain_pair("kw1", "kw2"))
+
+
+# ---------------------------------------------------------------------------
+# Keyed index (first / last record per key)
+
+def _index_query(keep):
+    def fn(spark, sf_dir):
+        _, cs = _exact_inputs(spark, sf_dir)
+        idx = link.corpus_index(cs, "ord", ["example_id", "document_url"], keep=keep)
+        return idx.select("key", "example_id", "document_url", "first_ord", "n_records")
+    return fn
+
+
+for _keep, _dir in (("last", "DESC"), ("first", "ASC")):
+    register(f"index_{_keep}", f"""
+WITH {S.prepared('basic')},
+r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ord {_dir}) AS rn,
+             min(ord) OVER (PARTITION BY key) AS first_ord, count(*) OVER (PARTITION BY key) AS n_records
+      FROM pc)
+SELECT key, example_id, document_url, first_ord, n_records FROM r WHERE rn = 1""")(_index_query(_keep))
+
+
+# ---------------------------------------------------------------------------
+# Unmatched with reason; left enrichment by the question key
+
+@register("unmatched_reason", f"""
+WITH {S.prepared('basic')}
+SELECT q_id, question, array_to_string(answer, ' ') AS answer, 'No match found' AS error
+FROM pq2 WHERE key NOT IN (SELECT key FROM pc)
+""")
+def q_unmatched_reason(spark, sf_dir):
+    qs, cs = _exact_inputs(spark, sf_dir)
+    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    out = link.with_reason(link.unmatched(qs, idx))
+    return out.select("q_id", "question", F.array_join("answer", " ").alias("answer"), "error")
+
+
+@register("enrich_left", f"""
+WITH {S.prepared('question')},
+idx AS (SELECT key, max(ord) AS win_ord FROM pc GROUP BY key)
+SELECT pq2.q_id, pq2.question, c.document_url, c.document_title, c.corpus_question AS nq_original_question
+FROM pq2 LEFT JOIN idx USING (key) LEFT JOIN pc c ON c.ord = idx.win_ord
+""")
+def q_enrich_left(spark, sf_dir):
+    qs, cs = _exact_inputs(spark, sf_dir, norm="question")
+    out = link.exact_merge(qs, cs, "ord", ["document_url", "document_title", "corpus_question"], how="left")
+    return out.select("q_id", "question", "document_url", "document_title",
+                      F.col("corpus_question").alias("nq_original_question"))
+
+
+@register("unmatched_text_sorted", f"""
+WITH {S.prepared('question')}
+SELECT DISTINCT question FROM pq2 WHERE key NOT IN (SELECT key FROM pc)
+""")
+def q_unmatched_text_sorted(spark, sf_dir):
+    qs, cs = _exact_inputs(spark, sf_dir, norm="question")
+    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    return link.unmatched(qs, idx).select("question").distinct().orderBy("question")
+
+
+# ---------------------------------------------------------------------------
+# Keyword index statistics (candidate-search corpus, 35 stop words)
+
+KW_INDEX_SQL = f"""
+WITH {S.prepared('basic')},
+e AS (SELECT ord, unnest({S.keywords('corpus_question', '35')}) AS w FROM pc)"""
+
+
+@register("keyword_index_stats", KW_INDEX_SQL + """
+SELECT (SELECT count(*) FROM pc) AS n_questions, count(DISTINCT w) AS n_keywords, count(*) AS n_postings FROM e""")
+def q_keyword_index_stats(spark, sf_dir):
+    from kinship.operators.report import keyword_index_stats
+
+    _, cs = _exact_inputs(spark, sf_dir)
+    return keyword_index_stats(cs, "corpus_question", "35")
+
+
+@register("keyword_postings", KW_INDEX_SQL + """
+SELECT w AS keyword, count(*) AS n_questions FROM e GROUP BY w""")
+def q_keyword_postings(spark, sf_dir):
+    from kinship.operators.report import keyword_postings
+
+    _, cs = _exact_inputs(spark, sf_dir)
+    return keyword_postings(cs, "corpus_question", "35")
+
+
+# ---------------------------------------------------------------------------
+# Match report per dataset (lang) and totals
+
+REPORT_SQL = f"""
+WITH {S.prepared('basic')},
+m AS (SELECT dataset, key IN (SELECT key FROM pc) AS hit FROM pq2),
+agg AS (SELECT dataset, count(*) AS processed, count(*) FILTER (WHERE hit) AS matched,
+               count(*) FILTER (WHERE NOT hit) AS unmatched FROM m GROUP BY ALL)"""
+
+RATE_SQL = "CASE WHEN processed = 0 THEN NULL ELSE matched::DOUBLE / processed::DOUBLE * 100.0 END AS match_rate"
+
+
+@register("match_report", REPORT_SQL + f"\nSELECT dataset, processed, matched, unmatched, {RATE_SQL} FROM agg")
+def q_match_report(spark, sf_dir):
+    from kinship.operators.report import match_report
+
+    qs, cs = _exact_inputs(spark, sf_dir)
+    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    return match_report(qs, idx, by="dataset")
+
+
+@register("match_report_total", f"""
+WITH {S.prepared('basic')},
+m AS (SELECT key IN (SELECT key FROM pc) AS hit FROM pq2),
+agg AS (SELECT count(*) AS processed, count(*) FILTER (WHERE hit) AS matched,
+               count(*) FILTER (WHERE NOT hit) AS unmatched FROM m)
+SELECT (SELECT count(*) FROM corpus) AS corpus_records, (SELECT count(*) FROM pc) AS corpus_nonempty,
+       (SELECT count(DISTINCT key) FROM pc) AS corpus_keys, processed, matched, unmatched, {RATE_SQL}
+FROM agg""")
+def q_match_report_total(spark, sf_dir):
+    from kinship.operators.report import corpus_counters, match_report
+
+    qs, cs = _exact_inputs(spark, sf_dir)
+    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    totals = match_report(qs, idx, by=None)
+    counters = corpus_counters(T.corpus(spark, sf_dir), cs)
+    return counters.crossJoin(totals)
+
+
+# ---------------------------------------------------------------------------
+# Dataset selection, ordered samples
+
+@register("dataset_select", """
+SELECT doc_id AS q_id, lang AS dataset FROM documents WHERE doc_id % 2 = 0 AND lang IN ('en', 'de')""")
+def q_dataset_select(spark, sf_dir):
+    from kinship.sources.jsonl import select_datasets
+
+    return select_datasets(T.questions(spark, sf_dir), ["en", "de"]).select("q_id", "dataset")
+
+
+@register("examples_first5", f"""
+WITH {S.prepared('basic')},
+idx AS (SELECT key, max(ord) AS win_ord FROM pc GROUP BY key)
+SELECT pq2.q_id, pq2.question, c.question_text AS nq_question, c.document_url
+FROM pq2 JOIN idx USING (key) JOIN corpus c ON c.ord = idx.win_ord
+ORDER BY pq2.ord LIMIT 5""")
+def q_examples_first5(spark, sf_dir):
+    from kinship.operators.report import first_n
+
+    qs, cs = _exact_inputs(spark, sf_dir)
+    m = link.exact_merge(qs, cs, "ord", ["question_text", "document_url"])
+    return first_n(m, "ord", 5).select("q_id", "question", F.col("question_text").alias("nq_question"),
+                                      "document_url")
+
+
+@register("normalization_samples", f"""
+WITH {S.prepared('question')}
+SELECT example_id, corpus_question AS original_question, key FROM pc ORDER BY ord LIMIT 5""")
+def q_normalization_samples(spark, sf_dir):
+    from kinship.operators.report import first_n
+
+    _, cs = _exact_inputs(spark, sf_dir, norm="question")
+    return first_n(cs, "ord", 5).select("example_id", F.col("corpus_question").alias("original_question"), "key")
+
+
+# ---------------------------------------------------------------------------
+# Corpus preparation over pages
+
+@register("simplify_pages", f"""
+SELECT page_id AS example_id, url AS document_url, {S.simplified_text('html')} AS document_text,
+       len({S.tokens('html')}) AS n_tokens,
+       CASE WHEN len(string_split({S.simplified_text('html')}, ' ')) <> len({S.tokens('html')})
+            THEN 'Incorrect number of tokens.' END AS error
+FROM pages""")
+def q_simplify_pages(spark, sf_dir):
+    from kinship.operators.prepare import simplify
+
+    raw = T.raw_pages(spark, sf_dir).withColumn("n_tokens", F.size("document_tokens").cast("bigint"))
+    s = simplify(raw.drop("n_tokens")).join(raw.select("example_id", "n_tokens"), "example_id")
+    return s.select("example_id", "document_url", "document_text", "n_tokens", "error")
+
+
+@register("span_text", f"""
+WITH {S.element_spans()},
+doc AS (SELECT page_id, string_split({S.simplified_text('html')}, ' ') AS toks FROM pages)
+SELECT s.page_id AS example_id, (row_number() OVER (PARTITION BY s.page_id ORDER BY s.elem) - 1)::BIGINT AS span_no, s.start_token::BIGINT AS start_token,
+       (s.start_token + s.n_tok)::BIGINT AS end_token,
+       array_to_string(list_slice(doc.toks, s.start_token + 1, s.start_token + s.n_tok), ' ') AS text
+FROM spans s JOIN doc USING (page_id)
+UNION ALL
+SELECT page_id, -1, -1, -1, NULL FROM pages""")
+def q_span_text(spark, sf_dir):
+    from kinship.operators.prepare import simplify, span_text
+
+    s = simplify(T.raw_pages(spark, sf_dir))
+    a1 = s.select("example_id", "document_text", F.posexplode(F.col("annotations")[0]["short_answers"])
+                  .alias("span_no", "sp"))
+    a1 = a1.select("example_id", F.col("span_no").cast("bigint").alias("span_no"),
+                   F.col("sp.start_token").cast("bigint").alias("start_token"),
+                   F.col("sp.end_token").cast("bigint").alias("end_token"),
+                   span_text("document_text", F.col("sp.start_token"), F.col("sp.end_token")).alias("text"))
+    la = F.col("annotations")[1]["long_answer"]
+    a2 = s.select("example_id", F.lit(-1).cast("bigint").alias("span_no"),
+                  la["start_token"].cast("bigint").alias("start_token"),
+                  la["end_token"].cast("bigint").alias("end_token"),
+                  span_text("document_text", la["start_token"], la["end_token"]).alias("text"))
+    return a1.unionByName(a2)
+
+
+SHORT_SQL = f"""
+WITH {S.element_spans()},
+txt AS (SELECT page_id, url, {S.decode_native(S.strip_tags('substring(html, o, e - o)'))} AS t
+        FROM spans WHERE n_tok <= 5)
+SELECT page_id AS example_id, url AS question, array_to_string(list_sort(list_distinct(list(t))), ' | ') AS answer
+FROM txt GROUP BY page_id, url"""
+
+
+@register("short_answers", SHORT_SQL)
+def q_short_answers(spark, sf_dir):
+    from kinship.operators.prepare import short_answers
+
+    qa = short_answers(T.raw_pages(spark, sf_dir), max_tokens=5)
+    return qa.select("example_id", "question", F.array_join("answer", " | ").alias("answer"))
+
+
+@register("shuffle_seeded", SHORT_SQL)
+def q_shuffle_seeded(spark, sf_dir):
+    from kinship.operators.prepare import shuffle_rows
+
+    return shuffle_rows(q_short_answers(spark, sf_dir), seed=42)

@@ -84,3 +84,50 @@ pq AS (SELECT * REPLACE ({strip_ws("coalesce(question, '')")} AS question) FROM
 pq2 AS (SELECT *, {f('question')} AS key FROM pq),
 pc0 AS (SELECT *, {strip_ws("coalesce(question_text, '')")} AS corpus_question FROM corpus),
 pc AS (SELECT *, {f('corpus_question')} AS key FROM pc0 WHERE corpus_question <> ''{url})"""
+
+
+def strip_tags(x: str) -> str:
+    from kinship.functions.html import STRIP_PATTERNS
+
+    for p in STRIP_PATTERNS:
+        x = f"regexp_replace({x}, {q(p)}, '', 'g')"
+    return x
+
+
+def decode_native(x: str) -> str:
+    from kinship.functions.html import ENTITIES
+
+    for ent, ch in ENTITIES:
+        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    return x
+
+
+def tokens(x: str) -> str:
+    from kinship.sources.driver_tables import TOKEN_PATTERN
+
+    return f"regexp_extract_all({x}, {q(TOKEN_PATTERN)})"
+
+
+def simplified_text(x: str) -> str:
+    return f"array_to_string(list_transform({tokens(x)}, lambda t: replace(t, ' ', '_')), ' ')"
+
+
+def element_spans() -> str:
+    """CTE ``spans``: per page and answer element, char positions and token
+    offsets of the first such element (mirrors driver_tables.raw_pages)."""
+    from kinship.sources.driver_tables import ANSWER_ELEMENTS
+
+    parts = []
+    for i, (name, o, c) in enumerate(ANSWER_ELEMENTS):
+        parts.append(f"""SELECT page_id, url, html, {i} AS elem,
+         instr(html, {q(o)}) AS o, instr(substring(html, instr(html, {q(o)}), 1073741824), {q(c)}) AS crel,
+         {len(c)} AS clen
+  FROM pages""")
+    body = "\n  UNION ALL\n  ".join(parts)
+    return f"""raw_spans AS (
+  {body}),
+spans AS (
+  SELECT page_id, url, html, elem, o, o + crel - 1 + clen AS e,
+         len({tokens('substring(html, 1, o - 1)')}) AS start_token,
+         len({tokens('substring(html, o, crel - 1 + clen)')}) AS n_tok
+  FROM raw_spans WHERE o > 0 AND crel > 0)"""

@@ -53,3 +53,67 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("lang").alias("document_title"),
         F.col("text").alias("document_text"),
     )
+
+
+# Elements of a page that stand in for annotated short answers:
+# (name, opening text, closing text).
+ANSWER_ELEMENTS = (("title", "<title>", "</title>"), ("h1", "<h1>", "</h1>"), ("a", "<a ", "</a>"))
+
+
+def _element_span(html: Column, open_text: str, close_text: str) -> Column:
+    """Struct span (token and UTF-8 byte offsets) of the first element that
+    starts with ``open_text`` and ends with ``close_text``; null if none."""
+    open_pos = F.instr(html, open_text)                        # 1-based char, 0 = none
+    rest = F.substring(html, open_pos, F.lit(1 << 30))
+    close_rel = F.instr(rest, close_text)
+    end_pos = open_pos + close_rel - F.lit(1) + F.lit(len(close_text))   # 1-based, exclusive
+    before = F.substring(html, F.lit(1), open_pos - F.lit(1))
+    inner = F.substring(html, open_pos, end_pos - open_pos)
+    start_tok = F.size(F.regexp_extract_all(before, F.lit(TOKEN_PATTERN), 0))
+    n_tok = F.size(F.regexp_extract_all(inner, F.lit(TOKEN_PATTERN), 0))
+    span = F.struct(
+        start_tok.alias("start_token"),
+        (start_tok + n_tok).alias("end_token"),
+        F.octet_length(before).alias("start_byte"),
+        (F.octet_length(before) + F.octet_length(inner)).alias("end_byte"),
+    )
+    return F.when((open_pos > 0) & (close_rel > 0), span)
+
+
+def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` as raw annotated records.
+
+    Tokens are the tags and blank-free words of the HTML. Annotation 1 has
+    the whole page as long answer and the first ``title``, ``h1`` and ``a``
+    elements as short answers; annotation 2 has a null long answer (-1) and
+    the ``h1`` element again.
+    """
+    p = table(spark, sf_dir, "pages")
+    html = F.col("html")
+    toks = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
+    spans = {n: _element_span(html, o, c) for n, o, c in ANSWER_ELEMENTS}
+    null_span = F.struct(*[F.lit(-1).alias(n) for n in ("start_token", "end_token", "start_byte", "end_byte")])
+    whole = F.struct(F.lit(0).alias("start_token"), F.size(toks).alias("end_token"),
+                     F.lit(0).alias("start_byte"), F.octet_length(html).alias("end_byte"))
+
+    def present(*cols):
+        return F.filter(F.array(*cols), lambda s: s.isNotNull())
+
+    ann1 = F.struct(whole.alias("long_answer"),
+                    present(*spans.values()).alias("short_answers"),
+                    F.lit("NONE").alias("yes_no_answer"))
+    ann2 = F.struct(null_span.alias("long_answer"),
+                    present(spans["h1"]).alias("short_answers"),
+                    F.lit("NONE").alias("yes_no_answer"))
+    cand = F.struct(*[whole[n].alias(n) for n in ("start_token", "end_token", "start_byte", "end_byte")],
+                    F.lit(True).alias("top_level"))
+    return p.select(
+        F.col("page_id").alias("example_id"),
+        F.col("url").alias("question_text"),
+        F.col("url").alias("document_url"),
+        F.lit(None).cast("string").alias("document_title"),
+        html.alias("document_html"),
+        F.transform(toks, lambda t: F.struct(t.alias("token"))).alias("document_tokens"),
+        F.array(cand).alias("long_answer_candidates"),
+        F.array(ann1, ann2).alias("annotations"),
+    )
