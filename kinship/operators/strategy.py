@@ -38,6 +38,18 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(side, on, how)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
+    partitions than that (one unsplittable gzip file, one parquet row group),
+    so per-row text work runs in parallel. A large scan that already has
+    enough splits is returned unchanged -- no extra shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder of the session."""
     checkpoint_dir(df.sparkSession)

@@ -58,6 +58,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver parquet table."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+    """One driver parquet table; spread over all cores when the file has
+    fewer splits than cores (see ``operators.strategy.spread``)."""
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        from kinship.operators.strategy import spread as _spread
+
+        df = _spread(df)
+    return df
