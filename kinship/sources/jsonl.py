@@ -50,8 +50,9 @@ def read_jsonl(spark: SparkSession, paths, schema: StructType, path_glob: str |
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     out = lines.withColumn("_p", parsed)
     is_obj = F.ltrim(F.col("value")).startswith("{")
-    err = (F.when(~is_obj, F.lit(ERR_NOT_OBJECT))
-           .when(F.col("_p").isNull() | F.col("_p._corrupt_record").isNotNull(), F.lit(ERR_BAD_JSON)))
+    bad = F.col("_p").isNull() | F.col("_p._corrupt_record").isNotNull()
+    err = F.when(is_obj & bad, F.lit(ERR_BAD_JSON)).when(~is_obj, F.when(
+        F.ltrim(F.col("value")).startswith("["), F.lit(ERR_NOT_OBJECT)).otherwise(F.lit(ERR_BAD_JSON)))
     return out.select(
         *[F.col("_p")[f.name].alias(f.name) for f in schema.fields],
         F.when(err.isNotNull(), F.col("value")).alias("_corrupt_record"),
