@@ -54,8 +54,9 @@ def attach_payload(rows: DataFrame, records: DataFrame, order: str, payload: Seq
     Only the winners needed by ``rows`` are read from ``records``; when that
     set is proven small it is broadcast and the wide table is never shuffled.
     """
-    from kinship.operators.strategy import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+    from kinship.operators.strategy import DEFAULT_BROADCAST_ROWS, bounded_broadcast, reuse
 
+    rows = reuse(rows)      # read twice: winner ids, then the final join
     need = rows.select(win_col).where(F.col(win_col).isNotNull()).distinct()
     need, _ = bounded_broadcast(need, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
     wide = records.select(F.col(order).alias(win_col), *payload).join(need, win_col, "left_semi")

@@ -38,6 +38,13 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(side, on, how)
 
 
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a DataFrame that several branches of one plan read (memory,
+    spilling to disk), so it is computed once. A lost block is recomputed
+    from lineage, so this is safe when executors are lost."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin ``df`` over the cluster's cores when it arrives in fewer
     partitions than that (one unsplittable gzip file, one parquet row group),

@@ -58,12 +58,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def _row_groups(path: str) -> int | None:
+    """Row groups of a local parquet file (its real split count), if readable."""
+    try:
+        import pyarrow.parquet as pq
+
+        return pq.ParquetFile(path).metadata.num_row_groups
+    except Exception:
+        return None
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """One driver parquet table; spread over all cores when the file has
-    fewer splits than cores (see ``operators.strategy.spread``)."""
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One driver parquet table, spread over all cores when it has fewer
+    row groups than cores.
+
+    Spark plans byte-range splits of a file, but only splits holding a row
+    group's start read rows, so a one-row-group file runs in one task however
+    many splits it shows. The footer gives the real count; a large multi-file
+    table is never reshuffled.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
     if spread:
-        from kinship.operators.strategy import spread as _spread
+        cores = spark.sparkContext.defaultParallelism
+        groups = _row_groups(path)
+        if groups is not None and groups < cores:
+            df = df.repartition(cores)
+        elif groups is None:
+            from kinship.operators.strategy import spread as _spread
 
-        df = _spread(df)
+            df = _spread(df)
     return df
