@@ -10,7 +10,7 @@ recomputed from lineage, so losing an executor does not fail the job.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinship.session import checkpoint_dir
@@ -57,6 +57,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df
 
 
+def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, spread_by: str,
+                    salts: int = 32, rank_col: str = "rank") -> DataFrame:
+    """The first ``k`` rows of each ``group`` by ``order`` (with ``rank_col``
+    1..k), skew-safe: rows are first cut to ``k`` per
+    ``(group, hash(spread_by) mod salts)``, so one group holding a third of
+    all rows is ranked by many tasks, and the final ranking sees at most
+    ``k * salts`` rows per group.
+    """
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(F.col(spread_by)), F.lit(salts)))
+    w1 = Window.partitionBy(group, "_salt").orderBy(*order)
+    part = salted.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= k).drop("_r", "_salt")
+    w2 = Window.partitionBy(group).orderBy(*order)
+    return part.withColumn(rank_col, F.row_number().over(w2)).where(F.col(rank_col) <= k)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder of the session."""
     checkpoint_dir(df.sparkSession)
