@@ -16,6 +16,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
+    # a selective join side prunes the large side's scan before its shuffle
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
 }
 
 
