@@ -53,6 +53,10 @@ STOP_WORDS_35 = (
 
 STOP_LISTS = {"14": STOP_WORDS_14, "35": STOP_WORDS_35, "none": ()}
 
+# A word of the keyword rule is a maximal run of characters that are neither
+# keyword punctuation nor whitespace, so one regex split finds them all.
+WORD_SEPARATORS = "[" + PUNCT_CLASS[1:-1] + WS_CLASS[1:-1] + "]+"
+
 _LEAD_WS = f"^{WS_CLASS}+"
 _TRAIL_WS = f"{WS_CLASS}+$"
 _ANY_WS = f"{WS_CLASS}+"
@@ -117,9 +121,11 @@ def keywords(c, stop_words="14", normalized: bool = False) -> Column:
     element order is not meaningful.
     """
     words = STOP_LISTS[stop_words] if isinstance(stop_words, str) else tuple(stop_words)
-    text = _col(c) if normalized else normalize_text(c)
     drop = F.array(*[F.lit(w) for w in ("",) + tuple(words)])
-    return F.array_except(F.split(text, " "), drop)
+    if normalized:      # already single-blank separated
+        return F.array_except(F.split(_col(c), " "), drop)
+    # same words as splitting normalize_text(c) on blanks, in one regex pass
+    return F.array_except(F.split(F.lower(_col(c)), WORD_SEPARATORS), drop)
 
 
 def sorted_joined(arr, sep: str = " ") -> Column:
