@@ -23,7 +23,7 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     """Return ``(df, True)`` wrapped in a broadcast hint if it has at most
     ``max_rows`` rows, else ``(df, False)`` unchanged.
     """
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = reuse(df)
     n = df.count()
     if n <= max_rows:
         return F.broadcast(df), True
@@ -38,11 +38,23 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     return big.join(side, on, how)
 
 
+_PERSISTED: list[DataFrame] = []
+
+
 def reuse(df: DataFrame) -> DataFrame:
     """Keep a DataFrame that several branches of one plan read (memory,
     spilling to disk), so it is computed once. A lost block is recomputed
-    from lineage, so this is safe when executors are lost."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    from lineage, so this is safe when executors are lost. ``release()``
+    frees everything kept this way."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(df)
+    return df
+
+
+def release() -> None:
+    """Unpersist every DataFrame kept by ``reuse`` / ``bounded_broadcast``."""
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -18,6 +18,7 @@ from kinship.functions.text import keywords, sorted_joined
 from kinship.operators import link
 from kinship.operators.fuzzy import match_counts, top_k_candidates
 from kinship.operators.report import keyword_index_stats, keyword_postings
+from kinship.operators.strategy import cut_lineage, release
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.jsonl import first_files, first_records
 from kinship.sources.sinks import write_jsonl
@@ -33,7 +34,7 @@ def build(spark: SparkSession, corpus_paths: Sequence[str], question_paths, thre
         questions = first_records(questions, num_questions)
     cs = link.prepare_corpus(corpus)
     qs = link.prepare_questions(questions)
-    top = top_k_candidates(qs, cs, threshold, k, stop_words)
+    top = cut_lineage(top_k_candidates(qs, cs, threshold, k, stop_words))
     with_q = top.join(qs.select("q_id", F.col("question").alias("target")), "q_id")
     no_match = (qs.join(top.select("q_id"), "q_id", "left_anti")
                 .select("q_id", "question", sorted_joined(keywords("question", stop_words)).alias("keywords")))
@@ -52,4 +53,5 @@ def run(spark: SparkSession, corpus_paths, question_paths, out_dir: str, **kw) -
     outs = build(spark, corpus_paths, question_paths, **kw)
     for name, df in outs.items():
         write_jsonl(df.drop("q_id") if name == "candidates" else df, os.path.join(out_dir, name))
+    release()
     return outs

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators import link
-from kinship.operators.report import corpus_counters, match_report
+from kinship.operators.report import corpus_counters
+from kinship.operators.strategy import cut_lineage, release
 from kinship.plans.common import first_per_dataset, read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl
 
@@ -47,13 +48,20 @@ def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequenc
     qs = link.prepare_questions(questions, normalizer=normalizer)
     payload = ["document_text", "document_url", "annotations", "long_answer_candidates", "example_id",
                "question_text"]
-    matched = link.exact_merge(qs, cs, "ord", payload, keep=keep)
-    idx = link.corpus_index(cs.select("key", "ord"), "ord", keep=keep)
-    unmatched = link.unmatched(qs, idx).select(
+    # one left join feeds matched, unmatched and the report; checkpointed
+    # once into the shared folder instead of recomputed per output
+    linked = cut_lineage(link.exact_merge(qs, cs, "ord", payload, keep=keep, how="left"))
+    hit = F.col("win_ord").isNotNull()
+    matched = linked.where(hit)
+    unmatched = linked.where(~hit).select(
         "dataset", "ord", "question", F.coalesce("answer", F.array().cast("array<string>")).alias("answer"))
     if with_error:
         unmatched = link.with_reason(unmatched)
-    report = match_report(qs, idx, by="dataset")
+    report = (linked.groupBy("dataset")
+              .agg(F.count(F.lit(1)).alias("processed"), F.count_if(hit).alias("matched"))
+              .withColumn("unmatched", F.col("processed") - F.col("matched"))
+              .withColumn("match_rate", F.when(F.col("processed") > 0,
+                                               F.col("matched") / F.col("processed") * F.lit(100.0))))
     examples = first_per_dataset(matched.select("dataset", "ord", "question",
                                                 F.col("question_text").alias("nq_question")))
     return {
@@ -76,4 +84,5 @@ def run(spark: SparkSession, corpus_paths, question_sets, out_dir: str, **kw) ->
             "ignoreNullFields", "false").json(os.path.join(out_dir, name))
     for name in ("report", "corpus_stats", "examples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
+    release()
     return outs

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from kinship.operators import link
 from kinship.operators.fuzzy import best_match
+from kinship.operators.strategy import cut_lineage, release
 from kinship.plans.common import first_per_dataset, read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl
 
@@ -33,7 +34,9 @@ def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequenc
     questions, q_bad = read_questions(spark, question_sets)
     cs = link.prepare_corpus(corpus, normalizer="text", url_col="document_url", require_url=True)
     qs = link.prepare_questions(questions, normalizer="text")
-    res = best_match(qs, cs, threshold, stop_words)
+    # several outputs read the linked rows: compute them once, keep them in
+    # the shared checkpoint folder (survives executor loss, short lineage)
+    res = cut_lineage(best_match(qs, cs, threshold, stop_words))
     res = res.withColumnRenamed("corpus_question", "nq_question")
     hit = F.col("nq_similarity").isNotNull()
     enriched = res.select("dataset", "ord", "question", "answer", "document_url", "nq_similarity", "nq_question")
@@ -62,4 +65,5 @@ def run(spark: SparkSession, corpus_paths, question_sets, out_dir: str, **kw) ->
         outs[name].drop("ord").write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, name))
     for name in ("report", "examples", "corpus_keys", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
+    release()
     return outs

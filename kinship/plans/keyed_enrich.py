@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators import link
+from kinship.operators.strategy import cut_lineage, release
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl, write_sorted_lines
 
@@ -46,7 +47,7 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     payload = list(STORED) + ["nq_original_question"]
     # the payload overwrites same-named question fields on matched rows
     qs_clean = qs.drop(*[c for c in STORED if c in qs.columns])
-    enriched = link.exact_merge(qs_clean, cs, "ord", payload, keep="last", how="left")
+    enriched = cut_lineage(link.exact_merge(qs_clean, cs, "ord", payload, keep="last", how="left"))
     hit = F.col("win_ord").isNotNull()
     matched_q = enriched.where(hit).select("dataset", "question").distinct()
     unmatched_q = enriched.where(~hit).select("dataset", "question").distinct()
@@ -83,4 +84,5 @@ def run(spark: SparkSession, corpus_dirs, question_sets, out_dir: str, **kw) ->
                            os.path.join(out_dir, "unmatched", ds))
     for name in ("counts", "per_file", "stored_samples", "normalization_samples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
+    release()
     return outs
