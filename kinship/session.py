@@ -77,7 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     Spark plans byte-range splits of a file, but only splits holding a row
     group's start read rows, so a one-row-group file runs in one task however
     many splits it shows. The footer gives the real count; a large multi-file
-    table is never reshuffled.
+    table is never reshuffled (nor cached).
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
@@ -85,7 +85,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
         cores = spark.sparkContext.defaultParallelism
         groups = _row_groups(path)
         if groups is not None and groups < cores:
-            df = df.repartition(cores)
+            # small file (fewer row groups than cores): spread it once and keep
+            # the spread copy for every branch that reads it
+            from kinship.operators.strategy import reuse
+
+            df = reuse(df.repartition(cores))
         elif groups is None:
             from kinship.operators.strategy import spread as _spread
 
