@@ -18,6 +18,11 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # a selective join side prunes the large side's scan before its shuffle
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    # broadcast only on measured sizes: no static broadcast from file-size
+    # estimates; AQE converts a join to broadcast when a finished shuffle
+    # stage is small, and bounded_broadcast() counts rows first
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 
