@@ -164,7 +164,7 @@ def _kw_query(stop):
     from kinship.functions.text import keywords, sorted_joined
 
     def fn(spark, sf_dir):
-        c = T.table(spark, sf_dir, "conversations")
+        c = T.table(spark, sf_dir, "conversations", columns=["conv_id", "turn", "text"])
         kw = keywords(F.col("text"), stop)
         return c.select("conv_id", "turn", sorted_joined(kw).alias("keywords"),
                         F.size(kw).cast("bigint").alias("n_keywords"))

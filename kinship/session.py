@@ -75,7 +75,8 @@ def _row_groups(path: str) -> int | None:
         return None
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
+          columns: list[str] | None = None) -> DataFrame:
     """One driver parquet table, spread over all cores when it has fewer
     row groups than cores.
 
@@ -86,6 +87,8 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
     """
     path = os.path.join(sf_dir, f"{name}.parquet")
     df = spark.read.parquet(path)
+    if columns:     # project before any spread/cache so the scan reads only these
+        df = df.select(*columns)
     if spread:
         cores = spark.sparkContext.defaultParallelism
         groups = _row_groups(path)

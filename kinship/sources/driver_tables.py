@@ -24,8 +24,12 @@ from kinship.session import table
 TOKEN_PATTERN = r"<[^>]*>|[^<\t\n\x0B\f\r ]+"
 
 
+# columns of ``documents`` any stand-in reads (``n_chars`` is never read)
+DOC_COLUMNS = ["doc_id", "text", "lang", "source"]
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return table(spark, sf_dir, "documents", columns=DOC_COLUMNS)
 
 
 def is_question_row() -> Column:
@@ -88,7 +92,7 @@ def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     elements as short answers; annotation 2 has a null long answer (-1) and
     the ``h1`` element again.
     """
-    p = table(spark, sf_dir, "pages")
+    p = table(spark, sf_dir, "pages", columns=["page_id", "url", "html"])
     html = F.col("html")
     toks = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
     spans = {n: _element_span(html, o, c) for n, o, c in ANSWER_ELEMENTS}
