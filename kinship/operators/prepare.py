@@ -77,7 +77,9 @@ def simplify(df: DataFrame) -> DataFrame:
     null_tok = F.exists(toks, lambda t: t["token"].isNull())
     error = (F.when(toks.isNull() | null_tok, F.lit(ERR_NULL_TOKEN))
              .when(F.size(nq_tokens(text)) != F.size(toks), F.lit(ERR_EMPTY_TOKENS)))
+    keep = [c for c in ("_source",) if c in df.columns]
     return df.select(
+        *keep,
         "question_text",
         "example_id",
         "document_url",

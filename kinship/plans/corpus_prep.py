@@ -25,11 +25,11 @@ def simplify_records(spark: SparkSession, paths, strict: bool = True) -> tuple[D
     to ``rejected`` with a reason."""
     if strict:
         raw = read_jsonl_strict(spark, paths, RAW_RECORD, REQUIRED)
-        s = simplify(raw)
+        s = simplify(raw.withColumn("_source", F.col("_metadata.file_name")))
         s = s.where(F.assert_true(F.col("error").isNull(), F.col("error")).isNull())
         return s.drop("error"), spark.createDataFrame([], "error string")
     good, bad = split_valid(read_jsonl(spark, paths, RAW_RECORD))
-    s = simplify(good)
+    s = simplify(good.withColumn("_source", F.element_at(F.split("_file", "/"), -1)))
     rejected = s.where(F.col("error").isNotNull()).select("example_id", "error")
     rejected = rejected.unionByName(bad.select(F.lit(None).cast("long").alias("example_id"),
                                                F.col("_error").alias("error")))
@@ -45,10 +45,20 @@ def qa_pairs(spark: SparkSession, paths, max_tokens: int = 5, seed: int | None =
     return shuffle_rows(qa, seed) if seed is not None else qa
 
 
-def run_simplify(spark: SparkSession, paths, out: str, single_file: bool = False, **kw) -> None:
+SIMPLIFIED_FIELDS = ("question_text", "example_id", "document_url", "document_text",
+                     "long_answer_candidates", "annotations")
+
+
+def run_simplify(spark: SparkSession, paths, out: str, single_file: bool = False,
+                 per_input_file: bool = False, **kw) -> None:
+    """Write simplified records as JSON lines: all into ``out``, into one
+    file (small outputs only), or one folder per input file."""
     s, _ = simplify_records(spark, paths, **kw)
-    write_jsonl(s.select("question_text", "example_id", "document_url", "document_text",
-                         "long_answer_candidates", "annotations"), out, single_file=single_file)
+    if per_input_file:
+        (s.select(*SIMPLIFIED_FIELDS, F.col("_source").alias("source_file"))
+         .write.mode("overwrite").partitionBy("source_file").json(out))
+        return
+    write_jsonl(s.select(*SIMPLIFIED_FIELDS), out, single_file=single_file)
 
 
 def run_convert(spark: SparkSession, paths, out: str, **kw) -> None:

@@ -117,5 +117,7 @@ def test_corpus_prep_jobs(spark, tmpdir_run):
     assert r.document_text == "<p> é </p> <b> Paris </b>" and rej.count() == 0
     qa = corpus_prep.qa_pairs(spark, p, seed=1).collect()
     assert [(x.question, x.answer) for x in qa] == [("capital?", ["Paris"])]
+    corpus_prep.run_simplify(spark, p, os.path.join(tmpdir_run, "simple"), per_input_file=True)
+    assert os.listdir(os.path.join(tmpdir_run, "simple")).count("source_file=raw.jsonl.gz") == 1
     corpus_prep.run_convert(spark, p, os.path.join(tmpdir_run, "qa"))
     assert any(f.startswith("part") for f in os.listdir(os.path.join(tmpdir_run, "qa")))
