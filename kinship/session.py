@@ -53,11 +53,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when the setting is absent (local tests) is a fresh local folder
-    created and registered.
+    Only a local-mode session without the setting (tests, a laptop) gets a
+    fresh local folder; on a cluster a missing setting is an error, since a
+    machine-local folder would not survive the loss of that machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                               "object store) for checkpoints")
         d = tempfile.mkdtemp(prefix="kinship-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
