@@ -49,16 +49,15 @@ SIMPLIFIED_FIELDS = ("question_text", "example_id", "document_url", "document_te
                      "long_answer_candidates", "annotations")
 
 
-def run_simplify(spark: SparkSession, paths, out: str, single_file: bool = False,
-                 per_input_file: bool = False, **kw) -> None:
-    """Write simplified records as JSON lines: all into ``out``, into one
-    file (small outputs only), or one folder per input file."""
+def run_simplify(spark: SparkSession, paths, out: str, per_input_file: bool = False, **kw) -> None:
+    """Write simplified records as JSON lines: all into ``out``, or one
+    folder per input file."""
     s, _ = simplify_records(spark, paths, **kw)
     if per_input_file:
         (s.select(*SIMPLIFIED_FIELDS, F.col("_source").alias("source_file"))
          .write.mode("overwrite").partitionBy("source_file").json(out))
         return
-    write_jsonl(s.select(*SIMPLIFIED_FIELDS), out, single_file=single_file)
+    write_jsonl(s.select(*SIMPLIFIED_FIELDS), out)
 
 
 def run_convert(spark: SparkSession, paths, out: str, **kw) -> None:

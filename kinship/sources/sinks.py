@@ -1,7 +1,7 @@
 """Writers: JSON lines, sorted text lines, keyed (bucketed) tables, reports.
 
-All writers are distributed (one file per task). ``single_file=True``
-funnels the output through one task and is meant for small outputs only.
+All writers are distributed: each task writes its own part file; no output
+is funnelled through one task or the driver.
 """
 
 from __future__ import annotations
@@ -13,13 +13,12 @@ MODES = ("overwrite", "append", "error", "ignore")
 
 
 def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", keep_nulls: bool = True,
-                single_file: bool = False, compression: str | None = None) -> None:
+                compression: str | None = None) -> None:
     """JSON lines, UTF-8 (non-ASCII kept). ``keep_nulls`` writes null fields
     as ``null`` instead of dropping them."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    out = df.coalesce(1) if single_file else df
-    w = out.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower())
+    w = df.write.mode(mode).option("ignoreNullFields", str(not keep_nulls).lower())
     if compression:
         w = w.option("compression", compression)
     w.json(path)
