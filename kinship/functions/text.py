@@ -57,9 +57,10 @@ STOP_LISTS = {"14": STOP_WORDS_14, "35": STOP_WORDS_35, "none": ()}
 # keyword punctuation nor whitespace, so one regex split finds them all.
 WORD_SEPARATORS = "[" + PUNCT_CLASS[1:-1] + WS_CLASS[1:-1] + "]+"
 
-_LEAD_WS = f"^{WS_CLASS}+"
-_TRAIL_WS = f"{WS_CLASS}+$"
+_ENDS_WS = f"^{WS_CLASS}+|{WS_CLASS}+$"
 _ANY_WS = f"{WS_CLASS}+"
+# a character that is not whitespace: ``strip(x) != ''`` <=> ``x`` contains one
+NON_WS = "[^" + WS_CLASS[1:-1] + "]"
 
 
 def _col(c) -> Column:
@@ -68,7 +69,13 @@ def _col(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(F.regexp_replace(_col(c), _LEAD_WS, ""), _TRAIL_WS, "")
+    return F.regexp_replace(_col(c), _ENDS_WS, "")
+
+
+def has_text(c) -> Column:
+    """``strip(c) != ''`` without stripping: true when a non-whitespace
+    character exists (stops at the first one; false for null)."""
+    return F.coalesce(_col(c).rlike(NON_WS), F.lit(False))
 
 
 def collapse_ws(c) -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.text import normalizer as _normalizer
-from kinship.functions.text import strip_ws
+from kinship.functions.text import has_text, strip_ws
 from kinship.operators.dedupe import attach_payload, build_index
 
 NO_MATCH = "No match found"
@@ -26,8 +26,9 @@ def prepare_corpus(corpus: DataFrame, question_col: str = "question_text", norma
                    url_col: str | None = None, require_url: bool = False) -> DataFrame:
     """Corpus rows with a non-empty stripped question (and url if required),
     plus ``corpus_question`` (stripped original) and ``key``."""
-    q = strip_ws(F.coalesce(F.col(question_col), F.lit("")))
-    out = corpus.withColumn("corpus_question", q).where(F.col("corpus_question") != "")
+    # filter with a cheap test on the raw text, then strip once
+    out = corpus.where(has_text(question_col))
+    out = out.withColumn("corpus_question", strip_ws(F.col(question_col)))
     if require_url:
         out = out.where(F.coalesce(F.col(url_col), F.lit("")) != "")
     return out.withColumn("key", _normalizer(normalizer)(F.col("corpus_question")))
