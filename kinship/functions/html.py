@@ -21,23 +21,35 @@ from pyspark.sql.types import ArrayType, StringType
 
 from kinship.functions.text import _col
 
-# --- fixed values: named references decoded natively, in this order ------
+# --- fixed values: references decoded natively, in this order ------------
+# (name, character, ";" optional). Names whose ";" is optional are the HTML5
+# legacy names, decoded without ";" as well; "amp" comes last so the chain
+# equals a single decoding pass.
 ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
+    ("lt", "<", True),
+    ("gt", ">", True),
+    ("quot", '"', True),
+    ("apos", "'", False),
+    ("#39", "'", False),
+    ("nbsp", "\u00a0", True),
+    ("copy", "©", True),
+    ("middot", "·", True),
+    ("amp", "&", True),
 )
 # -------------------------------------------------------------------------
 
-_KNOWN = "|".join(e[0][1:-1] for e in ENTITIES)
-# an '&' that does not start one of the natively decoded references
-OTHER_REF = f"&(?!(?:{_KNOWN});)"
+_LEGACY = "|".join(n for n, _, opt in ENTITIES if opt)
+_STRICT = "|".join(n for n, _, opt in ENTITIES if not opt)
+# An '&' that does not start a natively decoded reference: not one of the
+# names with ";", nor a legacy name followed by neither a letter nor a digit
+# (``&ltimes;`` or ``&ampx`` go to the Python decoder).
+OTHER_REF = f"&(?!(?:{_LEGACY}|{_STRICT});|(?:{_LEGACY})(?![A-Za-z0-9]))"
+
+
+def entity_pattern(name: str, optional: bool) -> str:
+    """Regex of one natively decoded reference (same text in Java and RE2)."""
+    return "&" + name + (";?" if optional else ";")
+
 
 # Removed in this order; no back-references, so the same patterns run in
 # Java regex and RE2.
@@ -64,10 +76,11 @@ def _unescape_all(s: pd.Series) -> pd.Series:
 
 
 def decode_native(c) -> Column:
-    """Decode the ``ENTITIES`` references with ``replace`` (usable in lambdas)."""
+    """Decode the ``ENTITIES`` references natively (usable in lambdas); for
+    text without other references this equals ``html.unescape``."""
     c = _col(c)
-    for ent, ch in ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
+    for name, ch, optional in ENTITIES:
+        c = F.regexp_replace(c, entity_pattern(name, optional), ch)
     return c
 
 

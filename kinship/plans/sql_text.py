@@ -95,10 +95,10 @@ def strip_tags(x: str) -> str:
 
 
 def decode_native(x: str) -> str:
-    from kinship.functions.html import ENTITIES
+    from kinship.functions.html import ENTITIES, entity_pattern
 
-    for ent, ch in ENTITIES:
-        x = f"replace({x}, {q(ent)}, {q(ch)})"
+    for name, ch, optional in ENTITIES:
+        x = f"regexp_replace({x}, {q(entity_pattern(name, optional))}, {q(ch)}, 'g')"
     return x
 
 
