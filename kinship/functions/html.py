@@ -2,11 +2,13 @@
 
 ``html_text`` strips comments, doctype/processing declarations, the bodies
 of ``script``/``style``/``template`` elements and all tags, then decodes
-character references. The entities listed in ``ENTITIES`` are decoded with
-native ``replace`` (``&amp;`` last, which makes the chain equal to a single
+character references with the result of Python's ``html.unescape`` (HTML5
+rules, e.g. legacy names such as ``&amp`` decode without ``;``). The
+references listed in ``ENTITIES`` are decoded natively with
+``regexp_replace`` (``&amp`` last, which makes the chain equal to a single
 decoding pass); a fragment holding any other ``&`` reference is decoded by a
-vectorised pandas UDF over Python's ``html.unescape`` -- only those rows
-leave the JVM.
+vectorised pandas UDF over ``html.unescape`` -- only those rows leave the
+JVM.
 """
 
 from __future__ import annotations
