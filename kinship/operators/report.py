@@ -35,11 +35,10 @@ def match_report(questions: DataFrame, index: DataFrame, by: str | None = "datas
 
 def corpus_counters(raw: DataFrame, prepared: DataFrame) -> DataFrame:
     """One row: records read, records with a non-empty question, distinct keys."""
-    a = raw.agg(F.count(F.lit(1)).alias("corpus_records"))
     b = prepared.agg(F.count(F.lit(1)).alias("corpus_nonempty"),
                      F.count_distinct("key").alias("corpus_keys"))
-    # both sides are one-row aggregates
-    return a.crossJoin(b)
+    records = raw.agg(F.count(F.lit(1))).scalar()      # scalar subquery, no join
+    return b.select(records.alias("corpus_records"), "corpus_nonempty", "corpus_keys")
 
 
 def keyword_postings(corpus: DataFrame, text_col: str, stop_words="35") -> DataFrame:
@@ -50,11 +49,10 @@ def keyword_postings(corpus: DataFrame, text_col: str, stop_words="35") -> DataF
 
 def keyword_index_stats(corpus: DataFrame, text_col: str, stop_words="35") -> DataFrame:
     """One row: indexed questions, distinct keywords, postings."""
-    q = corpus.agg(F.count(F.lit(1)).alias("n_questions"))
     p = keyword_postings(corpus, text_col, stop_words).agg(
         F.count(F.lit(1)).alias("n_keywords"), F.sum("n_questions").alias("n_postings"))
-    # both sides are one-row aggregates
-    return q.crossJoin(p).select("n_questions", "n_keywords", "n_postings")
+    questions = corpus.agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
+    return p.select(questions.alias("n_questions"), "n_keywords", "n_postings")
 
 
 def first_n(df: DataFrame, order: str, n: int = 5) -> DataFrame:

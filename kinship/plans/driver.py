@@ -327,7 +327,9 @@ def q_match_report_total(spark, sf_dir):
     idx = link.corpus_index(cs.select("key", "ord"), "ord")
     totals = match_report(qs, idx, by=None)
     counters = corpus_counters(T.corpus(spark, sf_dir), cs)
-    return counters.crossJoin(totals)
+    # one-row results side by side via scalar subqueries (no join)
+    return totals.select(*[counters.select(c).scalar().alias(c) for c in counters.columns],
+                         "processed", "matched", "unmatched", "match_rate")
 
 
 # ---------------------------------------------------------------------------
