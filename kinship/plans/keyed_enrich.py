@@ -79,9 +79,8 @@ def run(spark: SparkSession, corpus_dirs, question_sets, out_dir: str, **kw) ->
     outs = build(spark, corpus_dirs, question_sets, **kw)
     (outs["enriched"].drop("ord", "q_id", "_corrupt_record", "_error", "_file")
      .write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, "enriched")))
-    for ds in [r.dataset for r in outs["counts"].select("dataset").collect()]:
-        write_sorted_lines(outs["unmatched_questions"].where(F.col("dataset") == ds), "question",
-                           os.path.join(out_dir, "unmatched", ds))
+    write_sorted_lines(outs["unmatched_questions"], "question", os.path.join(out_dir, "unmatched"),
+                       by="dataset")
     for name in ("counts", "per_file", "stored_samples", "normalization_samples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
     release()

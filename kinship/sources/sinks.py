@@ -24,10 +24,17 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", keep_nulls: b
     w.json(path)
 
 
-def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrite") -> None:
+def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrite",
+                       by: str | None = None) -> None:
     """Distinct values of ``col`` as text lines in ascending order (a global
-    range-partitioned sort: part files are in order)."""
-    df.select(F.col(col).cast("string")).distinct().orderBy(col).write.mode(mode).text(path)
+    range-partitioned sort: part files are in order). With ``by``, one
+    folder per value of ``by`` (``by=value``), each sorted."""
+    cols = ([by] if by else []) + [col]
+    out = df.select(*[F.col(c).cast("string") for c in cols]).distinct().orderBy(*cols)
+    w = out.write.mode(mode)
+    if by:
+        w = w.partitionBy(by)
+    w.text(path)
 
 
 def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = None,

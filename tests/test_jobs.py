@@ -70,7 +70,7 @@ def test_keyed_enrich_job(spark, tmpdir_run):
     assert e[("dev", "Capital of France?")].document_url == "u4"   # question words dropped from both keys
     assert e[("dev", "something else entirely")].document_url is None
     assert e[("dev", "who wrote hamlet")].nq_original_question == "Who wrote Hamlet"
-    lines = open([os.path.join(p, f) for p, _, fs in os.walk(os.path.join(tmpdir_run, "out", "unmatched", "dev"))
+    lines = open([os.path.join(p, f) for p, _, fs in os.walk(os.path.join(tmpdir_run, "out", "unmatched", "dataset=dev"))
                   for f in fs if f.startswith("part")][0]).read().split("\n")
     assert "something else entirely" in lines
 
