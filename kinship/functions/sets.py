@@ -25,15 +25,6 @@ def jaccard(a, b) -> Column:
     )
 
 
-def jaccard_from_counts(common, size_a, size_b) -> Column:
-    """Jaccard from an intersection count and the two set sizes."""
-    common, size_a, size_b = _col(common), _col(size_a), _col(size_b)
-    return (
-        F.when((size_a == 0) | (size_b == 0), F.lit(0.0))
-        .otherwise(common.cast("double") / (size_a + size_b - common).cast("double"))
-    )
-
-
 def explain_pair(a, b) -> list[Column]:
     """Columns describing a keyword-set pair: sizes, common words, similarity."""
     return [

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from kinship.functions.html import byte_slice, decode_entities_all, strip_tags
 from kinship.functions.text import _col
@@ -113,7 +113,3 @@ def short_answers(df: DataFrame, max_tokens: int = 5, drop_blank: bool = False)
 def shuffle_rows(df: DataFrame, seed: int = 0) -> DataFrame:
     """Rows in a seeded pseudo-random order (repeatable for a given seed)."""
     return df.orderBy(F.xxhash64(*[F.col(c) for c in df.columns], F.lit(seed)))
-
-
-def is_array_of_struct(dtype) -> bool:
-    return isinstance(dtype, ArrayType) and isinstance(dtype.elementType, StructType)

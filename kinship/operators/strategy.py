@@ -30,14 +30,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return df, False
 
 
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only if it is
-    proven small; otherwise a shuffle join."""
-    side, _ = bounded_broadcast(small, max_rows)
-    return big.join(side, on, how)
-
-
 _PERSISTED: list[DataFrame] = []
 
 
