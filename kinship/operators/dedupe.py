@@ -58,6 +58,7 @@ def attach_payload(rows: DataFrame, records: DataFrame, order: str, payload: Seq
 
     rows = reuse(rows)      # read twice: winner ids, then the final join
     need = rows.select(win_col).where(F.col(win_col).isNotNull()).distinct()
-    need, _ = bounded_broadcast(need, max_broadcast_rows or DEFAULT_BROADCAST_ROWS)
+    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
+    need, _ = bounded_broadcast(need, limit)
     wide = records.select(F.col(order).alias(win_col), *payload).join(need, win_col, "left_semi")
     return rows.join(wide, win_col, "left")

@@ -71,7 +71,7 @@ def enrich_left(questions: DataFrame, index: DataFrame) -> DataFrame:
 
 def exact_merge(questions: DataFrame, corpus: DataFrame, order: str,
                 payload: Sequence[str], keep: str = "last", how: str = "inner",
-                late: bool = True) -> DataFrame:
+                late: bool = True, max_broadcast_rows: int | None = None) -> DataFrame:
     """Questions joined (``how`` = inner or left) with the payload of the
     kept corpus record of their key.
 
@@ -84,6 +84,6 @@ def exact_merge(questions: DataFrame, corpus: DataFrame, order: str,
     if late:
         idx = corpus_index(corpus.select("key", order), order, keep=keep)
         hits = questions.join(idx, "key", how)
-        return attach_payload(hits, corpus, order, payload)
+        return attach_payload(hits, corpus, order, payload, max_broadcast_rows=max_broadcast_rows)
     idx = corpus_index(corpus, order, payload, keep=keep)
     return questions.join(idx, "key", how)
