@@ -43,3 +43,24 @@ def test_dataset_selector(spark):
     both = with_dataset({"train": a, "dev": b})
     assert {r.dataset for r in select_datasets(both, "dev").collect()} == {"dev"}
     assert both.count() == select_datasets(both, "both").count() == 2
+
+
+def test_strict_reader_fails_on_bad_input(spark, tmpdir_run):
+    import pytest
+
+    from kinship.sources.jsonl import read_jsonl_strict
+
+    ok = os.path.join(tmpdir_run, "ok.jsonl")
+    with open(ok, "w") as f:
+        f.write('{"question": "a", "answer": ["x"]}\n')
+    assert read_jsonl_strict(spark, ok, QUESTION_RECORD, ["question"]).count() == 1
+    bad = os.path.join(tmpdir_run, "bad.jsonl")
+    with open(bad, "w") as f:
+        f.write('{"question": "a", "answer": ["x"]}\nnot json\n')
+    with pytest.raises(Exception):
+        read_jsonl_strict(spark, bad, QUESTION_RECORD).collect()
+    missing = os.path.join(tmpdir_run, "missing.jsonl")
+    with open(missing, "w") as f:
+        f.write('{"answer": ["x"]}\n')
+    with pytest.raises(Exception):
+        read_jsonl_strict(spark, missing, QUESTION_RECORD, ["question"]).collect()

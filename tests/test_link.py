@@ -96,3 +96,12 @@ def test_partition_and_last_wins(spark, corpus_texts, question_texts, norm):
     exp = {i: last[f(t.strip())] for i, t in qrow if f(t.strip()) in last}
     assert m == exp
     assert u == {i for i, _ in qrow} - set(exp)
+
+
+def test_empty_keys_kept_or_dropped(spark):
+    rows = [(0, "???", "u0"), (1, "What", "u1"), (2, "cat", "u2")]
+    cs = prepare_corpus(spark.createDataFrame(rows, "ord long, question_text string, document_url string"),
+                        normalizer="question")
+    kept = {r.key for r in corpus_index(cs, "ord").collect()}
+    dropped = {r.key for r in corpus_index(cs, "ord", drop_empty_keys=True).collect()}
+    assert kept == {"", "cat"} and dropped == {"cat"}      # "?" is deleted by this normaliser
