@@ -121,3 +121,11 @@ def test_corpus_prep_jobs(spark, tmpdir_run):
     assert os.listdir(os.path.join(tmpdir_run, "simple")).count("source_file=raw.jsonl.gz") == 1
     corpus_prep.run_convert(spark, p, os.path.join(tmpdir_run, "qa"))
     assert any(f.startswith("part") for f in os.listdir(os.path.join(tmpdir_run, "qa")))
+
+
+def test_candidates_job_samples(spark, tmpdir_run):
+    corpus, qsets = fixture(tmpdir_run)
+    outs = candidates.build(spark, list(reversed(corpus)), qsets["dev"], num_files=1, num_questions=2)
+    # first file in sorted path order only: dev/c2 (one non-empty question, one empty)
+    assert outs["index_stats"].first().n_questions == 1
+    assert outs["counts"].first().questions_with_matches + outs["counts"].first().questions_without_matches == 2
