@@ -40,7 +40,10 @@ def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrit
 def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = None,
                 mode: str = "overwrite") -> None:
     """Parquet laid out by ``key``: hash-partitioned on the key and sorted
-    within each file, so a later scan can prune and a join can merge."""
+    within each file, so a later scan can prune and a join can merge.
+
+    Meant for (near-)unique keys, such as a deduplicated index; a key that
+    holds a large share of the rows would land in a single file."""
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     df.repartition(n, key).sortWithinPartitions(key).write.mode(mode).parquet(path)
 
