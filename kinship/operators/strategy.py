@@ -55,8 +55,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     so per-row text work runs in parallel. A large scan that already has
     enough splits is returned unchanged -- no extra shuffle at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:           # no RDD view (e.g. Spark Connect): leave it as it is
+        return df
+    if parts < target:
         return df.repartition(target)
     return df
 

@@ -94,7 +94,10 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
     if columns:     # project before any spread/cache so the scan reads only these
         df = df.select(*columns)
     if spread:
-        cores = spark.sparkContext.defaultParallelism
+        try:
+            cores = spark.sparkContext.defaultParallelism
+        except Exception:       # e.g. a Spark Connect session: leave the scan as it is
+            return df
         groups = _row_groups(path)
         if groups is not None and groups < cores:
             # small file (fewer row groups than cores): spread it once and keep
