@@ -58,3 +58,42 @@ def start(df: DataFrame, out_path: str, name: str = "linked", once: bool = True,
     w = df.writeStream.format("parquet").option("path", out_path).option("checkpointLocation", cp)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="10 seconds")
     return w.start()
+
+
+def materialize_corpus(corpus: DataFrame, columns: Sequence[str], path: str | None = None) -> DataFrame:
+    """Write prepared corpus rows once to the shared checkpoint folder and
+    return a scan of them (the static side of a streaming join)."""
+    spark = corpus.sparkSession
+    path = path or os.path.join(checkpoint_dir(spark), "corpus-" + uuid.uuid4().hex)
+    corpus.select(*columns).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def fuzzy_stream(questions: DataFrame, corpus: DataFrame, out_path: str, threshold: float = 0.9,
+                 stop_words="14", name: str = "fuzzy", once: bool = True,
+                 checkpoint: str | None = None) -> StreamingQuery:
+    """Exact-then-fuzzy best match of each micro-batch of ``questions``
+    (prepared with the keyword normaliser) against a static prepared corpus
+    (``key``, ``ord``, ``document_url``, ``corpus_question``).
+
+    Each batch is written under ``batch_id=<n>`` with dynamic partition
+    overwrite, so a batch replayed after a failure replaces its own output
+    instead of duplicating it.
+    """
+    from kinship.operators.fuzzy import best_match
+
+    spark = questions.sparkSession
+    cp = checkpoint or os.path.join(checkpoint_dir(spark), f"stream-{name}")
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        # ids unique across batches: (batch, row id within the batch)
+        qs = batch.withColumn("q_id", F.struct(F.lit(batch_id).alias("batch"),
+                                               F.monotonically_increasing_id().alias("row")))
+        res = best_match(qs, corpus, threshold, stop_words).withColumn("batch_id", F.lit(batch_id))
+        (res.drop("q_id", "key").withColumnRenamed("corpus_question", "nq_question")
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_path))
+
+    w = questions.writeStream.foreachBatch(run_batch).option("checkpointLocation", cp)
+    w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")
+    return w.start()
