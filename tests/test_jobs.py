@@ -4,7 +4,6 @@ import gzip
 import json
 import os
 
-from pyspark.sql import functions as F
 
 from kinship.plans import candidates, corpus_prep, exact_merge, fuzzy_link, keyed_enrich
 

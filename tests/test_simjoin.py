@@ -4,7 +4,6 @@ follow the dictionary-scan semantics (insertion order, strict >)."""
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from kinship.operators.fuzzy import best_match, top_k_candidates
 from kinship.operators.link import prepare_corpus, prepare_questions
