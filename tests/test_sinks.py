@@ -30,3 +30,13 @@ def test_keyed_parquet_and_jsonl(spark, tmpdir_run):
     write_jsonl(spark.createDataFrame([("q", None)], "question string, answer string"),
                 os.path.join(tmpdir_run, "j"))
     assert [json.loads(x) for x in _lines(os.path.join(tmpdir_run, "j"))] == [{"question": "q", "answer": None}]
+
+
+def test_jsonl_append_mode(spark, tmpdir_run):
+    p = os.path.join(tmpdir_run, "a")
+    one = spark.createDataFrame([("q1",)], "question string")
+    write_jsonl(one, p)
+    write_jsonl(spark.createDataFrame([("q2",)], "question string"), p, mode="append")
+    assert sorted(json.loads(x)["question"] for x in _lines(p)) == ["q1", "q2"]
+    write_jsonl(one, p)      # overwrite replaces
+    assert [json.loads(x)["question"] for x in _lines(p)] == ["q1"]
