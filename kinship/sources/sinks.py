@@ -48,7 +48,12 @@ def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = Non
     df.repartition(n, key).sortWithinPartitions(key).write.mode(mode).parquet(path)
 
 
-def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> None:
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite",
+                  path: str | None = None) -> None:
     """Catalog table bucketed and sorted by ``key``: joins of two tables
-    bucketed alike on the key need no shuffle."""
-    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    bucketed alike on the key need no shuffle. ``path`` keeps the data at a
+    chosen (shared) location instead of the warehouse folder."""
+    w = df.write.mode(mode).bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)

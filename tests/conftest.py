@@ -17,7 +17,8 @@ def spark():
     b = (SparkSession.builder.master("local[4]").appName("kinship-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="kinship-test-wh-")))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()

@@ -40,3 +40,23 @@ def test_jsonl_append_mode(spark, tmpdir_run):
     assert sorted(json.loads(x)["question"] for x in _lines(p)) == ["q1", "q2"]
     write_jsonl(one, p)      # overwrite replaces
     assert [json.loads(x)["question"] for x in _lines(p)] == ["q1"]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmpdir_run):
+    from kinship.sources.sinks import save_bucketed
+
+    a = spark.createDataFrame([(k, f"a{k}") for k in range(40)], "key int, va string")
+    b = spark.createDataFrame([(k, f"b{k}") for k in range(0, 40, 2)], "key int, vb string")
+    save_bucketed(a, "kinship_test_a", "key", 4, path=os.path.join(tmpdir_run, "ta"))
+    save_bucketed(b, "kinship_test_b", "key", 4, path=os.path.join(tmpdir_run, "tb"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("kinship_test_a").join(spark.table("kinship_test_b"), "key")
+        assert j.count() == 20
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.sql("DROP TABLE IF EXISTS kinship_test_a")
+        spark.sql("DROP TABLE IF EXISTS kinship_test_b")
