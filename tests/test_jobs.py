@@ -128,3 +128,15 @@ def test_candidates_job_samples(spark, tmpdir_run):
     # first file in sorted path order only: dev/c2 (one non-empty question, one empty)
     assert outs["index_stats"].first().n_questions == 1
     assert outs["counts"].first().questions_with_matches + outs["counts"].first().questions_without_matches == 2
+
+
+def test_cli_runs_jobs(spark, tmpdir_run):
+    from kinship.cli import main
+
+    corpus, qsets = fixture(tmpdir_run)
+    qargs = [f"--questions={k}={v}" for k, v in qsets.items()]
+    main(["exact", "--corpus", *corpus, *qargs, "--out", os.path.join(tmpdir_run, "e"), "--with-error"])
+    main(["fuzzy", "--corpus", *corpus, *qargs, "--out", os.path.join(tmpdir_run, "f")])
+    assert os.path.isdir(os.path.join(tmpdir_run, "e", "matched", "dataset=dev"))
+    rows = spark.read.json(os.path.join(tmpdir_run, "f", "enriched")).collect()
+    assert len(rows) == 5
