@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import bpe_codec, token_counts as counts
+from kinship.llm import block_names, bpe_codec, oracle_sql, warc
+from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +35,13 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query("op5_warc", oracle_sql.OP5)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    back = warc.read_archives(warc.write_archives(pages, warc.archive_folder(pages)))
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op6_byte_bpe_codec")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -43,3 +51,8 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op8_exact_dedup", oracle_sql.OP8)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return block_names.exact_groups(read_table(spark, sf_dir, "documents")).drop("th")
