@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, oracle_sql, warc
+from kinship.llm import block_names, bpe_codec, oracle_sql, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -56,3 +56,9 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_exact_dedup", oracle_sql.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(read_table(spark, sf_dir, "documents")).drop("th")
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return toxicity.score(docs, toxicity.fit(docs, labels)).drop("th")
