@@ -37,7 +37,9 @@ THREATS = "kill hurt destroy beat burn shoot stab töten schlagen tuer frapper m
 
 INSULT, THREAT, TARGET, NEGATION, REPORT = "ITYNR"
 WORD = re.compile(r"[^\W\d_]+|[.!?;:\n]")
-PREFIXES = (4, 5, 6)
+PREFIXES = range(3, 9)
+#: A word beginning that clean texts also hold by chance may still mark a text that repeats it so often.
+REPEATED = 3
 #: What the machine emits for a match: i/t insult or threat, then how it is meant.
 KINDS = ("i", "t", "i-neg", "t-neg", "i-rep", "t-rep", "i-at", "t-at")
 
@@ -194,8 +196,15 @@ POINTS = T.StructType([T.StructField("x", T.ArrayType(T.DoubleType())), T.Struct
 
 
 def word_features(text: str) -> set[str]:
-    words = {w for w in WORD.findall(text.lower()) if len(w) > 1}
-    return words | {"^" + w[:k] for w in words for k in PREFIXES if len(w) > k}
+    """Words, word beginnings (``^``) and what is repeated of both (``+``)."""
+    n: Counter = Counter()
+    for w, k in Counter(WORD.findall(text.lower())).items():
+        if len(w) > 1:
+            n[w] += k
+            for j in PREFIXES:
+                if len(w) > j:
+                    n["^" + w[:j]] += k
+    return {*n, *("+" + f for f, k in n.items() if k >= REPEATED)}
 
 
 def learn_lexicon(rows: DataFrame, max_candidates: int, min_docs: int, min_gain: float) -> dict[str, float]:
@@ -250,11 +259,13 @@ def learn_lexicon(rows: DataFrame, max_candidates: int, min_docs: int, min_gain:
         # what the entry explains of the rows that no stronger one has explained
         rest = holders.get(f, set()) & left
         hit = len(rest & toxic)
-        if hit >= max(2, min_docs // 4) and hit >= 4 * (len(rest) - hit):
+        enough = hit >= max(2, min_docs // 4) and hit >= 4 * (len(rest) - hit)
+        if enough:
             left -= rest
-            lexicon[f] = gain[f]
-        elif f in clear:
-            lexicon[f] = gain[f]          # nearly as strong as the best, though found beside them
+        if enough or f in clear:          # clear: nearly as strong as the best, though found beside them
+            weight = gain[f] / REPEATED if f[0] == "+" else gain[f]
+            entry = f.removeprefix("+")
+            lexicon[entry] = max(weight, lexicon.get(entry, 0.0))
     return lexicon
 
 
