@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, oracle_sql, toxicity, warc
+from kinship.llm import block_names, bpe_codec, oracle_sql, pii, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -35,6 +35,24 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+@query("op3_pii")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.fit(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    order = F.array(*map(F.lit, pii.KINDS))
+    everything = F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(
+        x["start"].alias("start"), F.array_position(order, x["kind"]).alias("nth"),
+        x["end"].alias("end"), x["kind"].alias("kind"))))
+    return found.select(
+        "doc_id", *(F.expr(f"cast(size(filter(base, x -> x.kind = '{k}')) as bigint)").alias(f"n_{k}")
+                    for k in pii.KINDS),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(everything).alias("spans"))
+
+
 @query("op5_warc", oracle_sql.OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
