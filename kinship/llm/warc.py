@@ -222,7 +222,8 @@ def read_archives(manifest: DataFrame, batch_rows: int = 2000) -> DataFrame:
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return manifest.select("archive").repartition("archive").mapInArrow(read, RECORDS)
+    # a partition per archive: the names are few bytes, which Spark would merge into one task
+    return manifest.select("archive").repartition(max(1, manifest.count()), "archive").mapInArrow(read, RECORDS)
 
 
 def archive_folder(pages: DataFrame) -> str:
