@@ -35,3 +35,37 @@ WITH d AS (
 SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d.t) AS text_sha256
 FROM d JOIN g USING (t)
 """
+
+OP4 = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark
+), lens AS (
+  SELECT DISTINCT least(len(w), 10) AS n FROM b WHERE len(w) > 0
+), bw AS (
+  SELECT DISTINCT item_id, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)
+), dw AS (
+  SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, lens WHERE len(w) >= n)
+), m AS (
+  SELECT dw.doc_id, s, n, item_id FROM dw JOIN bw USING (g)
+), hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(s, s + n)) AS p FROM m) GROUP BY doc_id
+), it AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM m) GROUP BY doc_id
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, oracle_sql, pii, toxicity, warc
+from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -53,6 +53,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(everything).alias("spans"))
 
 
+@query("op4_decontamination", oracle_sql.OP4)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return hits.select("doc_id", "n_words", "n_hit", "n_items",
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 @query("op5_warc", oracle_sql.OP5)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read_table(spark, sf_dir, "pages")
