@@ -45,6 +45,8 @@ PIECES = T.StructType([
 #: A pre-token this far before the end of a chunk has been matched with all in
 #: sight that the pattern may look at (the longest contraction has 3 characters).
 MARGIN = 8
+#: Documents of one chunk that are encoded, decoded and handed on together.
+SLICE = 500
 
 Piece = tuple[int, bytes]       # characters of a pre-token, its ids
 
@@ -57,7 +59,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Pre-tokenise, encode and decode."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 400_000):
+    def __init__(self, path: str, pattern: str, keep: int = 200_000):
         import regex
         import tiktoken
 
@@ -133,8 +135,10 @@ def stitch(cuts: list[int], chunks: list[list[Piece]],
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
-           overlap: int = 1 << 10) -> DataFrame:
-    """``doc_id, th, ids`` of every row, ids as little-endian uint32.
+           overlap: int = 1 << 10, and_decode: bool = False) -> DataFrame:
+    """``doc_id, th, ids`` of every row, ids as little-endian uint32; with
+    ``and_decode`` also ``decoded``, what :func:`decode` makes of the ids, from
+    the same task.
 
     Each match of ``pattern`` is encoded separately, without special tokens.
     Texts of one chunk are encoded where they are read; the chunks of longer
@@ -143,14 +147,21 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
     get a row; an empty table gives an empty result.
     """
     k = keyed(docs)
-    arrow = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("ids", pa.binary())])
+    schema = DECODED if and_decode else ENCODED
+    arrow = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("ids", pa.binary()),
+                       ("decoded", pa.binary())][:len(schema)])
+
+    def columns(codec: Codec, doc, th, ids: list[bytes]) -> list[pa.Array]:
+        raw = [pa.array(map(codec.decode, ids), pa.binary())] if and_decode else []
+        return [pa.array(doc, pa.int64()), pa.array(th, pa.int64()), pa.array(ids, pa.binary()), *raw]
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(ranks_path, pattern)
         for b in batches:
-            ids = [b"".join(codec.ids(codec.pretokens(t))) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("th"), pa.array(ids, pa.binary())], schema=arrow)
+            for at in range(0, b.num_rows, SLICE):          # small slices: what is alive at once is bounded
+                doc, th, texts = (b.column(c).slice(at, SLICE).to_pylist() for c in ("doc_id", "th", "text"))
+                ids = [b"".join(codec.ids(codec.pretokens(t))) for t in texts]
+                yield pa.RecordBatch.from_arrays(columns(codec, doc, th, ids), schema=arrow)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -163,16 +174,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(ranks_path, pattern)
-        for b in batches:
-            lens, sizes, ids = [], [], []
-            for t in b.column("text").to_pylist():
-                found = codec.pretokens(t)
-                got = codec.ids(found)
-                lens.append(np.array([len(p) for p in found], "<i4").tobytes())
-                sizes.append(np.array([len(i) for i in got], "<i4").tobytes())
-                ids.append(b"".join(got))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns, *(pa.array(x, pa.binary()) for x in (lens, sizes, ids))], names=PIECES.names)
+        for whole_batch in batches:
+            for at in range(0, whole_batch.num_rows, SLICE // 10):
+                b = whole_batch.slice(at, SLICE // 10)
+                lens, sizes, ids = [], [], []
+                for t in b.column("text").to_pylist():
+                    found = codec.pretokens(t)
+                    got = codec.ids(found)
+                    lens.append(np.array([len(p) for p in found], "<i4").tobytes())
+                    sizes.append(np.array([len(i) for i in got], "<i4").tobytes())
+                    ids.append(b"".join(got))
+                yield pa.RecordBatch.from_arrays(
+                    [*b.columns, *(pa.array(x, pa.binary()) for x in (lens, sizes, ids))], names=PIECES.names)
 
     def join(doc: pa.Table) -> pa.Table:
         rows = doc.to_pylist()
@@ -195,13 +208,13 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
 
         ids = b"".join(i for _, i in stitch(cuts, chunks, again))
         one = rows[0]
-        return pa.table([pa.array([x] * copies, f.type) for x, f in
-                         zip((one["doc_id"], one["th"], ids), arrow)], schema=arrow)
+        out = columns(codec_of(ranks_path, pattern), [one["doc_id"]], [one["th"]], [ids])
+        return pa.table([pa.concat_arrays([c] * copies) for c in out], schema=arrow)
 
-    short = k.filter(F.length("text") <= chunk).mapInArrow(whole, ENCODED)
+    short = k.filter(F.length("text") <= chunk).mapInArrow(whole, schema)
     long = (k.filter(F.length("text") > chunk).mapInArrow(cut, CHUNKS)
             .repartition("doc_id", "th", "at").mapInArrow(pieces, PIECES)
-            .groupBy("doc_id", "th").applyInArrow(join, ENCODED))
+            .groupBy("doc_id", "th").applyInArrow(join, schema))
     return short.unionByName(long)
 
 

@@ -72,7 +72,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     ranks = tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    coded = bpe_codec.decode(bpe_codec.encode(read_table(spark, sf_dir, "documents"), *ranks), *ranks)
+    coded = bpe_codec.encode(read_table(spark, sf_dir, "documents"), *ranks, and_decode=True)
     return coded.select(
         "doc_id", F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -60,6 +60,8 @@ def test_codec_equals_the_library(spark, texts, enc, chunk, overlap):
         bpe_codec.encode(df, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, chunk, overlap),
         P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
     got = sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in coded.collect()), key=str)
+    both = bpe_codec.encode(df, P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, chunk, overlap, and_decode=True)
+    assert got == sorted(((r.doc_id, bytes(r.ids), bytes(r.decoded)) for r in both.collect()), key=str)
     exp = sorted(((r.doc_id, np.array(enc.encode_ordinary(r.text or ""), "<u4").tobytes(), (r.text or "").encode())
                   for r in df.collect()), key=str)
     assert got == exp
