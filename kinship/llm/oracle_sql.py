@@ -69,3 +69,32 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+OP1 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), s AS (
+  SELECT r, p, md5(substr(h, 2 * p + 1, 800)) AS m
+  FROM (SELECT r, h, unnest(range(0, (length(h) // 2 - 399)::BIGINT)) AS p FROM d WHERE length(h) >= 800)
+), twice AS (
+  SELECT m FROM s GROUP BY m HAVING count(*) > 1
+), hit AS (
+  SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS before FROM s SEMI JOIN twice USING (m)
+), grp AS (
+  SELECT r, p, sum(CASE WHEN before IS NULL OR p > before + 400 THEN 1 ELSE 0 END) OVER (PARTITION BY r ORDER BY p) AS g
+  FROM hit
+), span AS (
+  SELECT r, min(p) AS a, max(p) + 400 AS z FROM grp GROUP BY r, g
+), gaps AS (
+  SELECT r, a, z, coalesce(lag(z) OVER (PARTITION BY r ORDER BY a), 0) AS after,
+         row_number() OVER (PARTITION BY r ORDER BY a DESC) AS from_last FROM span
+), kept AS (
+  SELECT gaps.r, sum(z - a) AS n_removed, count(*) AS n_spans,
+         string_agg(substr(h, 2 * after + 1, 2 * (a - after)), '' ORDER BY a)
+         || max(CASE WHEN from_last = 1 THEN substr(h, 2 * z + 1) ELSE '' END) AS k
+  FROM gaps JOIN d ON d.r = gaps.r GROUP BY gaps.r
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.r = d.r
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, toxicity, warc
+from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, suffix_dedup, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -30,6 +30,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_suffix_array_dedup", oracle_sql.OP1)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
