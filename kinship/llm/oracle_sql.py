@@ -98,3 +98,27 @@ SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGI
        coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
 FROM d LEFT JOIN kept ON kept.r = d.r
 """
+
+OP7 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT r, doc_id, p, md5(array_to_string(w[p:p + 12], ' ')) AS m
+  FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)
+), least AS (
+  SELECT m, min(doc_id) AS first_id FROM s GROUP BY m
+), gone AS (
+  SELECT DISTINCT r, unnest(range(p, p + 13)) AS q FROM s JOIN least USING (m) WHERE s.doc_id > first_id
+), per AS (
+  SELECT r, count(*) AS n_removed, list(q) AS qs FROM gone GROUP BY r
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS k
+  FROM (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d) AS x ANTI JOIN gone ON gone.r = x.r AND gone.q = x.i
+  GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, suffix_dedup, toxicity, warc
+from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, substring_dedup, suffix_dedup, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -86,6 +86,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query("op7_substring_dedup", oracle_sql.OP7)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.dedup(read_table(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id", "n_words", F.expr("cast(aggregate(spans, 0L, (n, x) -> n + x.end - x.start) as bigint)").alias("n_removed"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op8_exact_dedup", oracle_sql.OP8)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_names.exact_groups(read_table(spark, sf_dir, "documents")).drop("th")
