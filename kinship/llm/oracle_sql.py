@@ -122,3 +122,29 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_re
        sha256(coalesce(k, '')) AS kept_sha256
 FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
 """
+
+OP10 = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), e AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + least(len(w), 3) - 1], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS s FROM d WHERE len(w) > 0)
+), n AS (
+  SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id
+), both AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
+  FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), link AS (
+  SELECT x, y FROM both JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  WHERE 100 * i >= 90 * (a.n + b.n - i)
+), edge AS (
+  SELECT x, y FROM link UNION SELECT y, x FROM link
+), reach(x, y) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT r.x, e.y FROM reach r JOIN edge e ON e.x = r.y
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY 1, 2
+"""

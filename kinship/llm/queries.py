@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, pii, substring_dedup, suffix_dedup, toxicity, warc
+from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, parity_join, pii, substring_dedup, suffix_dedup, toxicity, warc
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -103,3 +103,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.fit(docs, labels)).drop("th")
+
+
+@query("op10_jaccard_join", oracle_sql.OP10)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90).drop("th")
