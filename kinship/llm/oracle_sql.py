@@ -134,11 +134,11 @@ WITH RECURSIVE d AS (
   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS s FROM d WHERE len(w) > 0)
 ), n AS (
   SELECT doc_id, count(*) AS n FROM e GROUP BY doc_id
-), both AS (
+), pairs AS (
   SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i
   FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
 ), link AS (
-  SELECT x, y FROM both JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+  SELECT x, y FROM pairs JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
   WHERE 100 * i >= 90 * (a.n + b.n - i)
 ), edge AS (
   SELECT x, y FROM link UNION SELECT y, x FROM link
