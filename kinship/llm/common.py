@@ -58,3 +58,28 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     path = shared_path(spark, what)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, max_rows: int) -> DataFrame:
+    """``df`` as the broadcast side of a join if it has so few rows, else as it
+    is: the join then shuffles, and AQE splits what is skewed."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def without(docs: DataFrame, dropped: DataFrame, repeated: DataFrame | None = None,
+            max_broadcast: int = 200_000) -> DataFrame:
+    """The rows of ``docs``, all columns, whose ``doc_id, th`` are not in ``dropped``;
+    of rows that share an id and a text in ``repeated`` one is left."""
+
+    def keys(df: DataFrame) -> DataFrame:
+        return small(df.select("doc_id", "th").distinct(), max_broadcast).alias("k")
+
+    same = F.expr("d.doc_id <=> k.doc_id and xxhash64(coalesce(d.text, '')) = k.th")
+    d = docs.alias("d")
+    if repeated is None or repeated.isEmpty():
+        return d.join(keys(dropped), same, "left_anti")
+    whole = "text_" + uuid.uuid4().hex          # clashes with no column
+    once = (d.join(keys(repeated), same, "left_semi").withColumn(whole, whole_text())
+            .dropDuplicates(["doc_id", whole]).drop(whole))
+    rest = d.join(keys(dropped.select("doc_id", "th").unionByName(repeated.select("doc_id", "th"))), same, "left_anti")
+    return rest.unionByName(once)

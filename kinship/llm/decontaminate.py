@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.llm.common import keyed, lower_ascii, materialise, whole_text
+from kinship.llm.common import keyed, lower_ascii, materialise, small, whole_text
 
 #: What separates words, after lower-casing A-Z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -23,12 +23,6 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(lower_ascii(text), SEPARATORS, -1), "")
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` as the broadcast side of a join if it has so few rows, else as it
-    is: the join then shuffles, and AQE splits what is skewed."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def phrases(items: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
     """Distinct windows (``wid, words``) and which items have them (``wid, item``).
 

@@ -250,13 +250,14 @@ def verify(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Recor
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block_items: int = 400_000) -> DataFrame:
-    """``doc_id, th, n_shingles, component_id`` of every row.
+    """``doc_id, th, n_shingles, component_id, is_first`` of every row.
 
     Texts are lower-cased (A-Z only) and split at blanks, tabs and line or page
     ends; a document's set holds its distinct ``words``-word shingles, the
     whole sequence as one if it has fewer words. Documents are linked whose
     Jaccard similarity is ``percent`` or more; ``component_id`` is the smallest
-    id that links lead to. Null and empty texts have no shingles and no links;
+    id that links lead to, ``is_first`` marks the row that stands for all (rows
+    that repeat it too, and every row without shingles). Null and empty texts have no shingles and no links;
     repeated rows each get a row; a null id is larger than all others; an empty
     table gives an empty result. ``block_items`` bounds what a task compares.
     """
@@ -266,7 +267,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     same = ["n", "s1", "s2"]
     classes = materialise(
         sets.filter("n > 0").groupBy(*same)
-        .agg(F.min("doc_id").alias("first_id"), F.min(F.struct("doc_id", "th")).alias("rep"))
+        .agg(F.min("doc_id").alias("first_id"),
+             F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th")).alias("rep"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
     shared = (d.select("text").mapInArrow(lambda x: key_rows(x, words, bands), _KEYS)
               .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(meet, _EDGES))
@@ -298,9 +300,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
              .mapInArrow(lambda x: verify(x, bands), _EDGES))
     linked = components(found)
     labelled = (classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left")
-                .select(*same, "first_id", F.coalesce("root", "cid").alias("label")))
-    least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = materialise(labelled.join(least, "label").select(*same, "component_id"), "named")
+                .select(*same, "first_id", "rep", F.coalesce("root", "cid").alias("label")))
+    least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"), F.min("rep").alias("first"))
+    named = materialise(labelled.join(least, "label").select(*same, "component_id", "first"), "named")
     return (sets.join(named, same, "left")
             .select("doc_id", "th", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")))
+                    F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+                    F.expr("n = 0 or (doc_id <=> first.doc_id and th = first.th)").alias("is_first")))

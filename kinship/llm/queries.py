@@ -107,4 +107,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_jaccard_join", oracle_sql.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parity_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90).drop("th")
+    return parity_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90).drop("th", "is_first")

@@ -331,3 +331,18 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     return (keyed(docs).mapInArrow(run, SCORES)
             .select("doc_id", "th", held_out_expr().alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
+
+
+def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:
+    """All columns of ``docs`` and the score of its ``text`` as ``column``; nothing is shuffled."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())])
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, w = Reader(model.lexicon), np.array(model.weights)
+        for b in batches:
+            x = np.array([reader.features(t or "") for t in b.column(at).to_pylist()]).reshape(-1, len(KINDS))
+            s = 1 / (1 + np.exp(-np.clip(x @ w + model.bias, -30, 30)))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=schema.names)
+
+    return docs.mapInArrow(run, schema)
