@@ -393,8 +393,10 @@ def fit(docs: DataFrame, max_rows: int = 300, window: int = 60, repeat: int = 6)
     """Train on the fixed lines (each ``repeat`` times) and at most ``max_rows``
     documents with digits or at signs, chosen by a hash of the text and labelled
     by the base rules; of a document, the words around its spans are used."""
-    rows = (docs.select(whole_text().alias("text")).filter(F.col("text").rlike("[0-9@]"))
-            .orderBy(F.xxhash64("text"), "text").limit(max_rows).collect())
+    held = docs.select(whole_text().alias("text")).filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text"))
+    # the texts themselves are looked up by the largest hash chosen, so no task sends more than hashes
+    last = held.select("h").distinct().orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
+    rows = held.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect() if last is not None else []
     texts, spans = [], []
     for r in rows:
         found = base_spans(r["text"])
