@@ -47,18 +47,13 @@ def build_index(df: DataFrame, key: str, order: str, payload: Sequence[str] = ()
 
 
 def attach_payload(rows: DataFrame, records: DataFrame, order: str, payload: Sequence[str],
-                   win_col: str = "win_ord", max_broadcast_rows: int | None = None) -> DataFrame:
+                   win_col: str = "win_ord") -> DataFrame:
     """Late materialisation: fetch wide ``payload`` columns of the winning
     records for ``rows`` that carry ``win_col``.
 
-    Only the winners needed by ``rows`` are read from ``records``; when that
-    set is proven small it is broadcast and the wide table is never shuffled.
+    ``records`` comes straight from its scan, so AQE may broadcast the side
+    that turns out small or split a record that many rows won; at scale Spark's
+    runtime bloom filter prunes the scan to records that some row won.
     """
-    from kinship.operators.strategy import DEFAULT_BROADCAST_ROWS, bounded_broadcast, reuse
-
-    rows = reuse(rows)      # read twice: winner ids, then the final join
-    need = rows.select(win_col).where(F.col(win_col).isNotNull()).distinct()
-    limit = DEFAULT_BROADCAST_ROWS if max_broadcast_rows is None else max_broadcast_rows
-    need, _ = bounded_broadcast(need, limit)
-    wide = records.select(F.col(order).alias(win_col), *payload).join(need, win_col, "left_semi")
+    wide = records.select(F.col(order).alias(win_col), *payload)
     return rows.join(wide, win_col, "left")

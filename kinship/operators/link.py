@@ -2,9 +2,8 @@
 
 Join shapes: inner (matched), left-anti (unmatched), left outer (enriched).
 The index has one row per key, so every question matches at most once and
-duplicate questions are all kept. The index is aggregated by ``key``; its
-output is already hash-partitioned on ``key``, so each join only shuffles
-the question side.
+duplicate questions are all kept. Joins go through ``hot_join``: a key that
+a third of all questions share is split over several tasks.
 """
 
 from __future__ import annotations
@@ -17,9 +16,9 @@ from pyspark.sql import functions as F
 from kinship.functions.text import normalizer as _normalizer
 from kinship.functions.text import has_text, strip_ws
 from kinship.operators.dedupe import attach_payload, build_index
+from kinship.operators.strategy import hot_join
 
 NO_MATCH = "No match found"
-NO_PAYLOAD = "Failed to get full data"
 
 
 def prepare_corpus(corpus: DataFrame, question_col: str = "question_text", normalizer: str = "basic",
@@ -49,14 +48,9 @@ def corpus_index(corpus: DataFrame, order: str, payload: Sequence[str] = (), kee
     return build_index(corpus, "key", order, payload, keep=keep, drop_empty_keys=drop_empty_keys)
 
 
-def exact_match(questions: DataFrame, index: DataFrame) -> DataFrame:
-    """Questions whose key is in the index, with the index columns."""
-    return questions.join(index, "key", "inner")
-
-
 def unmatched(questions: DataFrame, index: DataFrame) -> DataFrame:
     """Questions whose key is not in the index."""
-    return questions.join(index.select("key"), "key", "left_anti")
+    return hot_join(questions, index.select("key"), "key", "left_anti")
 
 
 def with_reason(unmatched_rows: DataFrame, reason: str = NO_MATCH) -> DataFrame:
@@ -64,26 +58,18 @@ def with_reason(unmatched_rows: DataFrame, reason: str = NO_MATCH) -> DataFrame:
     return unmatched_rows.withColumn("error", F.lit(reason))
 
 
-def enrich_left(questions: DataFrame, index: DataFrame) -> DataFrame:
-    """All questions; index columns filled where the key matched, else null."""
-    return questions.join(index, "key", "left")
-
-
 def exact_merge(questions: DataFrame, corpus: DataFrame, order: str,
                 payload: Sequence[str], keep: str = "last", how: str = "inner",
-                late: bool = True, max_broadcast_rows: int | None = None) -> DataFrame:
+                late: bool = True) -> DataFrame:
     """Questions joined (``how`` = inner or left) with the payload of the
     kept corpus record of their key.
 
     ``late=True`` matches on a narrow ``(key, order)`` index and then fetches
-    the wide payload only for the winners that matched (broadcast when the
-    winner set is proven small), instead of shuffling every wide corpus row.
+    the wide payload by the winners' order.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if late:
         idx = corpus_index(corpus.select("key", order), order, keep=keep)
-        hits = questions.join(idx, "key", how)
-        return attach_payload(hits, corpus, order, payload, max_broadcast_rows=max_broadcast_rows)
-    idx = corpus_index(corpus, order, payload, keep=keep)
-    return questions.join(idx, "key", how)
+        return attach_payload(hot_join(questions, idx, "key", how), corpus, order, payload)
+    return hot_join(questions, corpus_index(corpus, order, payload, keep=keep), "key", how)

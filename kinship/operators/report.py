@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.text import keywords
+from kinship.functions.text import has_text, keywords, normalizer, strip_ws
+from kinship.operators.strategy import hot_join
 
 
 def _rate(matched, processed):
@@ -20,8 +21,7 @@ def _rate(matched, processed):
 
 def match_report(questions: DataFrame, index: DataFrame, by: str | None = "dataset") -> DataFrame:
     """processed / matched / unmatched / match_rate, per ``by`` or overall."""
-    hits = index.select("key").withColumn("_hit", F.lit(1))
-    j = questions.join(hits, "key", "left")
+    j = hot_join(questions, index.select("key").withColumn("_hit", F.lit(1)), "key", "left")
     aggs = [
         F.count(F.lit(1)).alias("processed"),
         F.count("_hit").alias("matched"),
@@ -33,12 +33,20 @@ def match_report(questions: DataFrame, index: DataFrame, by: str | None = "datas
     return g.select(*cols)
 
 
-def corpus_counters(raw: DataFrame, prepared: DataFrame) -> DataFrame:
-    """One row: records read, records with a non-empty question, distinct keys."""
-    b = prepared.agg(F.count(F.lit(1)).alias("corpus_nonempty"),
-                     F.count_distinct("key").alias("corpus_keys"))
-    records = raw.agg(F.count(F.lit(1))).scalar()      # scalar subquery, no join
-    return b.select(records.alias("corpus_records"), "corpus_nonempty", "corpus_keys")
+def corpus_counters(raw: DataFrame, question_col: str = "question_text", norm: str = "basic") -> DataFrame:
+    """One row, in one pass: records read, records with a non-empty question, distinct keys."""
+    kept = has_text(question_col)
+    key = F.when(kept, F.sha2(normalizer(norm)(strip_ws(F.col(question_col))), 256))
+    return raw.agg(F.count(F.lit(1)).alias("corpus_records"), F.count_if(kept).alias("corpus_nonempty"),
+                   F.count_distinct(key).alias("corpus_keys"))
+
+
+def side_by_side(*one_row: DataFrame) -> DataFrame:
+    """The columns of several one-row frames as one row, without a join."""
+    out = one_row[0]
+    for df in one_row[1:]:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])
 
 
 def keyword_postings(corpus: DataFrame, text_col: str, stop_words="35") -> DataFrame:

@@ -1,68 +1,55 @@
-"""Physical-strategy helpers: size-checked broadcast and checkpointing.
-
-A side is broadcast only after its row count has been measured and found
-under a limit; beyond the limit the join stays a shuffle join (sort-merge or
-shuffled hash, chosen by Catalyst/AQE). The measured side is persisted first
-so the count and the join share one computation; a lost cached block is
-recomputed from lineage, so losing an executor does not fail the job.
+"""Physical-strategy helpers: joins whose hot keys can be split, written
+intermediates, spreading of few-file inputs, skew-safe top-k.
+
+AQE splits a skewed partition of a sort-merge join only where both inputs come
+straight from a shuffle of the join itself. An input that is aggregated by the
+join key is already partitioned by it, gets no shuffle and so blocks the
+split. ``hot_join`` therefore joins on a digest of the key: the aggregate's
+partitioning does not serve for that, both sides are shuffled, and the rows of
+a key that a third of the probe side shares are dealt to several tasks. A
+digest is also narrower than a long key.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinship.session import checkpoint_dir
 
-# Row limit for broadcasting a join side that holds ids and short values.
-DEFAULT_BROADCAST_ROWS = 2_000_000
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Return ``(df, True)`` wrapped in a broadcast hint if it has at most
-    ``max_rows`` rows, else ``(df, False)`` unchanged.
-    """
-    df = reuse(df)
-    n = df.count()
-    if n <= max_rows:
-        return F.broadcast(df), True
-    return df, False
+def digest(*cols: str) -> Column:
+    """SHA-256 of the columns' text (nulls told apart from empty strings)."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("0")) for c in cols]
+    return F.unhex(F.sha2(F.concat_ws("\x00", *parts), 256))
 
 
-_PERSISTED: list[DataFrame] = []
+def hot_join(probe: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``probe`` joined with ``unique`` (one row per ``key``) so that AQE may split hot keys of ``probe``.
 
-
-def reuse(df: DataFrame) -> DataFrame:
-    """Keep a DataFrame that several branches of one plan read (memory,
-    spilling to disk), so it is computed once. A lost block is recomputed
-    from lineage, so this is safe when executors are lost. ``release()``
-    frees everything kept this way."""
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(df)
-    return df
+    Null keys never match.
+    """
+    p = probe.withColumn("_kd", F.when(F.col(key).isNotNull(), digest(key)))
+    u = unique.where(F.col(key).isNotNull()).withColumn("_kd", digest(key)).drop(key)
+    return p.join(u, "_kd", how).drop("_kd")
 
 
-def release() -> None:
-    """Unpersist every DataFrame kept by ``reuse`` / ``bounded_broadcast``."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+def written(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: several
+    readers share one computation, and a lost executor costs a re-read."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/kinship/{what}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when it arrives in fewer
-    partitions than that (one unsplittable gzip file, one parquet row group),
-    so per-row text work runs in parallel. A large scan that already has
-    enough splits is returned unchanged -- no extra shuffle at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:           # no RDD view (e.g. Spark Connect): leave it as it is
-        return df
-    if parts < target:
-        return df.repartition(target)
-    return df
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt over the cores where it is read from fewer files than there
+    are cores (one gzip file is one split, and so is a small parquet file); an
+    input of many files is returned unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int, spread_by: str,

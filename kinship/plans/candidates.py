@@ -18,7 +18,7 @@ from kinship.functions.text import keywords, sorted_joined
 from kinship.operators import link
 from kinship.operators.fuzzy import match_counts, top_k_candidates
 from kinship.operators.report import keyword_index_stats, keyword_postings
-from kinship.operators.strategy import cut_lineage, release
+from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.jsonl import first_files, first_records
 from kinship.sources.sinks import write_jsonl
@@ -53,5 +53,4 @@ def run(spark: SparkSession, corpus_paths, question_paths, out_dir: str, **kw) -
     outs = build(spark, corpus_paths, question_paths, **kw)
     for name, df in outs.items():
         write_jsonl(df.drop("q_id") if name == "candidates" else df, os.path.join(out_dir, name))
-    release()
     return outs

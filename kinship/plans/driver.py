@@ -321,15 +321,11 @@ SELECT (SELECT count(*) FROM corpus) AS corpus_records, (SELECT count(*) FROM pc
        (SELECT count(DISTINCT key) FROM pc) AS corpus_keys, processed, matched, unmatched, {RATE_SQL}
 FROM agg""")
 def q_match_report_total(spark, sf_dir):
-    from kinship.operators.report import corpus_counters, match_report
+    from kinship.operators.report import corpus_counters, match_report, side_by_side
 
     qs, cs = _exact_inputs(spark, sf_dir)
     idx = link.corpus_index(cs.select("key", "ord"), "ord")
-    totals = match_report(qs, idx, by=None)
-    counters = corpus_counters(T.corpus(spark, sf_dir), cs)
-    # one-row results side by side via scalar subqueries (no join)
-    return totals.select(*[counters.select(c).scalar().alias(c) for c in counters.columns],
-                         "processed", "matched", "unmatched", "match_rate")
+    return side_by_side(corpus_counters(T.corpus(spark, sf_dir)), match_report(qs, idx, by=None))
 
 
 # ---------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from kinship.operators import link
 from kinship.operators.report import corpus_counters
-from kinship.operators.strategy import cut_lineage, release
+from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import first_per_dataset, read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl
 
@@ -68,7 +68,7 @@ def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequenc
         "matched": merged_record(matched),
         "unmatched": unmatched,
         "report": report,
-        "corpus_stats": corpus_counters(corpus, cs),
+        "corpus_stats": corpus_counters(corpus, norm=normalizer),
         "examples": examples,
         "quarantine": corpus_bad.select("_file", "_corrupt_record", "_error")
         .unionByName(q_bad.select("_file", "_corrupt_record", "_error")),
@@ -84,5 +84,4 @@ def run(spark: SparkSession, corpus_paths, question_sets, out_dir: str, **kw) ->
             "ignoreNullFields", "false").json(os.path.join(out_dir, name))
     for name in ("report", "corpus_stats", "examples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
-    release()
     return outs

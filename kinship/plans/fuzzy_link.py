@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from kinship.operators import link
 from kinship.operators.fuzzy import best_match
-from kinship.operators.strategy import cut_lineage, release
+from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import first_per_dataset, read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl
 
@@ -65,5 +65,4 @@ def run(spark: SparkSession, corpus_paths, question_sets, out_dir: str, **kw) ->
         outs[name].drop("ord").write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, name))
     for name in ("report", "examples", "corpus_keys", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
-    release()
     return outs

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators import link
-from kinship.operators.strategy import cut_lineage, release
+from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl, write_sorted_lines
 
@@ -83,5 +83,4 @@ def run(spark: SparkSession, corpus_dirs, question_sets, out_dir: str, **kw) ->
                        by="dataset")
     for name in ("counts", "per_file", "stored_samples", "normalization_samples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
-    release()
     return outs

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,7 +19,7 @@ SCALE_CONF = {
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     # broadcast only on measured sizes: no static broadcast from file-size
     # estimates; AQE converts a join to broadcast when a finished shuffle
-    # stage is small, and bounded_broadcast() counts rows first
+    # stage is small
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
@@ -38,7 +37,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.master(master)
         b = b.config("spark.ui.enabled", "false")
         b = b.config("spark.ui.showConsoleProgress", "false")
-        b = b.config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "16g"))
+        b = b.config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SCALE_CONF.items():
@@ -53,60 +52,22 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only a local-mode session without the setting (tests, a laptop) gets a
-    fresh local folder; on a cluster a missing setting is an error, since a
-    machine-local folder would not survive the loss of that machine.
+    A missing setting is an error: a machine-local folder would not survive
+    the loss of that machine, nor be seen by the others.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
-                               "object store) for checkpoints")
-        d = tempfile.mkdtemp(prefix="kinship-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or an "
+                           "object store) for checkpoints")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
 
-def _row_groups(path: str) -> int | None:
-    """Row groups of a local parquet file (its real split count), if readable."""
-    try:
-        import pyarrow.parquet as pq
+def table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """One driver parquet table, only ``columns`` of it, over all cores."""
+    from kinship.operators.strategy import spread
 
-        return pq.ParquetFile(path).metadata.num_row_groups
-    except Exception:
-        return None
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True,
-          columns: list[str] | None = None) -> DataFrame:
-    """One driver parquet table, spread over all cores when it has fewer
-    row groups than cores.
-
-    Spark plans byte-range splits of a file, but only splits holding a row
-    group's start read rows, so a one-row-group file runs in one task however
-    many splits it shows. The footer gives the real count; a large multi-file
-    table is never reshuffled (nor cached).
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
-    if columns:     # project before any spread/cache so the scan reads only these
-        df = df.select(*columns)
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-        except Exception:       # e.g. a Spark Connect session: leave the scan as it is
-            return df
-        groups = _row_groups(path)
-        if groups is not None and groups < cores:
-            # small file (fewer row groups than cores): spread it once and keep
-            # the spread copy for every branch that reads it
-            from kinship.operators.strategy import reuse
-
-            df = reuse(df.repartition(cores))
-        elif groups is None:
-            from kinship.operators.strategy import spread as _spread
-
-            df = _spread(df)
-    return df
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    # project before any spread so that the scan reads only these
+    return spread(df.select(*columns) if columns else df)

@@ -43,9 +43,10 @@ def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = Non
     within each file, so a later scan can prune and a join can merge.
 
     Meant for (near-)unique keys, such as a deduplicated index; a key that
-    holds a large share of the rows would land in a single file."""
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    df.repartition(n, key).sortWithinPartitions(key).write.mode(mode).parquet(path)
+    holds a large share of the rows would land in a single file. The number of
+    files follows the data's size unless ``partitions`` is given."""
+    dealt = df.repartition(partitions, key) if partitions else df.repartition(key)
+    dealt.sortWithinPartitions(key).write.mode(mode).parquet(path)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite",

@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from kinship.operators import link
-from kinship.operators.strategy import release
 from kinship.session import checkpoint_dir
 from kinship.sources.schemas import QUESTION_RECORD
 from kinship.sources.sinks import write_keyed
@@ -94,7 +93,6 @@ def fuzzy_stream(questions: DataFrame, corpus: DataFrame, out_path: str, thresho
         (res.drop("q_id", "key").withColumnRenamed("corpus_question", "nq_question")
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("batch_id").parquet(out_path))
-        release()       # frames kept for this batch only; a long-running stream must not pile them up
 
     w = questions.writeStream.foreachBatch(run_batch).option("checkpointLocation", cp)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="30 seconds")

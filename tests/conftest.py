@@ -25,7 +25,7 @@ def spark():
     s.sparkContext.setLogLevel("ERROR")
     # tests own their checkpoint folder (a cluster names a shared one)
     if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="kinship-test-ckpt-"))
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="kinship-test-ckpt-"))
     yield s
     s.stop()
 
