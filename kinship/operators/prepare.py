@@ -16,7 +16,7 @@ from kinship.functions.text import _col
 
 BYTE_FIELDS = ("start_byte", "end_byte")
 
-ERR_EMPTY_TOKENS = "Incorrect number of tokens."
+ERR_EMPTY_TOKENS = "Token count does not fit the text."
 ERR_NULL_TOKEN = "Null token."
 
 
@@ -55,7 +55,7 @@ def _drop_bytes(struct_col: Column, dtype) -> Column:
 
 
 def simplify(df: DataFrame) -> DataFrame:
-    """Raw records -> simplified records, plus ``error`` (null when valid).
+    """Raw records -> simplified records, plus ``n_tokens`` and ``error`` (null when valid).
 
     Invalid records (empty token list: the blank-joined text always splits
     into one piece; or a null token) keep their row and get a reason, so
@@ -86,6 +86,7 @@ def simplify(df: DataFrame) -> DataFrame:
         text.alias("document_text"),
         F.transform("long_answer_candidates", lambda c: _drop_bytes(c, cand_t)).alias("long_answer_candidates"),
         F.transform("annotations", clean_ann).alias("annotations"),
+        F.size(toks).alias("n_tokens"),
         error.alias("error"),
     )
 
@@ -106,8 +107,12 @@ def short_answers(df: DataFrame, max_tokens: int = 5, drop_blank: bool = False)
     """Raw records -> QA pairs ``(question, answer)``; records without a
     surviving short answer are dropped."""
     ans = short_answer_texts(F.col("document_html"), F.col("annotations"), max_tokens, drop_blank)
-    return (df.select(F.col("question_text").alias("question"), ans.alias("answer"), "example_id")
-            .where(F.size("answer") > 0))
+    # decided on the spans, before any text is cut: a filter on the answers
+    # would be pushed below the projection and cut and decode everything twice
+    some = F.exists("annotations", lambda a: F.exists(
+        a["short_answers"], lambda s: s["end_token"] - s["start_token"] <= F.lit(max_tokens)))
+    out = df.where(some).select(F.col("question_text").alias("question"), ans.alias("answer"), "example_id")
+    return out.where(F.size("answer") > 0) if drop_blank else out
 
 
 def shuffle_rows(df: DataFrame, seed: int = 0) -> DataFrame:

@@ -32,6 +32,10 @@ def register(name: str, sql: str | None = None):
 # ---------------------------------------------------------------------------
 # Exact linkage (lower + strip key, last record per key wins)
 
+def _whole_corpus(spark, sf_dir, norm="basic"):
+    return link.prepare_corpus(T.corpus(spark, sf_dir, whole=True), normalizer=norm, url_col="document_url")
+
+
 def _exact_inputs(spark, sf_dir, norm="basic", require_url=False):
     qs = link.prepare_questions(T.questions(spark, sf_dir), normalizer=norm)
     cs = link.prepare_corpus(T.corpus(spark, sf_dir), normalizer=norm,
@@ -212,15 +216,14 @@ def q_jaccard_pairs(spark, sf_dir):
 
 def _index_query(keep):
     def fn(spark, sf_dir):
-        _, cs = _exact_inputs(spark, sf_dir)
-        idx = link.corpus_index(cs, "ord", ["example_id", "document_url"], keep=keep)
+        idx = link.corpus_index(_whole_corpus(spark, sf_dir), "ord", ["example_id", "document_url"], keep=keep)
         return idx.select("key", "example_id", "document_url", "first_ord", "n_records")
     return fn
 
 
 for _keep, _dir in (("last", "DESC"), ("first", "ASC")):
     register(f"index_{_keep}", f"""
-WITH {S.prepared('basic')},
+WITH {S.prepared('basic', whole=True)},
 r AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY ord {_dir}) AS rn,
              min(ord) OVER (PARTITION BY key) AS first_ord, count(*) OVER (PARTITION BY key) AS n_records
       FROM pc)
@@ -269,7 +272,7 @@ def q_unmatched_text_sorted(spark, sf_dir):
 # Keyword index statistics (candidate-search corpus, 35 stop words)
 
 KW_INDEX_SQL = f"""
-WITH {S.prepared('basic')},
+WITH {S.prepared('basic', whole=True)},
 e AS (SELECT ord, unnest({S.keywords('corpus_question', '35')}) AS w FROM pc)"""
 
 
@@ -278,8 +281,7 @@ SELECT (SELECT count(*) FROM pc) AS n_questions, count(DISTINCT w) AS n_keywords
 def q_keyword_index_stats(spark, sf_dir):
     from kinship.operators.report import keyword_index_stats
 
-    _, cs = _exact_inputs(spark, sf_dir)
-    return keyword_index_stats(cs, "corpus_question", "35")
+    return keyword_index_stats(_whole_corpus(spark, sf_dir), "corpus_question", "35")
 
 
 @register("keyword_postings", KW_INDEX_SQL + """
@@ -287,8 +289,7 @@ SELECT w AS keyword, count(*) AS n_questions FROM e GROUP BY w""")
 def q_keyword_postings(spark, sf_dir):
     from kinship.operators.report import keyword_postings
 
-    _, cs = _exact_inputs(spark, sf_dir)
-    return keyword_postings(cs, "corpus_question", "35")
+    return keyword_postings(_whole_corpus(spark, sf_dir), "corpus_question", "35")
 
 
 # ---------------------------------------------------------------------------
@@ -332,11 +333,11 @@ def q_match_report_total(spark, sf_dir):
 # Dataset selection, ordered samples
 
 @register("dataset_select", """
-SELECT doc_id AS q_id, lang AS dataset FROM documents WHERE doc_id % 2 = 0 AND lang IN ('en', 'de')""")
+SELECT doc_id AS q_id, lang AS dataset FROM documents WHERE lang IN ('en', 'de')""")
 def q_dataset_select(spark, sf_dir):
     from kinship.sources.jsonl import select_datasets
 
-    return select_datasets(T.questions(spark, sf_dir), ["en", "de"]).select("q_id", "dataset")
+    return select_datasets(T.questions(spark, sf_dir, whole=True), ["en", "de"]).select("q_id", "dataset")
 
 
 @register("examples_first5", f"""
@@ -355,13 +356,12 @@ def q_examples_first5(spark, sf_dir):
 
 
 @register("normalization_samples", f"""
-WITH {S.prepared('question')}
+WITH {S.prepared('question', whole=True)}
 SELECT example_id, corpus_question AS original_question, key FROM pc ORDER BY ord LIMIT 5""")
 def q_normalization_samples(spark, sf_dir):
     from kinship.operators.report import first_n
 
-    _, cs = _exact_inputs(spark, sf_dir, norm="question")
-    return first_n(cs, "ord", 5).select("example_id", F.col("corpus_question").alias("original_question"), "key")
+    return first_n(_whole_corpus(spark, sf_dir, "question"), "ord", 5).select("example_id", F.col("corpus_question").alias("original_question"), "key")
 
 
 # ---------------------------------------------------------------------------
@@ -371,20 +371,19 @@ def q_normalization_samples(spark, sf_dir):
 SELECT page_id AS example_id, url AS document_url, {S.simplified_text('html')} AS document_text,
        len({S.tokens('html')}) AS n_tokens,
        CASE WHEN len(string_split({S.simplified_text('html')}, ' ')) <> len({S.tokens('html')})
-            THEN 'Incorrect number of tokens.' END AS error
+            THEN 'Token count does not fit the text.' END AS error
 FROM pages""")
 def q_simplify_pages(spark, sf_dir):
     from kinship.operators.prepare import simplify
 
-    raw = T.raw_pages(spark, sf_dir).withColumn("n_tokens", F.size("document_tokens").cast("bigint"))
-    s = simplify(raw.drop("n_tokens")).join(raw.select("example_id", "n_tokens"), "example_id")
-    return s.select("example_id", "document_url", "document_text", "n_tokens", "error")
+    s = simplify(T.raw_pages(spark, sf_dir))
+    return s.select("example_id", "document_url", "document_text", F.col("n_tokens").cast("bigint").alias("n_tokens"), "error")
 
 
 @register("span_text", f"""
 WITH {S.element_spans()},
 doc AS (SELECT page_id, string_split({S.simplified_text('html')}, ' ') AS toks FROM pages)
-SELECT s.page_id AS example_id, (row_number() OVER (PARTITION BY s.page_id ORDER BY s.elem) - 1)::BIGINT AS span_no, s.start_token::BIGINT AS start_token,
+SELECT s.page_id AS example_id, (row_number() OVER (PARTITION BY s.page_id ORDER BY s.elem, s.k) - 1)::BIGINT AS span_no, s.start_token::BIGINT AS start_token,
        (s.start_token + s.n_tok)::BIGINT AS end_token,
        array_to_string(list_slice(doc.toks, s.start_token + 1, s.start_token + s.n_tok), ' ') AS text
 FROM spans s JOIN doc USING (page_id)
@@ -410,7 +409,7 @@ def q_span_text(spark, sf_dir):
 
 SHORT_SQL = f"""
 WITH {S.element_spans()},
-txt AS (SELECT page_id, url, {S.decode_native(S.strip_tags('substring(html, o, e - o)'))} AS t
+txt AS (SELECT page_id, url, {S.decode_native(S.strip_tags('el'))} AS t
         FROM spans WHERE n_tok <= 5)
 SELECT page_id AS example_id, url AS question, array_to_string(list_sort(list_distinct(list(t))), ' | ') AS answer
 FROM txt GROUP BY page_id, url"""

@@ -9,6 +9,8 @@ No driver table is shaped like a QA set, so ``documents`` plays both roles
   ``document_url`` = source, ``document_title`` = lang,
   ``document_text`` = text, ``example_id`` = ``ord`` = doc_id.
 
+Queries with one side only take every row of the table (``whole=True``).
+
 ``pages`` supplies raw annotated HTML records (see ``raw_pages``).
 """
 
@@ -36,9 +38,10 @@ def is_question_row() -> Column:
     return F.col("doc_id") % 2 == 0
 
 
-def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def questions(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Even rows, where the others are the corpus; ``whole``: every row."""
     d = documents(spark, sf_dir)
-    return d.where(is_question_row()).select(
+    return (d if whole else d.where(is_question_row())).select(
         F.col("doc_id").alias("q_id"),
         F.col("doc_id").alias("ord"),
         F.col("text").alias("question"),
@@ -47,9 +50,10 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def corpus(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Odd rows, where the others are the questions; ``whole``: every row."""
     d = documents(spark, sf_dir)
-    return d.where(~is_question_row()).select(
+    return (d if whole else d.where(~is_question_row())).select(
         F.col("doc_id").alias("example_id"),
         F.col("doc_id").alias("ord"),
         F.col("text").alias("question_text"),
@@ -59,55 +63,59 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# Elements of a page that stand in for annotated short answers:
-# (name, opening text, closing text).
-ANSWER_ELEMENTS = (("title", "<title>", "</title>"), ("h1", "<h1>", "</h1>"), ("a", "<a ", "</a>"))
-
-
-def _element_span(html: Column, open_text: str, close_text: str) -> Column:
-    """Struct span (token and UTF-8 byte offsets) of the first element that
-    starts with ``open_text`` and ends with ``close_text``; null if none."""
-    open_pos = F.instr(html, open_text)                        # 1-based char, 0 = none
-    rest = F.substring(html, open_pos, F.lit(1 << 30))
-    close_rel = F.instr(rest, close_text)
-    end_pos = open_pos + close_rel - F.lit(1) + F.lit(len(close_text))   # 1-based, exclusive
-    before = F.substring(html, F.lit(1), open_pos - F.lit(1))
-    inner = F.substring(html, open_pos, end_pos - open_pos)
-    start_tok = F.size(F.regexp_extract_all(before, F.lit(TOKEN_PATTERN), 0))
-    n_tok = F.size(F.regexp_extract_all(inner, F.lit(TOKEN_PATTERN), 0))
-    span = F.struct(
-        start_tok.alias("start_token"),
-        (start_tok + n_tok).alias("end_token"),
-        F.octet_length(before).alias("start_byte"),
-        (F.octet_length(before) + F.octet_length(inner)).alias("end_byte"),
-    )
-    return F.when((open_pos > 0) & (close_rel > 0), span)
+# Elements of a page that stand in for annotated short answers, and the pattern of each.
+ANSWER_ELEMENTS = (("title", r"(?s)<title>.*?</title>"), ("h1", r"(?s)<h1>.*?</h1>"), ("a", r"(?s)<a .*?</a>"))
+
+
+def _n_tokens(text: Column) -> Column:
+    return F.size(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), 0))
+
+
+def _element_spans(html: Column, pattern: str) -> Column:
+    """Spans (token and UTF-8 byte offsets) of all elements that match, in page order.
+
+    The page is cut into what stands between the elements and the elements;
+    an element starts after the tokens and bytes of all pieces before it.
+    """
+    pieces = F.arrays_zip(
+        F.transform(F.split(html, pattern, -1), lambda g: F.struct(_n_tokens(g).alias("t"), F.octet_length(g).alias("b"))).alias("gap"),
+        F.transform(F.regexp_extract_all(html, F.lit(pattern), 0),
+                    lambda m: F.struct(_n_tokens(m).alias("t"), F.octet_length(m).alias("b"))).alias("el"))
+    none = F.array().cast("array<struct<start_token:int,end_token:int,start_byte:int,end_byte:int>>")
+
+    def add(acc: Column, p: Column) -> Column:
+        t, b = acc["t"] + p["gap"]["t"], acc["b"] + p["gap"]["b"]
+        span = F.struct(t.alias("start_token"), (t + p["el"]["t"]).alias("end_token"),
+                        b.alias("start_byte"), (b + p["el"]["b"]).alias("end_byte"))
+        # after the last gap there is no element
+        return F.struct(F.coalesce(t + p["el"]["t"], t).alias("t"), F.coalesce(b + p["el"]["b"], b).alias("b"),
+                        F.when(p["el"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span))).alias("out"))
+
+    start = F.struct(F.lit(0).alias("t"), F.lit(0).alias("b"), none.alias("out"))
+    return F.aggregate(pieces, start, add, lambda acc: acc["out"])
 
 
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pages`` as raw annotated records.
 
     Tokens are the tags and blank-free words of the HTML. Annotation 1 has
-    the whole page as long answer and the first ``title``, ``h1`` and ``a``
-    elements as short answers; annotation 2 has a null long answer (-1) and
-    the ``h1`` element again.
+    the whole page as long answer and all ``title``, ``h1`` and ``a`` elements
+    as short answers; annotation 2 has a null long answer (-1) and the ``h1``
+    elements again.
     """
     p = table(spark, sf_dir, "pages", columns=["page_id", "url", "html"])
     html = F.col("html")
     toks = F.regexp_extract_all(html, F.lit(TOKEN_PATTERN), 0)
-    spans = {n: _element_span(html, o, c) for n, o, c in ANSWER_ELEMENTS}
+    spans = {n: _element_spans(html, pattern) for n, pattern in ANSWER_ELEMENTS}
     null_span = F.struct(*[F.lit(-1).alias(n) for n in ("start_token", "end_token", "start_byte", "end_byte")])
     whole = F.struct(F.lit(0).alias("start_token"), F.size(toks).alias("end_token"),
                      F.lit(0).alias("start_byte"), F.octet_length(html).alias("end_byte"))
 
-    def present(*cols):
-        return F.filter(F.array(*cols), lambda s: s.isNotNull())
-
     ann1 = F.struct(whole.alias("long_answer"),
-                    present(*spans.values()).alias("short_answers"),
+                    F.concat(*spans.values()).alias("short_answers"),
                     F.lit("NONE").alias("yes_no_answer"))
     ann2 = F.struct(null_span.alias("long_answer"),
-                    present(spans["h1"]).alias("short_answers"),
+                    spans["h1"].alias("short_answers"),
                     F.lit("NONE").alias("yes_no_answer"))
     cand = F.struct(*[whole[n].alias(n) for n in ("start_token", "end_token", "start_byte", "end_byte")],
                     F.lit(True).alias("top_level"))
