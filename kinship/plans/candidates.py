@@ -1,15 +1,15 @@
 """Candidate search job: keyword inverted index over the corpus and the top
 3 corpus questions (Jaccard >= 0.3, 35 stop words) for each question.
 
-Optional samples as in an exploratory run: the first ``num_files`` corpus
-files in sorted order and the first ``num_questions`` questions; both
+Optional samples as in an exploratory run: the first k files of each folder
+(``{folder: k}``) or the first ``num_files`` corpus files in sorted order and the first ``num_questions`` questions; both
 default to everything.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,13 +20,15 @@ from kinship.operators.fuzzy import match_counts, top_k_candidates
 from kinship.operators.report import keyword_index_stats, keyword_postings
 from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import read_corpus, read_questions
-from kinship.sources.jsonl import first_files, first_records
+from kinship.sources.jsonl import first_files, first_records, sample_files
 from kinship.sources.sinks import write_jsonl
 
 
-def build(spark: SparkSession, corpus_paths: Sequence[str], question_paths, threshold: float = 0.3,
+def build(spark: SparkSession, corpus_paths: Sequence[str] | Mapping[str, int], question_paths, threshold: float = 0.3,
           k: int = 3, stop_words="35", num_files: int | None = None,
           num_questions: int | None = None) -> dict[str, DataFrame]:
+    if isinstance(corpus_paths, Mapping):
+        corpus_paths = sample_files(spark, corpus_paths)
     paths = first_files(spark, corpus_paths, num_files) if num_files else list(corpus_paths)
     corpus, corpus_bad = read_corpus(spark, paths)
     questions, q_bad = read_questions(spark, {"questions": question_paths})

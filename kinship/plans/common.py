@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from kinship.operators.strategy import spread
+from kinship.operators.strategy import spread, written
 from kinship.sources.jsonl import read_jsonl, split_valid, with_dataset
 from kinship.sources.schemas import QUESTION_RECORD, SIMPLIFIED_RECORD
 
@@ -22,12 +22,16 @@ def corpus_schema(question_field: str = "question_text", base: StructType = SIMP
 def read_corpus(spark: SparkSession, paths, question_field: str = "question_text",
                 base: StructType = SIMPLIFIED_RECORD, path_glob: str | None = None,
                 recursive: bool = False) -> tuple[DataFrame, DataFrame]:
-    """``(records, quarantine)``; records carry ``ord`` and ``question_text``."""
-    df = read_jsonl(spark, paths, corpus_schema(question_field, base), path_glob, recursive)
-    good, bad = split_valid(df)
+    """``(records, quarantine)``; records carry ``ord`` and ``question_text``.
+
+    The lines are parsed once, spread and written: every reader of the records
+    sees the same ``ord``, and an unsplittable file is read by one task only once.
+    """
+    df = read_jsonl(spark, paths, corpus_schema(question_field, base), path_glob, recursive).drop("_line")
+    good, bad = split_valid(written(spread(df), "corpus"))
     if question_field != "question_text":
         good = good.withColumnRenamed(question_field, "question_text")
-    return spread(good), bad
+    return good, bad
 
 
 def read_questions(spark: SparkSession, sets: Mapping[str, Sequence[str] | str],
@@ -36,8 +40,7 @@ def read_questions(spark: SparkSession, sets: Mapping[str, Sequence[str] | str],
     ``q_id`` = record order; plus the quarantined lines."""
     frames = {name: read_jsonl(spark, p, schema) for name, p in sets.items()}
     df = with_dataset(frames).withColumn("q_id", F.col("ord"))
-    good, bad = split_valid(df)
-    return spread(good), bad
+    return split_valid(written(spread(df), "questions"))
 
 
 def first_per_dataset(df: DataFrame, n: int = 5, order: str = "ord") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators.prepare import short_answers, shuffle_rows, simplify
-from kinship.sources.jsonl import read_jsonl, read_jsonl_strict, split_valid
+from kinship.sources.jsonl import full_schema, read_jsonl, read_jsonl_strict, split_valid
 from kinship.sources.schemas import RAW_RECORD
 from kinship.sources.sinks import write_jsonl
 
@@ -22,13 +22,15 @@ REQUIRED = ("question_text", "example_id", "document_url", "document_tokens",
 def simplify_records(spark: SparkSession, paths, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     """``(simplified, rejected)``. ``strict``: a malformed line, missing
     field or token-count mismatch fails the job; otherwise such records go
-    to ``rejected`` with a reason."""
+    to ``rejected`` with a reason. Fields of annotations and answers that
+    this package does not know are carried along."""
+    schema = full_schema(spark, paths, RAW_RECORD)
     if strict:
-        raw = read_jsonl_strict(spark, paths, RAW_RECORD, REQUIRED)
+        raw = read_jsonl_strict(spark, paths, schema, REQUIRED)
         s = simplify(raw.withColumn("_source", F.col("_metadata.file_name")))
         s = s.where(F.assert_true(F.col("error").isNull(), F.col("error")).isNull())
         return s.drop("error"), spark.createDataFrame([], "error string")
-    good, bad = split_valid(read_jsonl(spark, paths, RAW_RECORD))
+    good, bad = split_valid(read_jsonl(spark, paths, schema))
     s = simplify(good.withColumn("_source", F.element_at(F.split("_file", "/"), -1)))
     rejected = s.where(F.col("error").isNotNull()).select("example_id", "error")
     rejected = rejected.unionByName(bad.select(F.lit(None).cast("long").alias("example_id"),

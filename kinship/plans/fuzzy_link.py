@@ -1,7 +1,7 @@
 """Fuzzy linkage job: exact key first, else the best keyword-set Jaccard
 match at or above the threshold (default 0.9, 14 stop words).
 
-Every question row is written; matched rows gain ``document_url``,
+Every question record is written with all its fields; matched ones gain ``document_url``,
 ``nq_similarity`` and ``nq_question``. Unmatched rows are also written as
 ``(question, first answer)``. The corpus keeps rows with a question and a
 url; the last record of a key gives its payload, the first its rank.
@@ -19,7 +19,10 @@ from kinship.operators import link
 from kinship.operators.fuzzy import best_match
 from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import first_per_dataset, read_corpus, read_questions
-from kinship.sources.sinks import write_jsonl
+from kinship.sources.sinks import write_jsonl, write_merged
+
+
+ADDED = ["document_url", "nq_similarity", "nq_question"]
 
 
 def first_answer(answer) -> F.Column:
@@ -39,7 +42,7 @@ def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequenc
     res = cut_lineage(best_match(qs, cs, threshold, stop_words))
     res = res.withColumnRenamed("corpus_question", "nq_question")
     hit = F.col("nq_similarity").isNotNull()
-    enriched = res.select("dataset", "ord", "question", "answer", "document_url", "nq_similarity", "nq_question")
+    enriched = res.select("dataset", "ord", "question", "answer", *ADDED, "_line")
     unmatched = res.where(~hit).select("dataset", "ord", "question", first_answer("answer").alias("answer"))
     report = (res.groupBy("dataset")
               .agg(F.count(F.lit(1)).alias("processed"), F.count_if(hit).alias("matched"))
@@ -61,8 +64,8 @@ def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequenc
 
 def run(spark: SparkSession, corpus_paths, question_sets, out_dir: str, **kw) -> dict[str, DataFrame]:
     outs = build(spark, corpus_paths, question_sets, **kw)
-    for name in ("enriched", "unmatched"):
-        outs[name].drop("ord").write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, name))
+    write_merged(outs["enriched"], os.path.join(out_dir, "enriched"), F.col("nq_similarity").isNotNull(), ADDED)
+    outs["unmatched"].drop("ord").write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, "unmatched"))
     for name in ("report", "examples", "corpus_keys", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
     return outs

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from kinship.operators import link
 from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import read_corpus, read_questions
-from kinship.sources.sinks import write_jsonl, write_sorted_lines
+from kinship.sources.sinks import write_jsonl, write_merged, write_sorted_lines
 
 STORED = ("document_url", "document_title", "annotations", "long_answer_candidates")
 
@@ -45,9 +45,9 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     cs = store(link.prepare_corpus(corpus, normalizer="question"))
     qs = link.prepare_questions(questions, normalizer="question")
     payload = list(STORED) + ["nq_original_question"]
-    # the payload overwrites same-named question fields on matched rows
-    qs_clean = qs.drop(*[c for c in STORED if c in qs.columns])
-    enriched = cut_lineage(link.exact_merge(qs_clean, cs, "ord", payload, keep="last", how="left"))
+    # question fields of the same names stay in the record; on matched rows the payload replaces them
+    qs = qs.select("dataset", "ord", "q_id", "question", "answer", "key", "_line")
+    enriched = cut_lineage(link.exact_merge(qs, cs, "ord", payload, keep="last", how="left"))
     hit = F.col("win_ord").isNotNull()
     matched_q = enriched.where(hit).select("dataset", "question").distinct()
     unmatched_q = enriched.where(~hit).select("dataset", "question").distinct()
@@ -61,14 +61,18 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     sample_keys = matched_q.select("question").distinct().orderBy("question").limit(5)
     sample_keys = link.prepare_questions(sample_keys, normalizer="question").select("key")
     stored_samples = idx.join(sample_keys, "key", "left_semi").select("key", "nq_original_question")
+    # the first 5 unmatched questions (in text order) and what they were looked up by
+    unmatched_samples = link.prepare_questions(
+        unmatched_q.select("question").distinct().orderBy("question").limit(5), normalizer="question")
     norm_samples = cs.orderBy("ord").limit(5).select("key", "nq_original_question")
     return {
-        "enriched": enriched.drop("key", "win_ord"),
+        "enriched": enriched.select("dataset", "ord", "question", "answer", *payload, hit.alias("matched"), "_line"),
         "unmatched_questions": unmatched_q,
         "matched_questions": matched_q,
         "counts": counts,
         "per_file": per_file,
         "stored_samples": stored_samples,
+        "unmatched_samples": unmatched_samples,
         "normalization_samples": norm_samples,
         "quarantine": corpus_bad.select("_file", "_corrupt_record", "_error")
         .unionByName(q_bad.select("_file", "_corrupt_record", "_error")),
@@ -77,10 +81,9 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
 
 def run(spark: SparkSession, corpus_dirs, question_sets, out_dir: str, **kw) -> dict[str, DataFrame]:
     outs = build(spark, corpus_dirs, question_sets, **kw)
-    (outs["enriched"].drop("ord", "q_id", "_corrupt_record", "_error", "_file")
-     .write.mode("overwrite").partitionBy("dataset").json(os.path.join(out_dir, "enriched")))
+    write_merged(outs["enriched"], os.path.join(out_dir, "enriched"), F.col("matched"), [*STORED, "nq_original_question"])
     write_sorted_lines(outs["unmatched_questions"], "question", os.path.join(out_dir, "unmatched"),
                        by="dataset")
-    for name in ("counts", "per_file", "stored_samples", "normalization_samples", "quarantine"):
+    for name in ("counts", "per_file", "stored_samples", "unmatched_samples", "normalization_samples", "quarantine"):
         write_jsonl(outs[name], os.path.join(out_dir, name))
     return outs

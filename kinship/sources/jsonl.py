@@ -8,19 +8,28 @@ its position and a bad line is *kept* with a reason instead of vanishing:
 Record order (``ord``) is ``struct(file path, block start, row id)``: files
 in path order, then lines in file order. A gzip file is one split, so its
 row ids follow its lines; for plain files every split is a separate block.
-Blank lines are skipped.
+Blank lines are skipped. The order holds within one evaluation of the lines;
+jobs write what they have read before they use it twice.
+
+``_line`` keeps the whole line, so that fields the schema does not know reach
+the outputs (``sinks.write_merged``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType, VariantType
 
 ERR_BAD_JSON = "Malformed JSON"
 ERR_NOT_OBJECT = "Not a JSON object"
+ERR_SECOND = "More than one JSON value on a line"
+ERR_TYPE = "A field does not fit its type"
+
+# white space that JSON allows around a value
+_JSON_WS = r"[ \t\r\n]*"
 
 
 def _paths(paths) -> list[str]:
@@ -45,20 +54,37 @@ def read_jsonl(spark: SparkSession, paths, schema: StructType, path_glob: str |
             F.monotonically_increasing_id().alias("row"),
         ).alias("ord"),
     )
-    lines = lines.where(F.trim(F.col("value")) != "")
-    full = StructType(schema.fields + [StructField("_corrupt_record", StringType())])
+    lines = lines.where(~F.col("value").rlike("^" + _JSON_WS + "$"))
+    # a list of strings may be given as one string
+    loose = {f.name for f in schema.fields if f.dataType == ArrayType(StringType())}
+    full = StructType([StructField(f.name, VariantType()) if f.name in loose else f for f in schema.fields]
+                      + [StructField("_corrupt_record", StringType())])
     parsed = F.from_json("value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    out = lines.withColumn("_p", parsed)
-    is_obj = F.ltrim(F.col("value")).startswith("{")
+    # as the only element of a list a line is parsed to its end
+    n = F.json_array_length(F.concat(F.lit("["), "value", F.lit("]")))
+    out = lines.withColumn("_p", parsed).withColumn("_n", n)
     bad = F.col("_p").isNull() | F.col("_p._corrupt_record").isNotNull()
-    err = F.when(is_obj & bad, F.lit(ERR_BAD_JSON)).when(~is_obj, F.when(
-        F.ltrim(F.col("value")).startswith("["), F.lit(ERR_NOT_OBJECT)).otherwise(F.lit(ERR_BAD_JSON)))
+    leads = F.json_object_keys("value").isNotNull() & F.col("value").rlike("^" + _JSON_WS + r"\{")
+    err = (F.when(F.col("_n").isNull() | (F.col("_n") != 1), F.when(leads, F.lit(ERR_SECOND)).otherwise(F.lit(ERR_BAD_JSON)))
+           .when(~F.col("value").rlike("^" + _JSON_WS + r"\{"), F.lit(ERR_NOT_OBJECT))
+           .when(bad, F.lit(ERR_TYPE)))
+
+    def field(f: StructField):
+        v = F.col("_p")[f.name]
+        if f.name not in loose:
+            return v.alias(f.name)
+        one = F.array(F.try_variant_get(v, "$", "string"))
+        return (F.when(v.isNull() | F.is_variant_null(v), F.lit(None))
+                .when(F.schema_of_variant(v).startswith("ARRAY"), F.try_variant_get(v, "$", "array<string>"))
+                .otherwise(one).alias(f.name))
+
     return out.select(
-        *[F.col("_p")[f.name].alias(f.name) for f in schema.fields],
+        *[field(f) for f in schema.fields],
         F.when(err.isNotNull(), F.col("value")).alias("_corrupt_record"),
         err.alias("_error"),
         "ord",
         "_file",
+        F.col("value").alias("_line"),
     )
 
 
@@ -97,9 +123,33 @@ def select_datasets(df: DataFrame, names: Sequence[str] | str | None) -> DataFra
     return df.where(F.col("dataset").isin(names))
 
 
-def first_files(spark: SparkSession, paths: Sequence[str], n: int) -> list[str]:
-    """The first ``n`` of ``paths`` in sorted order (a file sample)."""
-    return sorted(paths)[:n]
+def first_files(spark: SparkSession, paths: Sequence[str] | str, n: int, path_glob: str = "*.jsonl*") -> list[str]:
+    """The first ``n`` files in sorted order among ``paths``: files, globs or
+    folders, which Spark lists (no file is opened)."""
+    found = (spark.read.format("binaryFile").option("pathGlobFilter", path_glob).option("recursiveFileLookup", "true")
+             .load(_paths(paths)).select("path").distinct().orderBy("path").limit(n))
+    return [r["path"] for r in found.collect()]
+
+
+def sample_files(spark: SparkSession, folders: Mapping[str, int], path_glob: str = "*.jsonl*") -> list[str]:
+    """The first k files of each folder, e.g. ``{train: 2, dev: 1}``."""
+    return [f for folder, k in folders.items() for f in first_files(spark, folder, k, path_glob)]
+
+
+def merged_type(known: DataType, found: DataType) -> DataType:
+    """``known`` with the struct fields, at any depth, that only ``found`` has."""
+    if isinstance(known, StructType) and isinstance(found, StructType):
+        own = {f.name: f for f in found.fields}
+        fields = [StructField(f.name, merged_type(f.dataType, own[f.name].dataType) if f.name in own else f.dataType) for f in known]
+        return StructType(fields + [f for f in found.fields if f.name not in known.names])
+    if isinstance(known, ArrayType) and isinstance(found, ArrayType):
+        return ArrayType(merged_type(known.elementType, found.elementType))
+    return known
+
+
+def full_schema(spark: SparkSession, paths, known: StructType) -> StructType:
+    """``known`` with every other field that the records have, from one pass over them."""
+    return merged_type(known, spark.read.json(_paths(paths)).schema)
 
 
 def first_records(df: DataFrame, n: int, order: str = "ord") -> DataFrame:

@@ -24,6 +24,22 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "overwrite", keep_nulls: b
     w.json(path)
 
 
+def merged_json(line, hit, overlay: list[str]):
+    """The JSON object ``line`` with all its fields, the ``overlay`` columns put
+    over it where ``hit`` holds."""
+    record = F.from_json(line, "map<string,variant>")
+    over = F.from_json(F.to_json(F.struct(*overlay), {"ignoreNullFields": "false"}), "map<string,variant>")
+    kept = F.map_filter(record, lambda k, _: ~k.isin(overlay))
+    return F.to_json(F.when(hit, F.map_concat(kept, over)).otherwise(record), {"ignoreNullFields": "false"})
+
+
+def write_merged(df: DataFrame, path: str, hit, overlay: list[str], line: str = "_line",
+                 by: str = "dataset", mode: str = "overwrite") -> None:
+    """Every row's whole input record as JSON lines, enriched where it matched,
+    one folder per value of ``by``."""
+    df.select(by, merged_json(F.col(line), hit, overlay).alias("value")).write.mode(mode).partitionBy(by).text(path)
+
+
 def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrite",
                        by: str | None = None) -> None:
     """Distinct values of ``col`` as text lines in ascending order (a global
