@@ -3,9 +3,12 @@ Results must stay exact (no rows dropped, capped or sampled)."""
 
 import random
 
+import pytest
+
 from kinship.operators.fuzzy import top_k_candidates
 from kinship.operators.link import exact_merge, prepare_corpus, prepare_questions, unmatched, corpus_index
-from kinship.operators.simjoin import similarity_join
+from kinship.operators.simjoin import ranked_tokens, similarity_join, token_counts
+from kinship.operators.strategy import hot_join
 from tests.test_simjoin import brute
 
 
@@ -74,3 +77,55 @@ def test_hot_question_top_k(spark):
                 c.append((-s, o, t))
         exp = [(i + 1, x[2]) for i, x in enumerate(sorted(c)[:3])]
         assert sorted(got.get(qid, [])) == exp
+
+
+@pytest.fixture()
+def eager_skew(spark):
+    """Thresholds at which a few thousand rows on one key count as skewed."""
+    new = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+           "spark.sql.adaptive.coalescePartitions.enabled": "false",
+           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def final_plan(df):
+    rows = df.collect()
+    return rows, df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_split_over_tasks(spark, eager_skew):
+    """Two thirds of the questions on one key, an index too large to broadcast:
+    every join shape deals that key's rows to several tasks."""
+    n = 30_000
+    qs = prepare_questions(spark.range(n).repartition(16).selectExpr(
+        "id as q_id", "if(id % 3 = 0, concat('question ', id), 'hot question') as question"))
+    cs = prepare_corpus(spark.range(n).repartition(16).selectExpr(
+        "id as ord", "if(id = 7, 'Hot question', concat('question ', id)) as question_text", "concat('u', id) as document_url"))
+    idx = corpus_index(cs.select("key", "ord"), "ord")
+    for how in ("inner", "left", "left_anti"):
+        rows, plan = final_plan(hot_join(qs, idx, "key", how))
+        assert "skew=true" in plan, how
+        assert len(rows) == {"inner": n, "left": n, "left_anti": 0}[how]
+    rows, plan = final_plan(exact_merge(qs, cs, "ord", ["document_url"]))
+    assert plan.count("skew=true") >= 2          # the index and the payload
+    assert len(rows) == n and sum(r.document_url == "u7" for r in rows) == 2 * n // 3
+    assert unmatched(qs, idx).count() == 0
+
+
+def test_frequent_token_is_split_over_tasks(spark, eager_skew):
+    """One word in every set: its occurrences meet their count in several tasks."""
+    n = 20_000
+    side = spark.range(n).repartition(16).selectExpr("id as lid", "array('common', concat('w', id), concat('v', id % 500)) as kw")
+    freq = token_counts(side.selectExpr("explode(kw) as token"))
+    rows, plan = final_plan(ranked_tokens(side.selectExpr("lid", "3 as sz", "kw"), "lid", freq))
+    assert "skew=true" in plan
+    assert len(rows) == 3 * n and {r.df for r in rows if r.token == "common"} == {n}
