@@ -8,22 +8,22 @@ import os
 from kinship.plans import candidates, corpus_prep, exact_merge, fuzzy_link, keyed_enrich
 
 CORPUS = [
-    {"example_id": 1, "question_text": "who wrote hamlet", "document_url": "u1", "document_text": "<P> H </P>",
+    {"example_id": 1, "question_text": "who built the mill", "document_url": "u1", "document_text": "<P> H </P>",
      "annotations": [{"long_answer": {"start_token": 0, "end_token": 3},
                       "short_answers": [{"start_token": 1, "end_token": 2}], "yes_no_answer": "NONE"}],
      "long_answer_candidates": [{"start_token": 0, "end_token": 3, "top_level": True}]},
-    {"example_id": 2, "question_text": "Who wrote Hamlet", "document_url": "u2", "document_text": "<P> H2 </P>"},
-    {"example_id": 3, "question_text": "when did the harry potter movie come out", "document_url": "u3"},
-    {"example_id": 4, "question_text": "what is capital of france", "document_url": "u4"},
+    {"example_id": 2, "question_text": "Who built the Mill", "document_url": "u2", "document_text": "<P> H2 </P>"},
+    {"example_id": 3, "question_text": "where do the grey geese fly in winter", "document_url": "u3"},
+    {"example_id": 4, "question_text": "what is tree of norway", "document_url": "u4"},
     {"example_id": 5, "question_text": "", "document_url": "u5"},
 ]
 DEV = [
-    {"question": "who wrote hamlet", "answer": ["Shakespeare"]},
-    {"question": "when did harry potter the movie come out", "answer": ["2001"]},
-    {"question": "Capital of France?", "answer": []},
+    {"question": "who built the mill", "answer": ["a miller"]},
+    {"question": "where do grey geese in the winter fly", "answer": ["south"]},
+    {"question": "Tree of Norway?", "answer": []},
     {"question": "something else entirely", "answer": ["x"]},
 ]
-TEST = [{"question": "WHO WROTE HAMLET ", "answer": ["S"]}]
+TEST = [{"question": "WHO BUILT THE MILL ", "answer": ["S"]}]
 
 
 def write_lines(path, rows, gz=False):
@@ -49,9 +49,9 @@ def test_exact_merge_job(spark, tmpdir_run):
     corpus, qsets = fixture(tmpdir_run)
     outs = exact_merge.run(spark, corpus, qsets, os.path.join(tmpdir_run, "out"))
     m = {(r.dataset, r.question): r for r in outs["matched"].collect()}
-    assert set(m) == {("dev", "who wrote hamlet"), ("test", "WHO WROTE HAMLET")}
-    assert m[("dev", "who wrote hamlet")].document_url == "u2"        # last record of the key
-    assert m[("dev", "who wrote hamlet")].annotations == []             # default for a missing field
+    assert set(m) == {("dev", "who built the mill"), ("test", "WHO BUILT THE MILL")}
+    assert m[("dev", "who built the mill")].document_url == "u2"        # last record of the key
+    assert m[("dev", "who built the mill")].annotations == []             # default for a missing field
     first = exact_merge.build(spark, corpus, qsets, keep="first")["matched"]
     assert {r.document_url for r in first.collect()} == {"u1"}
     rep = {r.dataset: (r.processed, r.matched, r.unmatched) for r in outs["report"].collect()}
@@ -66,9 +66,9 @@ def test_keyed_enrich_job(spark, tmpdir_run):
     outs = keyed_enrich.run(spark, dirs, qsets, os.path.join(tmpdir_run, "out"))
     e = {(r.dataset, r.question): r for r in outs["enriched"].collect()}
     assert len(e) == 5
-    assert e[("dev", "Capital of France?")].document_url == "u4"   # question words dropped from both keys
+    assert e[("dev", "Tree of Norway?")].document_url == "u4"   # question words dropped from both keys
     assert e[("dev", "something else entirely")].document_url is None
-    assert e[("dev", "who wrote hamlet")].nq_original_question == "Who wrote Hamlet"
+    assert e[("dev", "who built the mill")].nq_original_question == "Who built the Mill"
     lines = open([os.path.join(p, f) for p, _, fs in os.walk(os.path.join(tmpdir_run, "out", "unmatched", "dataset=dev"))
                   for f in fs if f.startswith("part")][0]).read().split("\n")
     assert "something else entirely" in lines
@@ -78,11 +78,11 @@ def test_fuzzy_job(spark, tmpdir_run):
     corpus, qsets = fixture(tmpdir_run)
     outs = fuzzy_link.run(spark, corpus, qsets, os.path.join(tmpdir_run, "out"))
     e = {(r.dataset, r.question): r for r in outs["enriched"].collect()}
-    assert e[("dev", "when did harry potter the movie come out")].nq_similarity == 1.0   # same keyword set
-    assert e[("dev", "when did harry potter the movie come out")].document_url == "u3"
-    assert e[("dev", "who wrote hamlet")].nq_similarity == 1.0
+    assert e[("dev", "where do grey geese in the winter fly")].nq_similarity == 1.0   # same keyword set
+    assert e[("dev", "where do grey geese in the winter fly")].document_url == "u3"
+    assert e[("dev", "who built the mill")].nq_similarity == 1.0
     u = {r.question: r.answer for r in outs["unmatched"].collect()}
-    assert u["Capital of France?"] is None            # empty answer list: kept, no first answer
+    assert u["Tree of Norway?"] is None            # empty answer list: kept, no first answer
     assert u["something else entirely"] == "x"
 
 
@@ -91,7 +91,7 @@ def test_candidates_job(spark, tmpdir_run):
     outs = candidates.run(spark, corpus, qsets["dev"], os.path.join(tmpdir_run, "out"))
     c = outs["candidates"].collect()
     assert {(r.target, r.rank, r.nq_question) for r in c if r.target.startswith("when")} == {
-        ("when did harry potter the movie come out", 1, "when did the harry potter movie come out")}
+        ("where do grey geese in the winter fly", 1, "where do the grey geese fly in winter")}
     cnt = outs["counts"].first()
     assert cnt.questions_with_matches + cnt.questions_without_matches == 4
 

@@ -30,7 +30,7 @@ def test_simplify_tokens_and_errors(spark):
     rows = [
         raw(1, ['<Td colspan="2">', "a b", "x"]),
         raw(2, []),
-        raw(3, "<P> A string is a list of characters in order . </P>".split(" ")),
+        raw(3, "<P> The mill by the river turns all night long . </P>".split(" ")),
     ]
     df = spark.createDataFrame(rows, RAW_RECORD)
     out = {r.example_id: r for r in simplify(df).collect()}
@@ -45,11 +45,11 @@ def test_simplify_tokens_and_errors(spark):
 
 
 def test_span_text_worked_example(spark):
-    text = "<P> A string is a list of characters in order . </P>"
+    text = "<P> The mill by the river turns all night long . </P>"
     df = spark.createDataFrame([(text, 0, 12), (text, 5, 8), (text, -1, -1), (text, 3, 2)],
                                "t string, s int, e int")
     got = [r[0] for r in df.select(span_text("t", F.col("s"), F.col("e"))).collect()]
-    assert got == [text, "list of characters", None, ""]
+    assert got == [text, "the river turns", None, ""]
 
 
 ENT = "a &lt;b&gt; &eacute;t&eacute; &amp;amp;"   # needs the Python decoding path

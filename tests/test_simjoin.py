@@ -1,14 +1,14 @@
 """Prefix-filter similarity join equals brute force; best match and top-k
-follow the dictionary-scan semantics (insertion order, strict >)."""
+take the best pair, ties to the earliest record."""
 
 import random
 
 import pytest
 
+from kinship.functions.text import STOP_WORDS_14, STOP_WORDS_35
 from kinship.operators.fuzzy import best_match, top_k_candidates
 from kinship.operators.link import prepare_corpus, prepare_questions
 from kinship.operators.simjoin import similarity_join
-from tests.test_text import py_keywords, py_text
 
 VOCAB = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "the", "of"]
 
@@ -40,87 +40,58 @@ def test_join_equals_brute_force(spark, t):
     assert got == brute(L, R, t)
 
 
+WORDS = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "the", "of", "is"]
+
+
 def _sentences(rng, n):
-    words = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "the", "of", "is"]
+    """Texts and their words: some repeat in other writing, some are empty."""
     out = []
     for _ in range(n):
-        ws = [rng.choice(words) for _ in range(rng.randint(0, 7))]
-        s = " ".join(ws)
-        if rng.random() < 0.3:
-            s = s.upper() + "?"
-        out.append(s)
+        ws = [rng.choice(WORDS) for _ in range(rng.randint(0, 7))]
+        out.append((" ".join(ws).upper() + "?" if rng.random() < 0.3 else " ".join(ws), ws))
     return out
 
 
-def py_best_match(questions, corpus, t):
-    """The rule: dict key -> (url, question), last write wins, insertion
-    order kept; exact key first (1.0), else best Jaccard >= t with strict >."""
-    d = {}
-    for _, q, url in sorted(corpus):
-        q = (q or "").strip()
-        if q and url:
-            d[py_text(q)] = (url, q)
-    res = {}
-    for qid, q in questions:
-        nq = py_text((q or "").strip())
-        if nq in d:
-            res[qid] = (1.0,) + d[nq]
-            continue
-        kw = py_keywords(nq, {"a", "an", "the", "is", "was", "were", "will", "be", "in", "on", "at", "to",
-                              "for", "of"})
-        best, best_v = 0, None
-        for k, v in d.items():
-            kk = py_keywords(k, {"a", "an", "the", "is", "was", "were", "will", "be", "in", "on", "at", "to",
-                                 "for", "of"})
-            s = len(kw & kk) / len(kw | kk) if kw and kk else 0.0
-            if s >= t and s > best:
-                best, best_v = s, v
-        res[qid] = (best,) + best_v if best_v else (None, None, None)
-    return res
+def _sim(a, b, stop):
+    a, b = set(a) - set(stop), set(b) - set(stop)
+    return len(a & b) / len(a | b) if a and b else 0.0
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_best_match_semantics(spark, seed):
     rng = random.Random(seed)
-    corpus = [(o, s, rng.choice(["u1", "u2", "", "u3"])) for o, s in enumerate(_sentences(rng, 80))]
-    questions = list(enumerate(_sentences(rng, 40)))
+    texts, asked = _sentences(rng, 80), _sentences(rng, 40)
+    corpus = [(o, s, rng.choice(["u1", "u2", "", "u3"])) for o, (s, _) in enumerate(texts)]
     cdf = spark.createDataFrame(corpus, "ord long, question_text string, document_url string")
-    qdf = spark.createDataFrame(questions, "q_id long, question string")
+    qdf = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(asked)], "q_id long, question string")
     cs = prepare_corpus(cdf, normalizer="text", url_col="document_url", require_url=True)
     qs = prepare_questions(qdf, normalizer="text")
     got = {r.q_id: (r.nq_similarity, r.document_url, r.corpus_question)
            for r in best_match(qs, cs, 0.5, "14").collect()}
-    exp = py_best_match(questions, corpus, 0.5)
-    assert got == {k: (v if v[0] else (None, None, None)) for k, v in exp.items()}
+
+    # every usable corpus record: its words, the first and the last of those with the same words in the same order
+    usable = {o: tuple(ws) for (o, s, u), (_, ws) in zip(corpus, texts) if s and u}
+    first = {ws: min(o for o, x in usable.items() if x == ws) for ws in usable.values()}
+    last = {ws: max(o for o, x in usable.items() if x == ws) for ws in usable.values()}
+    for i, (_, ws) in enumerate(asked):
+        scored = [(1.0 if x == tuple(ws) else _sim(ws, x, STOP_WORDS_14), x == tuple(ws), -first[x], x) for x in first]
+        sim, _, _, key = max((c for c in scored if c[0] >= 0.5), key=lambda c: (c[1], c[0], c[2]), default=(None, None, None, None))
+        assert got[i] == ((sim, corpus[last[key]][2], corpus[last[key]][1]) if key is not None else (None, None, None))
 
 
 def test_top_k_matches_brute_force(spark):
     rng = random.Random(7)
-    corpus = [(o, s, f"url{o}") for o, s in enumerate(_sentences(rng, 90))]
-    questions = list(enumerate(_sentences(rng, 30)))
-    stop = {"a", "an", "the", "is", "was", "were", "will", "be", "to", "of", "and", "in", "on", "at", "by",
-            "for", "with", "about", "from", "did", "does", "do", "has", "have", "had", "what", "when",
-            "where", "who", "why", "how", "which", "whose", "whom", "that"}
-    # rule: candidates keyed by stripped text, first url kept, sim desc then first record
-    texts = {}
-    for o, q, url in corpus:
-        q = q.strip()
-        if q and q not in texts:
-            texts[q] = (o, url)
+    texts, asked = _sentences(rng, 90), _sentences(rng, 30)
+    distinct = {}
+    for o, (s, ws) in enumerate(texts):
+        if s:
+            distinct.setdefault(s, (o, ws))
     exp = set()
-    for qid, q in questions:
-        kq = py_keywords(q.strip(), stop)
-        cands = []
-        for tq, (o, url) in texts.items():
-            kt = py_keywords(tq, stop)
-            s = len(kq & kt) / len(kq | kt) if kq and kt else 0.0
-            if s >= 0.3:
-                cands.append((-s, o, tq, url, s))
-        for rank, c in enumerate(sorted(cands)[:3], 1):
-            exp.add((qid, rank, c[2], c[3], c[4]))
-    cdf = spark.createDataFrame(corpus, "ord long, question_text string, document_url string")
-    qdf = spark.createDataFrame(questions, "q_id long, question string")
-    cs = prepare_corpus(cdf, url_col="document_url")
-    qs = prepare_questions(qdf)
-    got = {tuple(r) for r in top_k_candidates(qs, cs, 0.3, 3, "35").collect()}
+    for i, (_, ws) in enumerate(asked):
+        near = sorted((-_sim(ws, x, STOP_WORDS_35), o, s) for s, (o, x) in distinct.items() if _sim(ws, x, STOP_WORDS_35) >= 0.3)
+        exp |= {(i, rank, s, f"url{o}", -d) for rank, (d, o, s) in enumerate(near[:3], 1)}
+    cdf = spark.createDataFrame([(o, s, f"url{o}") for o, (s, _) in enumerate(texts)],
+                                "ord long, question_text string, document_url string")
+    qdf = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(asked)], "q_id long, question string")
+    got = {tuple(r) for r in top_k_candidates(prepare_questions(qdf), prepare_corpus(cdf, url_col="document_url"), 0.3, 3, "35").collect()}
     assert got == exp

@@ -1,8 +1,5 @@
-"""Normalisers and keyword sets against fixed goldens and a plain-Python
-statement of each rule."""
-
-import re
-import string
+"""Normalisers and keyword sets: tables of inputs and outputs, and properties
+that hold whatever the text."""
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -10,6 +7,8 @@ from pyspark.sql import functions as F
 
 from kinship.functions.sets import explain_pair
 from kinship.functions.text import (
+    LEADING_AUX,
+    QUESTION_WORDS,
     STOP_WORDS_14,
     STOP_WORDS_35,
     keywords,
@@ -18,102 +17,82 @@ from kinship.functions.text import (
     normalize_text,
 )
 
-# plain-Python statements of the rules ------------------------------------
-
-
-def py_basic(s):
-    return s.lower().strip()
-
-
-def py_question(s):
-    s = s.lower().strip()
-    s = re.sub(r"[.,?!]", "", s)
-    s = " ".join(s.split())
-    words = s.split()
-    if words and words[0] in ("what", "when", "where", "who", "why", "how", "which", "whose", "whom"):
-        s = " ".join(words[1:])
-    return re.sub(r"^(is|was|were)\s+", "", s)
-
-
-PUNCT = set(string.punctuation) - {"\\"}
-
-
-def py_text(s):
-    s = s.lower().strip()
-    s = "".join(" " if ch in PUNCT else ch for ch in s)
-    return " ".join(s.split())
-
-
-def py_keywords(s, stop):
-    return set(w for w in py_text(s).split() if w not in stop)
-
 
 def _run(spark, texts, col):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     return [r[0] for r in df.orderBy("i").select(col(F.col("t"))).collect()]
 
 
-F5 = [
-    ("What is the capital of France?", "the capital of france"),
-    ("is it raining?", "it raining"),
-    ("who was", "was"),
-    ("What", ""),
-    ("  WHERE   were you, really?!", "you really"),
-    ("what's up", "what's up"),
-    ("a. b , c", "a b c"),
-]
-
-
-def test_question_goldens(spark):
-    got = _run(spark, [a for a, _ in F5], normalize_question)
-    assert got == [b for _, b in F5]
-
-
-def test_basic_strips_unicode_whitespace(spark):
-    texts = ["  Hello World\t\n", "　X ", "\x1cA\x1f", "᠎B"]
-    assert _run(spark, texts, normalize_basic) == [py_basic(t) for t in texts]
+BASIC = {
+    "  Deep Blue Sea\t\n": "deep blue sea", "　X ": "x", "\x1cA\x1f": "a", "᠎B": "᠎b",
+    "In  ner": "in  ner", "": "", " \t": "", "ÄÖ ß": "äö ß",
+}
+QUESTION = {
+    "What is the tallest tree in Norway?": "the tallest tree in norway", "is it snowing?": "it snowing", "who was": "was",
+    "What": "", "  WHERE   were you, really?!": "you really", "what's up": "what's up", "a. b , c": "a b c",
+    "how how much": "how much", "whichever way": "whichever way", "was is now": "is now", "isnt it": "isnt it",
+    "Is": "is", "?!.,": "", "whom": "", "n.a.s.a. was": "nasa was",
+}
+TEXT = {
+    "a\\b": "a\\b", "x[y]z": "x y z", "Don't-stop! ok?": "don t stop ok", "tab\there  now": "tab here now", " lead": "lead",
+    "A_b{c}~d`e": "a b c d e", "3.5%": "3 5", "«é»": "«é»", "...": "",
+}
 
 
-def test_text_keeps_backslash(spark):
-    texts = ["a\\b", "x[y]z", "Don't-stop! ok?", "tab\there  now", " lead"]
-    assert _run(spark, texts, normalize_text) == [py_text(t) for t in texts]
+def test_tables(spark):
+    for rule, table in ((normalize_basic, BASIC), (normalize_question, QUESTION), (normalize_text, TEXT)):
+        assert _run(spark, list(table), rule) == list(table.values())
 
 
-PAIRS = [
-    ("when did the harry potter movie come out", "when did harry potter the movie come out"),
-    ("who played apollo creed in the original rocky", "who played rocky in the original movie"),
-    ("when was the last time liverpool won first 5 games", "when was the last time arsenal won the league"),
-    ("who sings the song i don't care i love it", "who sings i got you under my skin"),
-]
-EXPECTED = {"14": [(7, 7), (4, 7), (4, 10), (3, 14)], "35": [(5, 5), (3, 6), (3, 9), (2, 13)]}
+KEYWORDS = {
+    "The cat and the hat": ({"cat", "and", "hat"}, {"cat", "hat"}),
+    "Who IS at the door, who?": ({"who", "door"}, {"door"}),
+    "a an the": (set(), set()),
+    "": (set(), set()),
+    "red-red RED": ({"red"}, {"red"}),
+}
 
 
-def test_similarity_pairs(spark):
-    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(PAIRS)], "i int, a string, b string")
-    for stop, exp in EXPECTED.items():
-        rows = df.orderBy("i").select(*explain_pair(keywords("a", stop), keywords("b", stop))).collect()
-        assert [(r.n_common, r.n_union) for r in rows] == exp
-        assert [r.similarity for r in rows] == [c / u for c, u in exp]
+def test_keyword_table(spark):
+    for i, stop in enumerate(("14", "35")):
+        got = _run(spark, list(KEYWORDS), lambda c: keywords(c, stop))
+        assert [set(g) for g in got] == [v[i] for v in KEYWORDS.values()]
+        assert all(len(g) == len(set(g)) for g in got)
 
 
-def test_empty_sets_score_zero(spark):
-    df = spark.createDataFrame([("the a of", "is was"), ("w1 w2 w3 w4 w5 w6 w7 w8 w9 w10", "w1 w2 w3 w4 w5 w6 w7 w8 w9")],
-                               "a string, b string")
-    sims = [r.similarity for r in df.select(*explain_pair(keywords("a"), keywords("b"))).collect()]
-    assert sims == [0.0, 0.9]
+def test_pairs(spark):
+    pairs = [("green apples grow on old trees", "old trees grow green apples"), ("red kites fly high", "red foxes run fast"),
+             ("one two three", "four five six"), ("the a of", "is was"),
+             ("w1 w2 w3 w4 w5 w6 w7 w8 w9 w10", "w1 w2 w3 w4 w5 w6 w7 w8 w9")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
+    rows = df.orderBy("i").select(*explain_pair(keywords("a"), keywords("b"))).collect()
+    assert [(r.n_common, r.n_union) for r in rows] == [(5, 5), (1, 7), (0, 6), (0, 0), (9, 10)]
+    assert [r.similarity for r in rows] == [1.0, 1 / 7, 0.0, 0.0, 0.9]
+    assert rows[1].common == "red"
 
 
-piece = st.sampled_from(list("abcXYZ .,?!'-\\\t\n\u00a0\u2003\u00e9\u00df")
+piece = st.sampled_from(list("abcXYZ .,?!'-\\\t\n  éß")
                        + ["what ", "is ", "was ", "who ", "Where "])
 text_st = st.lists(piece, max_size=15).map("".join)
 
 
 @settings(max_examples=12, deadline=None)
 @given(st.lists(text_st, min_size=1, max_size=25))
-def test_rules_match_python(spark, texts):
-    assert _run(spark, texts, normalize_basic) == [py_basic(t) for t in texts]
-    assert _run(spark, texts, normalize_question) == [py_question(t) for t in texts]
-    assert _run(spark, texts, normalize_text) == [py_text(t) for t in texts]
+def test_properties(spark, texts):
+    padded = [" \t" + t + " \n" for t in texts]
+    for rule in (normalize_basic, normalize_question, normalize_text):
+        once = _run(spark, texts, rule)
+        assert _run(spark, padded, rule) == once                            # space around a text changes nothing
+        assert _run(spark, [t.swapcase() for t in texts if t.isascii()], rule) == [k for k, t in zip(once, texts) if t.isascii()]
+        assert all(k == k.strip() and k == k.lower() for k in once)
+    for rule in (normalize_basic, normalize_text):
+        assert _run(spark, _run(spark, texts, rule), rule) == _run(spark, texts, rule)          # idempotent
+    key = _run(spark, texts, normalize_question)
+    assert not any(c in k for k in key for c in ".,?!\t\n") and not any("  " in k for k in key)
+    led = [w + " " + k for w in QUESTION_WORDS for k in key if not k.startswith(tuple(a + " " for a in LEADING_AUX))]
+    assert _run(spark, led, normalize_question) == [x.split(" ", 1)[1] for x in led]            # one leading word goes
+    flat = _run(spark, texts, normalize_text)
     for stop, words in (("14", STOP_WORDS_14), ("35", STOP_WORDS_35)):
-        got = _run(spark, texts, lambda c: keywords(c, stop))
-        assert [set(g) for g in got] == [py_keywords(t, set(words)) for t in texts]
+        got = [set(g) for g in _run(spark, texts, lambda c: keywords(c, stop))]
+        assert [g | (set(k.split(" ")) & {*words, ""}) for g, k in zip(got, flat)] == [set(k.split(" ")) for k in flat]
+        assert not any(g & {*words, ""} for g in got)
