@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed
-from kinship.llm.suffix_dedup import U, mix, runs, sliding_min
+from kinship.llm.common import keyed, materialise, small
+from kinship.llm.suffix_dedup import U, mix, sliding_min
 
 FIRST = 4
 #: A null id, which counts as smaller than every other id.
@@ -322,12 +322,27 @@ def gathered(places: DataFrame) -> DataFrame:
             .agg(F.collect_set("place").alias("places")))
 
 
-KEPT = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-    T.StructField("kept", T.StringType())])
-_KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()),
-                         ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())])
+_SPAN_LIST = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+_SPANS = T.StructType([T.StructField("doc", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("spans", _SPAN_LIST)])
+_SPAN_ARROW = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def spans_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    """Maximal runs of words that a document's windows cover."""
+    for b in batches:
+        out = []
+        for places in b.column("places").to_pylist():
+            _, start, n, _ = unplace(np.array(places, np.int64))
+            by = np.argsort(start)
+            a, z = start[by], np.maximum.accumulate((start + n - 1 + length)[by])
+            new = np.flatnonzero(np.append(True, a[1:] > z[:-1]))
+            out.append([{"start": x, "end": y} for x, y in zip(a[new].tolist(), z[np.append(new[1:], len(z)) - 1].tolist())])
+        yield pa.RecordBatch.from_arrays([b.column("doc"), b.column("tag"), pa.array(out, _SPAN_ARROW)], names=_SPANS.names)
+
+
+KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_words", T.LongType()),
+                     T.StructField("spans", _SPAN_LIST), T.StructField("kept", T.StringType())])
+_KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("spans", _SPAN_ARROW), ("kept", pa.string())])
 
 
 def tagged(docs: DataFrame) -> DataFrame:
@@ -337,22 +352,21 @@ def tagged(docs: DataFrame) -> DataFrame:
 
 
 def repeated(docs: DataFrame, length: int = 13) -> DataFrame:
-    """``doc, tag, places``: windows of ``length`` words that also start in a
-    document with a smaller id, as packed places (:func:`unplace`)."""
+    """``doc, tag, spans``: maximal runs of words that windows of ``length``
+    words cover which also start in a document with a smaller id."""
     if not 2 * FIRST <= length <= MOST:
         raise ValueError(f"needs {2 * FIRST} <= length <= {MOST}")
     d = tagged(docs)
     one = (d.select("doc", "tag", "text").mapInArrow(lambda x: first_level(x, length), _ROWS)
            .repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(meet_first, _PLACES))
-    p = gathered(one)
-    two = (d.join(p, ["doc", "tag"]).select("doc", "tag", "text", "places")
+    two = (d.join(gathered(one), ["doc", "tag"]).select("doc", "tag", "text", "places")
            .mapInArrow(lambda x: second_level(x, length), _RUNS)
            .repartition("h").sortWithinPartitions("h", "doc").mapInArrow(meet_second, _ROWS))
     full = two.repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(meet_full, _PLACES)
-    return gathered(full)
+    return gathered(full).mapInArrow(lambda x: spans_of(x, length), _SPANS)
 
 
-def dedup(docs: DataFrame, length: int = 13) -> DataFrame:
+def dedup(docs: DataFrame, length: int = 13, max_broadcast: int = 200_000) -> DataFrame:
     """Remove every word that a window of ``length`` words covers whose words
     also start in a document with a smaller id.
 
@@ -362,25 +376,22 @@ def dedup(docs: DataFrame, length: int = 13) -> DataFrame:
     start and end) and ``kept``, the words left over joined by one blank.
     Null and empty texts have no words; rows with equal ids, equal texts
     included, remove nothing from each other; a null id is smaller than every
-    other; an empty table gives an empty result.
+    other; an empty table gives an empty result. The spans of at most
+    ``max_broadcast`` documents are sent to where the texts are read; those of
+    more are joined by a shuffle.
     """
+    spans = materialise(repeated(docs, length), "word-spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for s in slices(b):
                 out = []
                 for r in s.to_pylist():
-                    words = r["text"].encode().split()
-                    gone = np.zeros(len(words) + 1, np.int32)
-                    if r["places"]:
-                        _, start, n, _ = unplace(np.array(r["places"], np.int64))
-                        np.add.at(gone, start, 1)
-                        np.add.at(gone, start + n - 1 + length, -1)
-                    gone = np.cumsum(gone[:-1]) > 0
-                    kept = b" ".join([w for w, g in zip(words, gone.tolist()) if not g]) if gone.any() else b" ".join(words)
-                    out.append({"doc_id": r["doc_id"], "n_words": len(words), "kept": kept.decode(),
-                                "spans": [{"start": a, "end": z} for a, z in zip(*(x.tolist() for x in runs(gone)))]})
+                    words, found = r["text"].encode().split(), r["spans"] or []
+                    begin = [0, *(x["end"] for x in found)]
+                    kept = [w for a, z in zip(begin, [*(x["start"] for x in found), len(words)]) for w in words[a:z]]
+                    out.append({"doc_id": r["doc_id"], "n_words": len(words), "kept": b" ".join(kept).decode(), "spans": found})
                 yield pa.RecordBatch.from_pylist(out, schema=_KEPT_ARROW)
 
-    return (tagged(docs).join(repeated(docs, length), ["doc", "tag"], "left")
-            .select("doc_id", "text", "places").mapInArrow(remove, KEPT))
+    return (tagged(docs).join(small(spans, max_broadcast), ["doc", "tag"], "left")
+            .select("doc_id", "text", "spans").mapInArrow(remove, KEPT))
