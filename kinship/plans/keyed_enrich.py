@@ -38,6 +38,25 @@ def store(corpus: DataFrame) -> DataFrame:
     )
 
 
+def distinct_counts(rows: DataFrame, hit) -> DataFrame:
+    """Distinct questions with and without a stored record, per dataset."""
+    return rows.groupBy("dataset").agg(
+        F.count_distinct(F.when(hit, F.col("question"))).alias("questions_with_refs"),
+        F.count_distinct(F.when(~hit, F.col("question"))).alias("questions_without_refs"))
+
+
+def records_per_file(corpus: DataFrame) -> DataFrame:
+    """Usable records of each file and of all (``TOTAL``)."""
+    return (corpus.rollup("_file").agg(F.count(F.lit(1)).alias("questions"))
+            .withColumn("_file", F.coalesce("_file", F.lit("TOTAL"))))
+
+
+def unmatched_samples(unmatched: DataFrame, n: int = 5) -> DataFrame:
+    """The first unmatched questions in text order and what they were looked up by."""
+    first = unmatched.select("question").distinct().orderBy("question").limit(n)
+    return link.prepare_questions(first, normalizer="question")
+
+
 def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mapping[str, Sequence[str] | str],
           path_glob: str = "*.jsonl.gz", question_field: str = "question_text") -> dict[str, DataFrame]:
     corpus, corpus_bad = read_corpus(spark, list(corpus_dirs), question_field, path_glob=path_glob)
@@ -51,28 +70,20 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     hit = F.col("win_ord").isNotNull()
     matched_q = enriched.where(hit).select("dataset", "question").distinct()
     unmatched_q = enriched.where(~hit).select("dataset", "question").distinct()
-    counts = (enriched.groupBy("dataset")
-              .agg(F.count_distinct(F.when(hit, F.col("question"))).alias("questions_with_refs"),
-                   F.count_distinct(F.when(~hit, F.col("question"))).alias("questions_without_refs")))
-    per_file = (cs.rollup("_file").agg(F.count(F.lit(1)).alias("questions"))
-                .withColumn("_file", F.coalesce("_file", F.lit("TOTAL"))))
     idx = link.corpus_index(cs, "ord", ["nq_original_question"], keep="last")
     # stored originals of the first 5 matched questions (in text order)
     sample_keys = matched_q.select("question").distinct().orderBy("question").limit(5)
     sample_keys = link.prepare_questions(sample_keys, normalizer="question").select("key")
     stored_samples = idx.join(sample_keys, "key", "left_semi").select("key", "nq_original_question")
-    # the first 5 unmatched questions (in text order) and what they were looked up by
-    unmatched_samples = link.prepare_questions(
-        unmatched_q.select("question").distinct().orderBy("question").limit(5), normalizer="question")
     norm_samples = cs.orderBy("ord").limit(5).select("key", "nq_original_question")
     return {
         "enriched": enriched.select("dataset", "ord", "question", "answer", *payload, hit.alias("matched"), "_line"),
         "unmatched_questions": unmatched_q,
         "matched_questions": matched_q,
-        "counts": counts,
-        "per_file": per_file,
+        "counts": distinct_counts(enriched, hit),
+        "per_file": records_per_file(cs),
         "stored_samples": stored_samples,
-        "unmatched_samples": unmatched_samples,
+        "unmatched_samples": unmatched_samples(unmatched_q),
         "normalization_samples": norm_samples,
         "quarantine": corpus_bad.select("_file", "_corrupt_record", "_error")
         .unionByName(q_bad.select("_file", "_corrupt_record", "_error")),

@@ -90,7 +90,7 @@ def test_candidates_job(spark, tmpdir_run):
     corpus, qsets = fixture(tmpdir_run)
     outs = candidates.run(spark, corpus, qsets["dev"], os.path.join(tmpdir_run, "out"))
     c = outs["candidates"].collect()
-    assert {(r.target, r.rank, r.nq_question) for r in c if r.target.startswith("when")} == {
+    assert {(r.target, r.rank, r.nq_question) for r in c if r.target.startswith("where")} == {
         ("where do grey geese in the winter fly", 1, "where do the grey geese fly in winter")}
     cnt = outs["counts"].first()
     assert cnt.questions_with_matches + cnt.questions_without_matches == 4
