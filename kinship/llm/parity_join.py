@@ -5,10 +5,14 @@ and each bit of the sketch is the parity of what falls on it, so the sketches
 of two sets differ in at most as many bits as the sets in elements. Sets as
 similar as asked for differ in at most ``d`` elements, ``d`` growing with
 their sizes. Within a band of sizes sketches are cut into ``d + 1`` pieces:
-one piece at least is the same in both. Pieces are joined as keys; what shares
-a key, directly or over others, is a candidate cluster. Clusters are dealt in
-blocks to tasks that compare whole sketches and verify what is left on the
-sets, element by element.
+one piece at least is the same in both. A piece that no shingle falls on is
+the same in many sets for no reason, so there are some pieces to spare: a set
+with at most so many empty pieces has another one in common with every set
+like it, and does without its empty ones. Pieces are joined as keys; sets that
+share one are compared by short sketches of all their shingles, and only those
+that these do not rule out stay together. What is connected so is a candidate
+cluster. Clusters are dealt in blocks to tasks that compare whole sketches and
+verify what is left on the sets, element by element.
 
 Equal sets are one class from the start, so copies cost one row; no pair of
 documents is ever a row before it is verified, and a task reports no more
@@ -25,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, lower_ascii, materialise
+from kinship.llm.common import keyed, lower_ascii, materialise, small
 from kinship.llm.graph import components
 from kinship.llm.substring_dedup import Words, groups, slices
 from kinship.llm.suffix_dedup import U, mix
@@ -50,8 +54,14 @@ class Bands:
     def of(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, n, "right") - 1
 
+    def spare(self, band: np.ndarray) -> np.ndarray:
+        """How many pieces more than needed the sketches of a band have: about
+        twice as many as stay empty by chance."""
+        need = self.differ(2 * (self.low[band + 1] - 1)) + 1
+        return np.where(need > 1, np.ceil(2 * need * np.exp(-self.low[band] / need)).astype(np.int64) + 1, 0)
+
     def pieces(self, band: np.ndarray) -> np.ndarray:
-        return self.differ(2 * (self.low[band + 1] - 1)) + 1
+        return self.differ(2 * (self.low[band + 1] - 1)) + 1 + self.spare(band)
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,17 +91,28 @@ def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return value[keep], text[keep]
 
 
-def sketch(value: np.ndarray, owner: np.ndarray, pieces: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Parity words of the sets one after the other, and where each set's begin."""
+def sketch(value: np.ndarray, owner: np.ndarray, pieces: np.ndarray, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Parity words of the sets one after the other, and where each set's begin.
+
+    A word is one piece: the parities of 64 bits, or, if ``wide``, a name of
+    the parities of as many bits as there are hashes: the XOR of the bits'
+    numbers, the same in two sets if all parities are.
+    """
     first = np.concatenate([[0], np.cumsum(pieces)])
     words = np.zeros(int(first[-1]), U)
     v = mix(value, value >> U(17))
     piece = ((v >> U(32)) * pieces[owner].astype(U) >> U(32)).astype(np.int64)
-    np.bitwise_xor.at(words, first[owner] + piece, U(1) << (v & U(63)))
+    np.bitwise_xor.at(words, first[owner] + piece, mix(v, value) if wide else U(1) << (v & U(63)))
     return words, first
 
 
-_SETS = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "th", "n", "s1", "s2")])
+_SETS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "th", "n", "s1", "s2")),
+                      T.StructField("bits", T.BinaryType())])
+_SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "first", "s1")])
+#: Words of the short sketch that every set has.
+SHORT = 8
+#: Most sets of a key that are compared with each other at once.
+GROUP = 512
 _KEYS = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "s1")])
 _EDGES = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
 _MEMBERS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("root", "i", "j", "block", "cid")),
@@ -114,8 +135,11 @@ def set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
         for s in slices(b):
             value, text = shingle_sets(Words(s.column("text").to_pylist()), k)
             n, s1, s2 = identity(value, text, s.num_rows)
+            raw = sketch(value, text, np.full(s.num_rows, SHORT))[0].tobytes()
+            bits = [raw[a:a + 8 * SHORT] for a in range(0, len(raw), 8 * SHORT)]
             yield pa.RecordBatch.from_arrays(
-                [s.column("doc_id"), s.column("th"), *(pa.array(x, pa.int64()) for x in (n, s1, s2))], names=_SETS.names)
+                [s.column("doc_id"), s.column("th"), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), pa.array(bits, pa.binary())],
+                names=_SETS.names)
 
 
 def key_rows(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterator[pa.RecordBatch]:
@@ -140,34 +164,129 @@ def key_rows(batches: Iterator[pa.RecordBatch], k: int, bands: Bands) -> Iterato
                 pieces = np.where(fresh, bands.pieces(band + up), 0)
                 pieces[pieces == 1] = 0
                 use = pieces[text] > 0
-                words, first = sketch(value[use], text[use], pieces)
+                words, first = sketch(value[use], text[use], pieces, wide=True)
                 owner = np.repeat(np.arange(len(n)), pieces)
+                empty = np.bincount(owner[words == 0], minlength=len(n)) if len(words) else np.zeros(len(n), np.int64)
+                say = (words != 0) | (empty > bands.spare(band + up))[owner]
                 nth = np.arange(len(words)) - first[owner]
                 where = ((band[owner] + up) << 40 | nth).astype(U)
-                keys.append(mix(words, mix(where, where)).view(np.int64))
-                owners.append(s1[owner])
+                keys.append(mix(words, mix(where, where))[say].view(np.int64))
+                owners.append(s1[owner][say])
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (keys, owners)],
                                              names=_KEYS.names)
 
 
 def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key and set: an edge from the first set of each key to every other."""
-    key, least, last = None, 0, 0
+    """Rows sorted by key and set: what several sets share.
+
+    Of a key of at most ``GROUP`` sets all rows go on, to be compared. A key of
+    more gives an edge from its first set to every other, as a stream.
+    """
+    none = np.zeros(0, np.int64)
+    held = (none, none)
+    big: tuple[int, int, int] | None = None          # key, first and last set of a large key
+
+    def rows(key, first, s1) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(key), first, pa.array(s1)], names=_SHARED.names)
+
+    def close(k: np.ndarray, s: np.ndarray) -> Iterator[pa.RecordBatch]:
+        at = np.flatnonzero(groups(k))
+        n = np.diff(np.append(at, len(k)))
+        of = np.repeat(n, n)
+        few, many = (of > 1) & (of <= GROUP), of > GROUP
+        yield rows(k[few], pa.nulls(int(few.sum()), pa.int64()), s[few])
+        first = np.repeat(s[at], n)
+        edge = many & (s != first)
+        yield rows(k[edge], pa.array(first[edge]), s[edge])
+
     for b in batches:
-        k, s = b.column("key").to_numpy(), b.column("s1").to_numpy()
+        k, s = (np.concatenate([h, b.column(c).to_numpy()]) for h, c in zip(held, _KEYS.names))
         if not len(k):
             continue
-        new = groups(k)
-        first = s[np.flatnonzero(new)].copy()
-        goes_on = key is not None and key == k[0]
-        if goes_on:
-            first[0] = least
-        row = first[np.cumsum(new) - 1]
-        edge = (s != row) & groups(k, s)
-        if goes_on and s[0] == last:
-            edge[0] = False
-        key, least, last = int(k[-1]), int(row[-1]), int(s[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(row[edge]), pa.array(s[edge])], names=_EDGES.names)
+        keep = groups(k, s)
+        k, s = k[keep], s[keep]
+        if big and k[0] == big[0]:
+            of = int(np.searchsorted(k, k[0], "right"))
+            new = s[:of][s[:of] > big[2]]
+            yield rows(np.full(len(new), big[0]), pa.array(np.full(len(new), big[1])), new)
+            big = (big[0], big[1], int(s[of - 1]))
+            k, s = k[of:], s[of:]
+            held = (none, none)
+            if not len(k):
+                continue
+        big = None
+        last = int(np.searchsorted(k, k[-1], "left"))
+        yield from close(k[:last], s[:last])
+        k, s = k[last:], s[last:]
+        held = (k, s)
+        if len(k) > GROUP:
+            yield from close(k, s)
+            big, held = (int(k[0]), int(s[0]), int(s[-1])), (none, none)
+    yield from close(*held)
+
+
+def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by key, at most ``GROUP`` sets each: edges that connect the
+    sets of a key whose short sketches do not rule out that they are similar."""
+    held: pa.Table | None = None
+
+    def edges(t: pa.Table) -> pa.RecordBatch:
+        key, s1, n = (t[c].to_numpy() for c in ("key", "s1", "n"))
+        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), U).reshape(-1, SHORT)
+
+        def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
+            small = 100 * np.minimum(n[x], n[y]) >= bands.percent * np.maximum(n[x], n[y])
+            return small & (apart <= bands.differ(n[x] + n[y]))
+
+        at = np.flatnonzero(groups(key))
+        size = np.diff(np.append(at, len(key)))
+        out_a, out_b = [], []
+        two = at[size == 2]
+        two = two[near(two, two + 1)] if len(two) else two
+        out_a.append(s1[two])
+        out_b.append(s1[two + 1])
+        for first, g in zip(at[size > 2].tolist(), size[size > 2].tolist()):
+            left = np.arange(first, first + g)
+            while len(left) > 1:
+                # all that the first one reaches, over others too, then the rest
+                reached, front = np.zeros(len(left), bool), [0]
+                reached[0] = True
+                while front:
+                    x = front.pop()
+                    new = np.flatnonzero(~reached)
+                    new = new[near(np.full(len(new), left[x]), left[new])] if len(new) else new
+                    reached[new] = True
+                    front += new.tolist()
+                    out_a.append(np.full(len(new), s1[left[x]]))
+                    out_b.append(s1[left[new]])
+                left = left[~reached]
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], names=_EDGES.names)
+
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
+        key = t["key"].to_numpy()
+        if not len(key):
+            continue
+        last = int(np.searchsorted(key, key[-1], "left"))
+        held = t.slice(last)
+        if last:
+            yield edges(t.slice(0, last))
+    if held is not None and held.num_rows:
+        yield edges(held)
+
+
+def pack(value: np.ndarray) -> bytes:
+    """The elements as 48-bit numbers."""
+    return value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpack(items: bytes) -> np.ndarray:
+    """The packed elements, sorted."""
+    wide = np.zeros((len(items) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(items, np.uint8).reshape(-1, 6)
+    return np.sort(wide.view("<u8").ravel().astype(U))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -244,12 +363,13 @@ def verify(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Recor
                 if len(rows) > 1:
                     yield done()
                 task, rows = (root, i, j), {}
-            rows[cid] = (block, np.frombuffer(items, U))
+            rows[cid] = (block, unpack(items))
     if len(rows) > 1:
         yield done()
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block_items: int = 400_000) -> DataFrame:
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block_items: int = 1_000_000,
+                       max_broadcast: int = 200_000) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, is_first`` of every row.
 
     Texts are lower-cased (A-Z only) and split at blanks, tabs and line or page
@@ -259,7 +379,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     id that links lead to, ``is_first`` marks the row that stands for all (rows
     that repeat it too, and every row without shingles). Null and empty texts have no shingles and no links;
     repeated rows each get a row; a null id is larger than all others; an empty
-    table gives an empty result. ``block_items`` bounds what a task compares.
+    table gives an empty result. ``block_items`` bounds what a task compares. At
+    most ``max_broadcast`` clustered sets are named where the texts are read;
+    more are joined to them by a shuffle.
     """
     bands = Bands(percent)
     d = keyed(docs).withColumn("text", lower_ascii(F.col("text")))
@@ -267,18 +389,25 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     same = ["n", "s1", "s2"]
     classes = materialise(
         sets.filter("n > 0").groupBy(*same)
-        .agg(F.min("doc_id").alias("first_id"),
+        .agg(F.min("doc_id").alias("first_id"), F.first("bits").alias("bits"),
              F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th")).alias("rep"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    shared = (d.select("text").mapInArrow(lambda x: key_rows(x, words, bands), _KEYS)
-              .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(meet, _EDGES))
-    clusters = components(shared)
+    shared = materialise(
+        d.select("text").mapInArrow(lambda x: key_rows(x, words, bands), _KEYS)
+        .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(meet, _SHARED), "shared")
+    compared = (shared.filter("first is null").select("key", "s1")
+                .join(small(classes.select("s1", "n", "bits"), max_broadcast), "s1")
+                .select("key", "s1", "n", "bits").repartition("key").sortWithinPartitions("key")
+                .mapInArrow(lambda x: compare(x, bands), _EDGES))
+    clusters = components(compared.unionByName(
+        shared.filter("first is not null").select(F.col("first").alias("a"), F.col("s1").alias("b"))))
 
     member = classes.join(clusters.withColumnRenamed("node", "s1"), "s1")
     member = materialise(member.select("root", "cid", "n", "rep.doc_id", "rep.th"), "members")
     blocks = member.groupBy("root").agg(F.sum("n").alias("size")).withColumn(
         "n_blocks", F.expr(f"(size + {block_items - 1}) div {block_items}"))
-    dealt = member.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks"))).drop("size", "n")
+    dealt = materialise(member.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")))
+                        .drop("size", "n"), "dealt")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("root", "i", "j", "block", "cid")] + [("items", pa.binary())])
@@ -288,13 +417,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
                 end = np.cumsum(np.bincount(text, minlength=s.num_rows))
                 out = [[] for _ in range(6)]
                 for t, (root, cid, block, n) in enumerate(zip(*(s.column(c).to_pylist() for c in ("root", "cid", "block", "n_blocks")))):
-                    items = value[end[t - 1] if t else 0:end[t]].tobytes()
+                    items = pack(value[end[t - 1] if t else 0:end[t]])
                     for other in range(n):
                         for c, v in zip(out, (root, min(block, other), max(block, other), block, cid, items)):
                             c.append(v)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
-    found = (d.alias("d").join(dealt.alias("m"), F.expr("d.doc_id <=> m.doc_id and d.th = m.th"))
+    found = (d.alias("d").join(small(dealt, max_broadcast).alias("m"), F.expr("d.doc_id <=> m.doc_id and d.th = m.th"))
              .select("root", "cid", "block", "n_blocks", "d.text").mapInArrow(deal, _MEMBERS)
              .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
              .mapInArrow(lambda x: verify(x, bands), _EDGES))
@@ -303,7 +432,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
                 .select(*same, "first_id", "rep", F.coalesce("root", "cid").alias("label")))
     least = labelled.groupBy("label").agg(F.min("first_id").alias("component_id"), F.min("rep").alias("first"))
     named = materialise(labelled.join(least, "label").select(*same, "component_id", "first"), "named")
-    return (sets.join(named, same, "left")
+    return (sets.drop("bits").join(named, same, "left")
             .select("doc_id", "th", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
                     F.expr("n = 0 or (doc_id <=> first.doc_id and th = first.th)").alias("is_first")))

@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from kinship.llm import parity_join as pj
@@ -95,6 +96,69 @@ def test_sketch_distance_is_a_lower_bound():
         assert np.bitwise_count(x ^ y).sum() <= 30
 
 
+def key_batches(rows, size):
+    for a in range(0, len(rows), size):
+        k, s = zip(*rows[a:a + size])
+        yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(s, pa.int64())], names=["key", "s1"])
+
+
+@pytest.mark.parametrize("size", [1, 3, 7, 1000])
+def test_keys_meet_over_batch_borders(monkeypatch, size):
+    monkeypatch.setattr(pj, "GROUP", 4)
+    rng = random.Random(size)
+    rows = sorted((k, rng.randrange(30)) for k in range(40) for _ in range(rng.choice([1, 1, 2, 3, 5, 20, 40])))
+    few, many = {}, {}
+    for b in pj.meet(key_batches(rows, size)):
+        for r in b.to_pylist():
+            if r["first"] is None:
+                few.setdefault(r["key"], []).append(r["s1"])
+            else:
+                many.setdefault(r["key"], set()).add((r["first"], r["s1"]))
+    sets = {}
+    for k, s in rows:
+        sets.setdefault(k, set()).add(s)
+    assert few == {k: sorted(v) for k, v in sets.items() if 1 < len(v) <= 4}
+    assert many == {k: {(min(v), x) for x in v if x != min(v)} for k, v in sets.items() if len(v) > 4}
+
+
+@pytest.mark.parametrize("size", [2, 5, 1000])
+def test_comparing_keeps_similar_sets_connected(size):
+    rng = np.random.default_rng(size)
+    bands, rows, sets = pj.Bands(80), [], {}
+    for key in range(30):
+        base = rng.integers(0, 1 << 60, 60)
+        for i in range(rng.integers(2, 9)):
+            x = base.copy()
+            other = rng.choice([0, 2, 3, 6, 40])
+            x[:other] = rng.integers(0, 1 << 60, other)
+            sid = len(sets)
+            sets[sid] = (key, np.unique(x).astype(U))
+            v = sets[sid][1]
+            rows.append((key, sid, len(v), pj.sketch(v, np.zeros(len(v), np.int64), np.array([pj.SHORT]))[0].tobytes()))
+    batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a:a + size])], names=["key", "s1", "n", "bits"])
+               for a in range(0, len(rows), size))
+    top = {s: s for s in sets}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for b in pj.compare(batches, bands):
+        for a, c in zip(b["a"].to_pylist(), b["b"].to_pylist()):
+            assert sets[a][0] == sets[c][0]
+            top[root(a)] = root(c)
+    for a, (ka, x) in sets.items():
+        for c, (kc, y) in sets.items():
+            if ka == kc and pj.similar(x, y, 80):
+                assert root(a) == root(c)
+
+
+def test_packed_items():
+    v = np.sort(np.random.default_rng(1).integers(0, 1 << 48, 100)).astype(U)
+    assert (pj.unpack(pj.pack(v)) == v).all()
+
+
 def test_components(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(180)] + [(1000 + i, 1001 + i) for i in range(60)]
