@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from kinship.plans import driver, driver_more  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -34,7 +35,11 @@ def test_entry_runs(spark):
     assert "nq_similarity" in df.columns
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+# the training-data operators have their own tests
+BASE = sorted(n for n in E.oracle_sql() if n in driver.ORACLES)
+
+
+@pytest.mark.parametrize("name", BASE)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     cols = df.columns
