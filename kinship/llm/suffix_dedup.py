@@ -5,11 +5,13 @@ smallest hash of a gram in it. Texts are therefore split into regions, runs of
 windows with one smallest hash (the anchor), and only regions whose anchor
 occurs again are looked at. Regions with equal contents are repeated as a
 whole. What is left, one region per distinct content of an
-anchor, is dealt to shards by anchor. A shard sorts all suffixes of its
-regions (Larsson-Sadakane refinement in numpy) and takes the common prefixes
-of neighbours (Kasai) to find the windows that occur twice. An anchor with too
-many contents for one shard is spread over several; their sorted window names
-are cut into ranges and merged by binary search.
+anchor, is dealt to shards: by the smallest document that has the anchor, so
+that neighbouring regions of a document mostly travel as one string, or by the
+anchor itself where that document has too many. A shard sorts all suffixes of
+its strings (Larsson-Sadakane refinement in numpy) and takes the common
+prefixes of neighbours (Kasai) to find the windows that occur twice. An anchor
+with too many contents for one shard is spread over several; their sorted
+window names are cut into ranges and merged by binary search.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, materialise
+from kinship.llm.common import keyed, materialise, small
 
 U = np.uint64
 _A, _B, _C = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
@@ -68,8 +70,8 @@ MOST = 256
 
 
 def regions_of(data: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Anchor, two content hashes, first start and number of starts of every
-    region, and whether the anchor's gram occurs in it more than once.
+    """Anchor, content hash, first start and number of starts of every region,
+    and whether the anchor's gram occurs in it more than once.
 
     Windows that are equal have the same anchor, and if both are in one region,
     its gram occurs twice there: they hold it at the same distance from their
@@ -97,8 +99,8 @@ def regions_of(data: bytes, length: int, gram: int) -> Iterator[tuple[np.ndarray
         s0 = first[owner] + nth * MOST
         s1 = np.minimum(s0 + MOST, last[owner]) - 1
         w = h[256]
-        yield (g[at[s0]].view(np.int64), mix(w[s0], w[s1 + half]).view(np.int64),
-               mix(w[s1], w[s0 + half]).view(np.int64), s0 + a, s1 - s0 + 1, places[owner] > 1)
+        content = mix(mix(w[s0], w[s0 + half]), mix(w[s1], w[s1 + half]) ^ (s1 - s0).astype(U))
+        yield g[at[s0]].view(np.int64), content.view(np.int64), s0 + a, s1 - s0 + 1, places[owner] > 1
 
 
 # --- suffix arrays ----------------------------------------------------------
@@ -110,6 +112,7 @@ class SuffixArray:
     suffixes of different strings never compare beyond their strings' ends.
     """
 
+    STRIDE = 64
     SYMBOLS = 7          # of 9 bits in one key: byte + 1, separators and what follows 0
 
     def __init__(self, strings: list[bytes]):
@@ -127,33 +130,62 @@ class SuffixArray:
             key <<= U(9)
             key |= np.where(self.rest > j, sym[j:n + j], U(0))
         self.key, self.n = key, n
+        # names of 64 bytes at a time, for long common prefixes
+        self.stride = gram_hashes(raw.tobytes() + b"\0" * self.STRIDE, (self.STRIDE,))[self.STRIDE]
         self.order = self._refine()
 
     def _refine(self) -> np.ndarray:
         """Sort by the first symbols, then refine the groups that are still
-        unsorted by the ranks ``h`` symbols further on, doubling ``h``."""
+        unsorted by the ranks ``h`` and ``2 h`` symbols further on, tripling
+        ``h``. A group of two, the usual case, is only compared."""
         n, h = self.n, self.SYMBOLS
-        order = np.argsort(self.key, kind="stable")
+        order = np.argsort(self.key)
         k = self.key[order]
+        # of keys with a separator in sight equal ones are ordered by their strings
+        at = np.flatnonzero(self.rest[order] < h)
+        order[at] = order[at][np.lexsort((order[at], k[at]))]
         begins = np.ones(n, bool)
         begins[1:] = (k[1:] != k[:-1]) | (self.rest[order[1:]] < h)       # a separator in sight: no equal
         rank = np.empty(n, np.int64)
         rank[order] = np.maximum.accumulate(np.where(begins, np.arange(n), 0))
+        bits = max(1, int(n).bit_length())
         while True:
-            alone = begins & np.append(begins[1:], True)
-            at = np.flatnonzero(~alone)
-            if not len(at):
+            first = np.flatnonzero(begins)
+            size = np.diff(np.append(first, n))
+            if (size == 1).all():
                 return order
+
+            def further(idx: np.ndarray) -> np.ndarray:
+                """The ranks further on as one number; past a separator the first decides."""
+                if 2 * bits > 62:
+                    return rank[idx + h]
+                on = np.minimum(idx + 2 * h, n - 1)
+                return rank[idx + h] << bits | np.where(self.rest[idx] >= 2 * h, rank[on], 0)
+
+            two = first[size == 2]
+            x, y = order[two], order[two + 1]
+            fx, fy = further(x), further(y)
+            swap, apart = fx > fy, fx != fy
+            many = np.repeat(size > 2, size)
+            at = np.flatnonzero(many)
             idx = order[at]
-            pair = rank[idx] << 32 | rank[idx + h]
-            by = np.argsort(pair, kind="stable")
-            idx, pair = idx[by], pair[by]
-            order[at] = idx
-            new = np.ones(len(at), bool)
-            new[1:] = pair[1:] != pair[:-1]
-            begins[at] = new
-            rank[idx] = np.maximum.accumulate(np.where(new, at, 0))
-            h *= 2
+            ahead = further(idx)
+            order[two], order[two + 1] = np.where(swap, y, x), np.where(swap, x, y)
+            begins[two + 1] = apart
+            rank[order[two + 1]] += apart
+            if len(at):
+                own = rank[idx]
+                if 3 * bits <= 63:
+                    by = np.argsort(own << 2 * bits | ahead)
+                else:
+                    by = np.lexsort((ahead, own))
+                idx, own, ahead = idx[by], own[by], ahead[by]
+                order[at] = idx
+                new = np.ones(len(at), bool)
+                new[1:] = (own[1:] != own[:-1]) | (ahead[1:] != ahead[:-1])
+                begins[at] = new
+                rank[idx] = np.maximum.accumulate(np.where(new, at, 0))
+            h *= 2 if 2 * bits > 62 else 3
 
     def common_prefixes(self, starts: np.ndarray) -> np.ndarray:
         """Kasai: common prefix of every suffix with its predecessor in sorted
@@ -174,6 +206,12 @@ class SuffixArray:
             j = phi[i]
             lcp = np.where(j < 0, 0, np.maximum(have[:k] - 1, 0))
             go = np.flatnonzero(j >= 0)
+            far = go if t == 0 else go[have[:k][go] < 2]         # only where a match begins it is long
+            while len(far):
+                a, b = i[far] + lcp[far], j[far] + lcp[far]
+                far = far[(self.rest[a] >= self.STRIDE) & (self.rest[b] >= self.STRIDE)
+                          & (self.stride[np.minimum(a, len(self.stride) - 1)] == self.stride[np.minimum(b, len(self.stride) - 1)])]
+                lcp[far] += self.STRIDE
             while len(go):
                 a, b = i[go] + lcp[go], j[go] + lcp[go]
                 x = self.key[a] ^ self.key[b]
@@ -197,6 +235,49 @@ def repeated_starts(strings: list[bytes], starts: np.ndarray, length: int) -> tu
     return out, sa
 
 
+def may_repeat(strings: list[bytes], starts: np.ndarray, length: int) -> list[tuple[int, int, int]]:
+    """String, first start and number of starts of what can be repeated at all.
+
+    Windows that are equal have the same smallest gram of 256 bytes, by any
+    hash. A window whose gram stands in no other place of a window that is
+    still in question is left out; what is left is looked at by another hash.
+    """
+    sizes = np.fromiter(map(len, strings), np.int64, len(strings))
+    first = np.cumsum(sizes) - sizes
+    data = b"".join(strings)
+    h = gram_hashes(data, (256,))[256]
+    total = len(h) - (length - 256)
+    if total <= 0:
+        return []
+    edge = np.zeros(total + 1, np.int32)
+    np.add.at(edge, first[starts > 0], 1)
+    np.add.at(edge, np.minimum((first + starts)[starts > 0], total), -1)
+    keep = np.cumsum(edge[:-1]) > 0
+    for salt in (3, 5, 7):
+        m = np.concatenate([sliding_min((g & ~_LOW) | np.arange(len(g), dtype=U), length - 255)
+                            for a in range(0, total, PIECE)
+                            for g in [mix(h[a:a + PIECE + length - 256], h[a:a + PIECE + length - 256] ^ U(salt))]])
+        at = np.flatnonzero(keep)
+        if not len(at):
+            break
+        # one row for each place of a gram that windows in question choose; grams by their hashes' upper bits
+        place = (m[at] & _LOW).astype(np.int64) + at // PIECE * PIECE
+        new = np.flatnonzero(np.append(True, place[1:] != place[:-1]))
+        _, back, count = np.unique(h[place[new]], return_inverse=True, return_counts=True)
+        keep[at] = np.repeat(count[back] > 1, np.diff(np.append(new, len(at))))
+    out = []
+    begin, end = runs(keep)
+    which = np.searchsorted(first, begin, "right") - 1
+    for i, x, z in zip(which.tolist(), begin.tolist(), end.tolist()):
+        while x < z:                                  # a run may go on into the next string
+            stop = min(z, int(first[i] + starts[i]))
+            if stop > x:
+                out.append((i, x - int(first[i]), stop - x))
+            i += 1
+            x = max(x, stop, int(first[i]) if i < len(first) else z)
+    return out
+
+
 def window_names(data: bytes, length: int) -> np.ndarray:
     """128-bit names of all windows of a string, as 16 bytes each."""
     h = gram_hashes(data, (256,))[256]
@@ -212,26 +293,26 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- Spark -----------------------------------------------------------------
 
-_LONG = ("doc_id", "th", "anchor", "c1", "c2", "s0", "n")
-REGIONS = T.StructType([*(T.StructField(c, T.LongType()) for c in _LONG), T.StructField("own", T.BooleanType())])
-COVERED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "th", "a", "z")])
-SLICES = T.StructType([
-    T.StructField("part", T.LongType()), T.StructField("sub", T.LongType()), T.StructField("n_subs", T.LongType()),
-    *(T.StructField(c, T.LongType()) for c in ("doc_id", "th", "s0", "n")),
-    T.StructField("single", T.BooleanType()), T.StructField("raw", T.BinaryType())])
+REGIONS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "anchor", "c", "place")),
+                        T.StructField("own", T.BooleanType())])
+COVERED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "tag", "a", "z")])
+SLICES = T.StructType([*(T.StructField(c, T.LongType()) for c in ("part", "sub", "n_subs", "doc_id", "tag", "s0", "n")),
+                       T.StructField("raw", T.BinaryType())])
 #: Covered bytes (a, z), or of a spread anchor the sorted names of one range and their places.
 FOUND = T.StructType([*COVERED.fields, T.StructField("part", T.LongType()), T.StructField("range", T.LongType()),
-                      *(T.StructField(c, T.BinaryType()) for c in ("names", "docs", "ths", "at"))])
-KEPT = T.StructType([
-    T.StructField("doc_id", T.LongType()), T.StructField("th", T.LongType()), T.StructField("n_bytes", T.LongType()),
-    T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))),
-    T.StructField("kept", T.BinaryType())])
+                      *(T.StructField(c, T.BinaryType()) for c in ("names", "docs", "tags", "at"))])
+def tagged(docs: DataFrame) -> DataFrame:
+    """``doc_id, tag, text``; the tag, 20 bits of the text's hash, tells texts under one id apart."""
+    return keyed(docs).select("doc_id", F.expr("th & 1048575").alias("tag"), "text")
 
 
 def find_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """``doc_id, anchor, c, place, own`` of every region; a place packs the tag,
+    the first start (35 bits) and the number of starts (9 bits)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cols: list[list[np.ndarray]] = [[] for _ in range(6)]
+            cols: list[list[np.ndarray]] = [[] for _ in range(5)]
             owner, size = [], []
             for i, text in enumerate(b.column("text").to_pylist()):
                 data = text.encode()
@@ -242,25 +323,32 @@ def find_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         owner.append(i)
                         size.append(len(found[0]))
             if owner:
-                take = pa.array(np.repeat(owner, size))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").take(take), b.column("th").take(take),
-                     *(pa.array(np.concatenate(c)) for c in cols)], names=REGIONS.names)
+                take = np.repeat(owner, size)
+                anchor, content, s0, n, own = (np.concatenate(c) for c in cols)
+                place = b.column("tag").to_numpy()[take] << 44 | s0 << 9 | n
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(take)), *map(pa.array, (anchor, content, place, own))],
+                                                 names=REGIONS.names)
+
+    return tagged(docs).mapInArrow(run, REGIONS)
 
-    return keyed(docs).mapInArrow(run, REGIONS)
+
+_TAG, _START, _N = "shiftrightunsigned(place, 44)", f"(shiftright(place, 9) & {(1 << 35) - 1})", "(place & 511)"
 
 
 def sort_shard(shard: pa.Table, length: int) -> pa.Table:
-    """Suffix array of one shard: what of its single regions is repeated, and,
-    for an anchor spread over several shards, its window names by range."""
-    rows = shard.to_pylist()
+    """Suffix array of one shard: what of its strings is repeated, and, for an
+    anchor spread over several shards, its window names by range."""
+    # a row that is in the table twice sends its strings twice: they are one string each
+    rows = list({(r["doc_id"], r["tag"], r["s0"]): r for r in shard.to_pylist()}.values())
     strings, n = [r["raw"] for r in rows], np.array([r["n"] for r in rows], np.int64)
-    again, sa = repeated_starts(strings, n, length)
+    left = may_repeat(strings, n, length)
+    again, sa = repeated_starts([strings[i][a:a + k - 1 + length] for i, a, k in left],
+                                np.array([k for _, _, k in left], np.int64), length)
     out = []
-    for r, at in zip(rows, sa.first):
-        if r["single"]:
-            for a, z in zip(*(x.tolist() for x in runs(again[at:at + r["n"]]))):
-                out.append((r["doc_id"], r["th"], r["s0"] + a, r["s0"] + z - 1 + length) + (None,) * 6)
+    for (i, begin, k), at in zip(left, sa.first):
+        r = rows[i]
+        for a, z in zip(*(x.tolist() for x in runs(again[at:at + k]))):
+            out.append((r["doc_id"], r["tag"], r["s0"] + begin + a, r["s0"] + begin + z - 1 + length) + (None,) * 6)
     m = rows[0]["n_subs"]
     if m > 1:
         names = np.concatenate([window_names(s, length) for s in strings])
@@ -271,21 +359,20 @@ def sort_shard(shard: pa.Table, length: int) -> pa.Table:
         # a shard's sorted names are cut where a range of all names ends
         cut = np.searchsorted(names, np.array([(i << 32) // m for i in range(1, m)], ">u4").view("S4"))
         doc = np.array([r["doc_id"] if r["doc_id"] is not None else 0 for r in rows], np.int64)
-        ths = np.array([r["th"] for r in rows], np.int64)
+        tags = np.array([r["tag"] for r in rows], np.int64)
         null = np.array([r["doc_id"] is None for r in rows])
-        at = np.where(np.array([r["single"] for r in rows])[owner], place, -1)       # -1: needs no answer
         for k, (a, z) in enumerate(zip([0, *cut], [*cut, len(names)])):
             for is_null in (False, True):
                 pick = np.flatnonzero(null[owner[a:z]] == is_null) + a
                 if len(pick):
                     out.append((None if is_null else 0, None, None, None, rows[0]["part"], k, names[pick].tobytes(),
-                                doc[owner[pick]].tobytes(), ths[owner[pick]].tobytes(), at[pick].tobytes()))
+                                doc[owner[pick]].tobytes(), tags[owner[pick]].tobytes(), place[pick].tobytes()))
     return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 10, _FOUND_ARROW.types)], schema=_FOUND_ARROW)
 
 
-_FOUND_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "th", "a", "z", "part", "range")]
-                         + [(c, pa.binary()) for c in ("names", "docs", "ths", "at")])
-_COVERED_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "th", "a", "z")])
+_FOUND_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "tag", "a", "z", "part", "range")]
+                         + [(c, pa.binary()) for c in ("names", "docs", "tags", "at")])
+_COVERED_ARROW = pa.schema([(c, pa.int64()) for c in ("doc_id", "tag", "a", "z")])
 
 
 def merge_range(lists: pa.Table, length: int) -> pa.Table:
@@ -305,107 +392,137 @@ def merge_range(lists: pa.Table, length: int) -> pa.Table:
         many[np.searchsorted(known, x[twice])] = True
     out = []
     for r, x in zip(rows, sorted_names):
-        doc, th, place = (np.frombuffer(r[c], np.int64) for c in ("docs", "ths", "at"))
-        yes = np.flatnonzero(many[np.searchsorted(known, x)] & (place >= 0))
-        out += [(None if r["doc_id"] is None else int(doc[i]), int(th[i]), int(place[i]), int(place[i]) + length) for i in yes]
+        doc, tag, place = (np.frombuffer(r[c], np.int64) for c in ("docs", "tags", "at"))
+        yes = np.flatnonzero(many[np.searchsorted(known, x)])
+        out += [(None if r["doc_id"] is None else int(doc[i]), int(tag[i]), int(place[i]), int(place[i]) + length) for i in yes]
     return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], schema=_COVERED_ARROW)
 
 
-def covered(docs: DataFrame, length: int = 400, gram: int = 128, shard_bytes: int = 1 << 20) -> DataFrame:
-    """``doc_id, th, a, z``: byte ranges whose windows of ``length`` bytes also
+def covered(docs: DataFrame, length: int = 400, gram: int = 192, shard_bytes: int = 1 << 20) -> DataFrame:
+    """``doc_id, tag, a, z``: byte ranges whose windows of ``length`` bytes also
     start elsewhere. Ranges may overlap and repeat.
 
     ``gram`` is the size of the minimizers (at least 8; of 256 bytes at most),
-    ``shard_bytes`` what one suffix array sorts.
+    ``shard_bytes`` about what one suffix array sorts.
     """
     if not (8 <= gram <= 256 <= length <= 512):
         raise ValueError("needs 8 <= gram <= 256 <= length <= 512")
     found = materialise(find_regions(docs, length, gram), "regions")
     anchors = materialise(
-        found.groupBy("anchor").agg(F.count("*").alias("k"), F.min("c1").alias("lo"), F.max("c1").alias("hi"),
-                                    F.max("own").alias("own"))
-        .filter("k > 1 or own").select("anchor", F.expr("lo <> hi or own").alias("several")), "anchors")
+        found.groupBy("anchor").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"),
+                                    F.max("own").alias("own"), F.min("doc_id").alias("least"))
+        .filter("k > 1 or own").select("anchor", F.expr("lo <> hi or own").alias("several"), "least"), "anchors")
     cand = materialise(found.drop("own").join(anchors, "anchor"), "candidates")
-    content = ["anchor", "c1", "c2", "n"]
     contents = materialise(
-        cand.groupBy(*content).agg(F.count("*").alias("k"), F.max("several").alias("several"),
-                                   *(F.first(c).alias(c) for c in ("doc_id", "th", "s0"))), "contents")
-    whole = (cand.join(contents.filter("k > 1").select(*content), content)
-             .select("doc_id", "th", F.col("s0").alias("a"), (F.col("s0") + F.col("n") - 1 + length).alias("z")))
-
-    # one region of each content goes to the anchor's shard, or shards where it has too many
-    reps = contents.filter("several")
-    per_anchor = materialise(reps.groupBy("anchor").agg(F.sum(F.col("n") + length).alias("size")), "anchor-sizes")
+        cand.groupBy("anchor", "c").agg(F.count("*").alias("k"), F.max("several").alias("several"), F.first("least").alias("least"),
+                                        *(F.first(c).alias(c) for c in ("doc_id", "place"))), "contents")
+    whole = (cand.select("anchor", "c", "doc_id", "place").join(contents.filter("k > 1").select("anchor", "c"), ["anchor", "c"])
+             .select("doc_id", F.expr(_TAG).alias("tag"), F.expr(_START).alias("a"),
+                     F.expr(f"{_START} + {_N} - 1 + {length}").alias("z")))
+
+    # one region of each content goes to a shard that the anchor determines
+    reps = contents.filter("several").withColumn("n", F.expr(_N))
+    per_anchor = materialise(reps.groupBy("anchor").agg(F.sum(F.col("n") + length).alias("size"), F.first("least").alias("least")),
+                             "anchor-sizes")
+    per_doc = per_anchor.groupBy(F.coalesce("least", F.lit(-1)).alias("least")).agg(F.sum("size").alias("of_doc"))
     total = per_anchor.select(F.sum("size")).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
-    sized = (reps.join(per_anchor, "anchor")
-             .withColumn("n_subs", F.expr(f"(size + {shard_bytes - 1}) div {shard_bytes}"))
-             .withColumn("part", F.expr(f"if(n_subs > 1, anchor, pmod(anchor, {n_shards}))"))
-             .withColumn("sub", F.expr("if(n_subs > 1, 1 + pmod(c1, n_subs), 0)")))
-    wanted = sized.groupBy("doc_id", "th").agg(F.collect_list(F.struct(
-        "part", "sub", "n_subs", "s0", "n", F.expr("k = 1").alias("single"))).alias("cuts"))
+    # regions that follow each other are one string: about a quarter of what their sizes add up to
+    dealt = materialise(
+        per_anchor.withColumn("least", F.coalesce("least", F.lit(-1))).join(per_doc, "least")
+        .withColumn("n_subs", F.expr(f"if(of_doc > {4 * shard_bytes}, (size + {shard_bytes - 1}) div {shard_bytes}, 1)"))
+        .select("anchor", "n_subs", F.expr(f"""case when n_subs > 1 then anchor
+            when of_doc > {4 * shard_bytes} then pmod(xxhash64(anchor), {n_shards})
+            else pmod(xxhash64(least), {n_shards}) end""").alias("part")), "shards")
+    wanted = (reps.select("anchor", "c", "doc_id", "place").join(dealt, "anchor")
+              .groupBy("doc_id", F.expr(_TAG).alias("tag"))
+              .agg(F.collect_list(F.struct("part", F.expr("if(n_subs > 1, 1 + pmod(c, n_subs), 0)").alias("sub"), "n_subs",
+                                           F.expr(_START).alias("s0"), F.expr(_N).alias("n"))).alias("cuts")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 200):
                 out = []
                 for r in b.slice(at, 200).to_pylist():
-                    data = r["text"].encode()
-                    for c in r["cuts"]:
-                        out.append(dict(c, doc_id=r["doc_id"], th=r["th"], raw=data[c["s0"]:c["s0"] + c["n"] - 1 + length]))
+                    data, joined = r["text"].encode(), []
+                    for c in sorted(r["cuts"], key=lambda c: (c["part"], c["sub"], c["s0"])):
+                        last = joined[-1] if joined else None
+                        if last and (last["part"], last["sub"], last["s0"] + last["n"]) == (c["part"], c["sub"], c["s0"]):
+                            last["n"] += c["n"]
+                        else:
+                            joined.append(c)
+                    out += [dict(c, doc_id=r["doc_id"], tag=r["tag"], raw=data[c["s0"]:c["s0"] + c["n"] - 1 + length]) for c in joined]
                 yield pa.RecordBatch.from_pylist(out, schema=_SLICES_ARROW)
 
-    d, w = keyed(docs).alias("d"), wanted.alias("w")
-    slices = (d.join(w, F.expr("d.doc_id <=> w.doc_id and d.th = w.th"))
-              .select("d.doc_id", "d.th", "d.text", "w.cuts").mapInArrow(cut, SLICES))
+    d, w = tagged(docs).alias("d"), wanted.alias("w")
+    slices = (d.join(w, F.expr("d.doc_id <=> w.doc_id and d.tag = w.tag"))
+              .select("d.doc_id", "d.tag", "d.text", "w.cuts").mapInArrow(cut, SLICES))
     parts = materialise(slices.groupBy("part", "sub").applyInArrow(lambda t: sort_shard(t, length), FOUND), "sorted")
-    alone = parts.filter("range is null").select("doc_id", "th", "a", "z")
+    alone = parts.filter("range is null").select("doc_id", "tag", "a", "z")
     merged = parts.filter("range is not null").groupBy("part", "range").applyInArrow(
         lambda t: merge_range(t, length), COVERED)
     return whole.unionByName(alone).unionByName(merged)
 
 
-_SLICES_ARROW = pa.schema([(c, pa.int64()) for c in ("part", "sub", "n_subs", "doc_id", "th", "s0", "n")]
-                          + [("single", pa.bool_()), ("raw", pa.binary())])
+_SLICES_ARROW = pa.schema([(c, pa.int64()) for c in SLICES.names[:-1]] + [("raw", pa.binary())])
+_SPAN_LIST = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
+KEPT = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("n_bytes", T.LongType()),
+                     T.StructField("spans", _SPAN_LIST), T.StructField("kept", T.BinaryType())])
+_SPANS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("tag", T.LongType()), T.StructField("spans", _SPAN_LIST)])
 
 
-def dedup(docs: DataFrame, length: int = 400, **how) -> DataFrame:
+def union_of(ranges: DataFrame) -> DataFrame:
+    """``doc_id, tag, spans``: the maximal runs that a document's ranges cover."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for pairs in b.column("ranges").to_pylist():
+                spans: list[list[int]] = []
+                for a, z in sorted((x["a"], x["z"]) for x in pairs):
+                    if spans and a <= spans[-1][1]:
+                        spans[-1][1] = max(z, spans[-1][1])
+                    else:
+                        spans.append([a, z])
+                out.append([{"start": a, "end": z} for a, z in spans])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("tag"), pa.array(out, _KEPT_ARROW.field("spans").type)],
+                                             names=_SPANS.names)
+
+    return (ranges.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("a", "z")).alias("ranges"))
+            .mapInArrow(run, _SPANS))
+
+
+def dedup(docs: DataFrame, length: int = 400, max_broadcast: int = 200_000, **how) -> DataFrame:
     """Remove every byte that a string of ``length`` bytes covers which also
     starts anywhere else, in the same document or another.
 
     Texts are UTF-8 bytes, judged as they come in. Returns a row per row of
-    ``docs``: ``doc_id, th, n_bytes``, ``spans`` (maximal removed runs, start
-    and end) and ``kept``, the bytes left over. Null and empty texts have no
+    ``docs``: ``doc_id, n_bytes``, ``spans`` (maximal removed runs, start and
+    end) and ``kept``, the bytes left over. The spans of at most
+    ``max_broadcast`` documents are sent to where the texts are read; those of
+    more are joined by a shuffle. Null and empty texts have no
     bytes; texts shorter than ``length`` stay whole; rows that repeat a text
     lose all of it, whatever their ids; a null id is an id of its own. An empty
     table gives an empty result.
     """
-    ranges = covered(docs, length, **how)
-    per_doc = ranges.groupBy("doc_id", "th").agg(F.collect_set(F.struct("a", "z")).alias("ranges"))
+    spans = materialise(union_of(covered(docs, length, **how)), "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
                 out = []
-                for r in part.to_pylist():
-                    data, spans = r["text"].encode(), []
-                    for a, z in sorted((x["a"], x["z"]) for x in r["ranges"] or ()):
-                        if spans and a <= spans[-1][1]:
-                            spans[-1][1] = max(z, spans[-1][1])
-                        else:
-                            spans.append([a, z])
-                    ends = [0, *(z for _, z in spans)]
-                    kept = b"".join(data[a:z] for a, z in zip(ends, [*(a for a, _ in spans), len(data)]))
-                    out.append({"doc_id": r["doc_id"], "th": r["th"], "n_bytes": len(data), "kept": kept,
-                                "spans": [{"start": a, "end": z} for a, z in spans]})
+                for r in b.slice(at, 500).to_pylist():
+                    data, found = r["text"].encode(), r["spans"] or []
+                    begin = [0, *(x["end"] for x in found)]
+                    kept = b"".join(data[a:z] for a, z in zip(begin, [*(x["start"] for x in found), len(data)]))
+                    out.append({"doc_id": r["doc_id"], "n_bytes": len(data), "kept": kept, "spans": found})
                 yield pa.RecordBatch.from_pylist(out, schema=_KEPT_ARROW)
 
-    d, p = keyed(docs).alias("d"), per_doc.alias("p")
-    return (d.join(p, F.expr("d.doc_id <=> p.doc_id and d.th = p.th"), "left")
-            .select("d.doc_id", "d.th", "d.text", "p.ranges").mapInArrow(remove, KEPT))
+    d, p = tagged(docs).alias("d"), small(spans, max_broadcast).alias("p")
+    return (d.join(p, F.expr("d.doc_id <=> p.doc_id and d.tag = p.tag"), "left")
+            .select("d.doc_id", "d.text", "p.spans").mapInArrow(remove, KEPT))
 
 
-_KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_bytes", pa.int64()),
+_KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()),
                          ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                          ("kept", pa.binary())])

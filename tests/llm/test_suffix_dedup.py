@@ -71,7 +71,7 @@ def test_equal_windows_have_equal_anchors(monkeypatch):
         if len(data) < 400:
             continue
         for cols in sd.regions_of(data, 400, 64):
-            for a, c1, c2, s0, k, own in zip(*cols):
+            for a, c, s0, k, own in zip(*cols):
                 assert k <= sd.MOST
                 for s in range(s0, s0 + k):
                     anchors.setdefault(data[s:s + 400], set()).add(a)
@@ -106,3 +106,19 @@ def test_hot_anchor_is_spread_and_merged(spark):
 
 def test_empty_table(spark):
     assert sd.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_what_may_repeat_holds_all_repeats(monkeypatch):
+    rng = random.Random(8)
+    for piece in (700, 1 << 19):
+        monkeypatch.setattr(sd, "PIECE", piece)
+        strings = [(t or "").encode() for t in texts_with_repeats(rng, 40)]
+        starts = np.array([max(0, len(s) - 399) for s in strings])
+        places = {}
+        for i, s in enumerate(strings):
+            for a in range(starts[i]):
+                places.setdefault(s[a:a + 400], []).append((i, a))
+        repeated = {p for v in places.values() if len(v) > 1 for p in v}
+        kept = {(i, a + k) for i, a, n in sd.may_repeat(strings, starts, 400) for k in range(n)}
+        assert repeated <= kept and all(a < starts[i] for i, a in kept)
+        assert len(kept) < 1.5 * len(repeated)
