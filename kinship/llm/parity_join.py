@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, lower_ascii, materialise, small
+from kinship.llm.common import keyed, lean, lower_ascii, materialise, small
 from kinship.llm.graph import components
 from kinship.llm.substring_dedup import Words, groups, slices
 from kinship.llm.suffix_dedup import U, mix
@@ -109,8 +109,8 @@ def sketch(value: np.ndarray, owner: np.ndarray, pieces: np.ndarray, wide: bool
 _SETS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "th", "n", "s1", "s2")),
                       T.StructField("bits", T.BinaryType())])
 _SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "first", "s1")])
-#: Words of the short sketch that every set has.
-SHORT = 8
+#: Words of the short sketch of a set of at most ``SHORT_OF`` elements; twice as many for twice as large sets.
+SHORT, SHORT_OF = 8, 900
 #: Most sets of a key that are compared with each other at once.
 GROUP = 512
 _KEYS = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "s1")])
@@ -130,13 +130,48 @@ def identity(value: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndar
     return tuple(out)
 
 
+def short_sketches(value: np.ndarray, text: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """A sketch of each set, of a number of words (a power of two) that follows its size."""
+    size = SHORT << np.maximum(0, np.ceil(np.log2(np.maximum(n, 1) / SHORT_OF))).astype(np.int64)
+    words, first = sketch(value, text, size)
+    raw = words.tobytes()
+    return [raw[8 * a:8 * z] for a, z in zip(first[:-1].tolist(), first[1:].tolist())]
+
+
+class Sketches:
+    """Short sketches of several sets, comparable over neighbouring sizes: the
+    words of a larger one are folded in pairs to half their number."""
+
+    def __init__(self, bits: list[bytes]):
+        self.size = np.fromiter((len(b) // 8 for b in bits), np.int64, len(bits))
+        self.rows, self.place = {}, {}
+        for w in np.unique(self.size).tolist():
+            own, twice = np.flatnonzero(self.size == w), np.flatnonzero(self.size == 2 * w)
+            a = np.frombuffer(b"".join([bits[i] for i in own.tolist()]), U).reshape(-1, w)
+            b = np.frombuffer(b"".join([bits[i] for i in twice.tolist()]), U).reshape(-1, w, 2)
+            self.rows[w] = np.concatenate([a, b[:, :, 0] ^ b[:, :, 1]])
+            place = np.full(len(bits), -1)
+            place[np.concatenate([own, twice])] = np.arange(len(own) + len(twice))
+            self.place[w] = place
+
+    def apart(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Bits in which the sketches of pairs of sets differ (none counted for sizes too different to compare)."""
+        least = np.minimum(self.size[x], self.size[y])
+        fits = np.maximum(self.size[x], self.size[y]) <= 2 * least
+        out = np.zeros(len(x), np.int64)
+        for w in np.unique(least[fits]).tolist():
+            i = np.flatnonzero(fits & (least == w))
+            rows, place = self.rows[w], self.place[w]
+            out[i] = np.bitwise_count(rows[place[x[i]]] ^ rows[place[y[i]]]).sum(1, dtype=np.int64)
+        return out
+
+
 def set_rows(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for s in slices(b):
             value, text = shingle_sets(Words(s.column("text").to_pylist()), k)
             n, s1, s2 = identity(value, text, s.num_rows)
-            raw = sketch(value, text, np.full(s.num_rows, SHORT))[0].tobytes()
-            bits = [raw[a:a + 8 * SHORT] for a in range(0, len(raw), 8 * SHORT)]
+            bits = short_sketches(value, text, n)
             yield pa.RecordBatch.from_arrays(
                 [s.column("doc_id"), s.column("th"), *(pa.array(x, pa.int64()) for x in (n, s1, s2)), pa.array(bits, pa.binary())],
                 names=_SETS.names)
@@ -232,12 +267,11 @@ def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Reco
 
     def edges(t: pa.Table) -> pa.RecordBatch:
         key, s1, n = (t[c].to_numpy() for c in ("key", "s1", "n"))
-        bits = np.frombuffer(b"".join(t["bits"].to_pylist()), U).reshape(-1, SHORT)
+        bits = Sketches(t["bits"].to_pylist())
 
         def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            apart = np.bitwise_count(bits[x] ^ bits[y]).sum(1, dtype=np.int64)
-            small = 100 * np.minimum(n[x], n[y]) >= bands.percent * np.maximum(n[x], n[y])
-            return small & (apart <= bands.differ(n[x] + n[y]))
+            sizes = 100 * np.minimum(n[x], n[y]) >= bands.percent * np.maximum(n[x], n[y])
+            return sizes & (bits.apart(x, y) <= bands.differ(n[x] + n[y]))
 
         at = np.flatnonzero(groups(key))
         size = np.diff(np.append(at, len(key)))
@@ -385,7 +419,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     """
     bands = Bands(percent)
     d = keyed(docs).withColumn("text", lower_ascii(F.col("text")))
-    sets = materialise(d.mapInArrow(lambda x: set_rows(x, words), _SETS), "sets")
+    sets = materialise(d.mapInArrow(lean(lambda x: set_rows(x, words)), _SETS), "sets")
     same = ["n", "s1", "s2"]
     classes = materialise(
         sets.filter("n > 0").groupBy(*same)
@@ -393,12 +427,12 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
              F.min(F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", "th")).alias("rep"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
     shared = materialise(
-        d.select("text").mapInArrow(lambda x: key_rows(x, words, bands), _KEYS)
-        .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(meet, _SHARED), "shared")
+        d.select("text").mapInArrow(lean(lambda x: key_rows(x, words, bands)), _KEYS)
+        .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(lean(meet), _SHARED), "shared")
     compared = (shared.filter("first is null").select("key", "s1")
                 .join(small(classes.select("s1", "n", "bits"), max_broadcast), "s1")
                 .select("key", "s1", "n", "bits").repartition("key").sortWithinPartitions("key")
-                .mapInArrow(lambda x: compare(x, bands), _EDGES))
+                .mapInArrow(lean(lambda x: compare(x, bands)), _EDGES))
     clusters = components(compared.unionByName(
         shared.filter("first is not null").select(F.col("first").alias("a"), F.col("s1").alias("b"))))
 
@@ -424,9 +458,9 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
 
     found = (d.alias("d").join(small(dealt, max_broadcast).alias("m"), F.expr("d.doc_id <=> m.doc_id and d.th = m.th"))
-             .select("root", "cid", "block", "n_blocks", "d.text").mapInArrow(deal, _MEMBERS)
+             .select("root", "cid", "block", "n_blocks", "d.text").mapInArrow(lean(deal), _MEMBERS)
              .repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-             .mapInArrow(lambda x: verify(x, bands), _EDGES))
+             .mapInArrow(lean(lambda x: verify(x, bands)), _EDGES))
     linked = components(found)
     labelled = (classes.join(linked.withColumnRenamed("node", "cid"), "cid", "left")
                 .select(*same, "first_id", "rep", F.coalesce("root", "cid").alias("label")))

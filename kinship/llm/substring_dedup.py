@@ -138,7 +138,7 @@ def batch_of(schema: T.StructType, *cols: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64) if c.dtype == U else c) for c in cols], names=schema.names)
 
 
-def slices(batch: pa.RecordBatch, max_chars: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, max_chars: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive rows with about ``max_chars`` of text."""
     at, size = 0, 0
     for i, t in enumerate(batch.column("text")):

@@ -134,7 +134,7 @@ def test_comparing_keeps_similar_sets_connected(size):
             sid = len(sets)
             sets[sid] = (key, np.unique(x).astype(U))
             v = sets[sid][1]
-            rows.append((key, sid, len(v), pj.sketch(v, np.zeros(len(v), np.int64), np.array([pj.SHORT]))[0].tobytes()))
+            rows.append((key, sid, len(v), pj.short_sketches(v, np.zeros(len(v), np.int64), np.array([len(v)]))[0]))
     batches = (pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a:a + size])], names=["key", "s1", "n", "bits"])
                for a in range(0, len(rows), size))
     top = {s: s for s in sets}
@@ -154,6 +154,21 @@ def test_comparing_keeps_similar_sets_connected(size):
                 assert root(a) == root(c)
 
 
+def test_folded_sketches():
+    """Sets of all sizes: the distance of two sketches never exceeds what the sets differ in."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 4000).astype(U)
+    sets = [np.unique(base[:k]) for k in (100, 850, 899, 901, 950, 1750, 1799, 1801, 1900, 3500, 3700, 4000)]
+    value, text = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    s = pj.Sketches(pj.short_sketches(value, text, np.array([len(x) for x in sets])))
+    assert sorted(set(s.size.tolist())) == [8, 16, 32, 64]
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            apart = int(s.apart(np.array([i]), np.array([j]))[0])
+            assert apart <= len(np.setxor1d(a, b))
+    assert s.apart(np.array([3]), np.array([2]))[0] == 2 and s.apart(np.array([7]), np.array([6]))[0] == 2
+
+
 def test_packed_items():
     v = np.sort(np.random.default_rng(1).integers(0, 1 << 48, 100)).astype(U)
     assert (pj.unpack(pj.pack(v)) == v).all()
