@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, lower_ascii, materialise
+from kinship.llm.common import keyed, lean, lower_ascii, materialise
 
 _LIST = T.ArrayType(T.LongType())
 COMBINED = T.StructType([
@@ -62,7 +62,7 @@ def blocks(docs: DataFrame, size: int) -> DataFrame:
 
     return (keyed(docs)
             .select("doc_id", "th", F.encode(lower_ascii(F.col("text")), "utf-8").alias("raw"))
-            .mapInArrow(cut, COMBINED))
+            .mapInArrow(lean(cut), COMBINED))
 
 
 def adjacent(named: DataFrame) -> DataFrame:
@@ -77,7 +77,7 @@ def adjacent(named: DataFrame) -> DataFrame:
             yield _combine([raw[i:i + 16] for i in range(0, len(raw), 16)],
                            [b.column(c).to_pylist() for c in ("doc_id", "th", "n_bytes", "idx")])
 
-    return pairs.select("doc_id", "th", "n_bytes", "idx", "a", "b").mapInArrow(pack, COMBINED)
+    return pairs.select("doc_id", "th", "n_bytes", "idx", "a", "b").mapInArrow(lean(pack), COMBINED)
 
 
 def name_keys(combined: DataFrame) -> DataFrame:
@@ -98,7 +98,7 @@ def name_keys(combined: DataFrame) -> DataFrame:
                 [*(c.flatten() for c in lists), pa.array(np.repeat(np.array(names, np.int64), n))],
                 names=NAMED.names)
 
-    return (combined.repartition("key").sortWithinPartitions("key").mapInArrow(name, NAMED))
+    return (combined.repartition("key").sortWithinPartitions("key").mapInArrow(lean(name), NAMED))
 
 
 def identities(docs: DataFrame, size: int = 4096) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed
+from kinship.llm.common import keyed, lean
 
 ENCODED = T.StructType([
     T.StructField("doc_id", T.LongType()),
@@ -46,7 +46,7 @@ PIECES = T.StructType([
 #: sight that the pattern may look at (the longest contraction has 3 characters).
 MARGIN = 8
 #: Documents of one chunk that are encoded, decoded and handed on together.
-SLICE = 500
+SLICE = 200
 
 Piece = tuple[int, bytes]       # characters of a pre-token, its ids
 
@@ -59,7 +59,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Codec:
     """Pre-tokenise, encode and decode."""
 
-    def __init__(self, path: str, pattern: str, keep: int = 200_000):
+    def __init__(self, path: str, pattern: str, keep: int = 120_000):
         import regex
         import tiktoken
 
@@ -175,8 +175,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(ranks_path, pattern)
         for whole_batch in batches:
-            for at in range(0, whole_batch.num_rows, SLICE // 10):
-                b = whole_batch.slice(at, SLICE // 10)
+            for at in range(0, whole_batch.num_rows, SLICE // 4):
+                b = whole_batch.slice(at, SLICE // 4)
                 lens, sizes, ids = [], [], []
                 for t in b.column("text").to_pylist():
                     found = codec.pretokens(t)
@@ -211,9 +211,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, chunk: int = 1 << 15,
         out = columns(codec_of(ranks_path, pattern), [one["doc_id"]], [one["th"]], [ids])
         return pa.table([pa.concat_arrays([c] * copies) for c in out], schema=arrow)
 
-    short = k.filter(F.length("text") <= chunk).mapInArrow(whole, schema)
-    long = (k.filter(F.length("text") > chunk).mapInArrow(cut, CHUNKS)
-            .repartition("doc_id", "th", "at").mapInArrow(pieces, PIECES)
+    short = k.filter(F.length("text") <= chunk).mapInArrow(lean(whole), schema)
+    long = (k.filter(F.length("text") > chunk).mapInArrow(lean(cut), CHUNKS)
+            .repartition("doc_id", "th", "at").mapInArrow(lean(pieces), PIECES)
             .groupBy("doc_id", "th").applyInArrow(join, schema))
     return short.unionByName(long)
 
@@ -227,4 +227,4 @@ def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
             out = [codec.decode(i) for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], names=DECODED.names)
 
-    return encoded.select("doc_id", "th", "ids").mapInArrow(raw, DECODED)
+    return encoded.select("doc_id", "th", "ids").mapInArrow(lean(raw), DECODED)

@@ -83,3 +83,29 @@ def without(docs: DataFrame, dropped: DataFrame, repeated: DataFrame | None = No
             .dropDuplicates(["doc_id", whole]).drop(whole))
     rest = d.join(keys(dropped.select("doc_id", "th").unionByName(repeated.select("doc_id", "th"))), same, "left_anti")
     return rest.unionByName(once)
+
+
+def release_memory() -> None:
+    """Give memory that freed arrays leave with the allocators back to the system:
+    Spark keeps a Python worker between tasks, beside the next stages' workers."""
+    import ctypes
+    import ctypes.util
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(ctypes.util.find_library("c") or None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(f):
+    """An Arrow batch function that releases its memory when its task ends."""
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release_memory()
+
+    return run

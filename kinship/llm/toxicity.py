@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, materialise
+from kinship.llm.common import keyed, lean, materialise
 
 # The closed classes of the grammar, in English, German, French and Spanish.
 TARGETS = "you your yours yourself u they them he she him her du dich dir ihr euch sie tu toi vous te ti usted ustedes".split()
@@ -126,7 +126,7 @@ class Model(NamedTuple):
 class Reader:
     """Splits texts into clauses and reads their matches; caches the class of words."""
 
-    def __init__(self, lexicon: dict[str, float], keep: int = 500_000):
+    def __init__(self, lexicon: dict[str, float], keep: int = 200_000):
         self.lexicon, self.keep = lexicon, keep
         self.fixed = {w: c for ws, c in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT),
                                          (THREATS, THREAT)) for w in ws}
@@ -218,19 +218,22 @@ def learn_lexicon(rows: DataFrame, max_candidates: int, min_docs: int, min_gain:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            seen: Counter = Counter()
-            for t, y in zip(b.column("text").to_pylist(), b.column("toxic").to_pylist()):
-                seen.update((f, y) for f in word_features(t))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f for f, _ in seen], pa.string()), pa.array([y for _, y in seen], pa.int32()),
-                 pa.array(list(seen.values()), pa.int64())], names=COUNTS.names)
+            for at in range(0, b.num_rows, 200):            # few rows at once: features are many
+                part = b.slice(at, 200)
+                seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
+                for t, y in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist()):
+                    seen[1 if y else 0].update(word_features(t))
+                for y, n in seen.items():
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(n), pa.string()), pa.array([y] * len(n), pa.int32()),
+                         pa.array(list(n.values()), pa.int64())], names=COUNTS.names)
 
     n = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
         return {}
     k, b = F.col("k") + 0.5, F.col("b") + 0.5
-    best = (rows.mapInArrow(count, COUNTS).groupBy("feature")
+    best = (rows.mapInArrow(lean(count), COUNTS).groupBy("feature")
             .agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("k"),
                  F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"))
             .filter(F.col("k") >= min_docs)
@@ -248,7 +251,7 @@ def learn_lexicon(rows: DataFrame, max_candidates: int, min_docs: int, min_gain:
                 [pa.array(hits, pa.list_(pa.string())), bt.column("toxic").cast(pa.int32())], names=HITS.names)
 
     marked = [(set(r["features"]), r["toxic"]) for r in
-              rows.mapInArrow(mark, HITS).filter(F.size("features") > 0).collect()]
+              rows.mapInArrow(lean(mark), HITS).filter(F.size("features") > 0).collect()]
     holders: dict[str, set[int]] = {}
     for i, (fs, _) in enumerate(marked):
         for f in fs:
@@ -301,7 +304,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 12_000, max_candidat
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, pa.list_(pa.float64())), b.column("toxic").cast(pa.int32())], names=POINTS.names)
 
-    got = rows.mapInArrow(points, POINTS).collect()
+    got = rows.mapInArrow(lean(points), POINTS).collect()
     if not got:
         return Model(lexicon, 0.0, (0.0,) * len(KINDS))
     x, y = np.array([r["x"] for r in got]), np.array([r["toxic"] for r in got], float)
@@ -328,7 +331,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("th"), pa.array(s, pa.float64())],
                                              names=SCORES.names)
 
-    return (keyed(docs).mapInArrow(run, SCORES)
+    return (keyed(docs).mapInArrow(lean(run), SCORES)
             .select("doc_id", "th", held_out_expr().alias("held_out"), "score",
                     (F.col("score") >= threshold).cast("int").alias("predicted")))
 
@@ -345,4 +348,4 @@ def with_score(docs: DataFrame, model: Model, column: str) -> DataFrame:
             s = 1 / (1 + np.exp(-np.clip(x @ w + model.bias, -30, 30)))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(s, pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)
