@@ -34,6 +34,29 @@ def keyed(docs: DataFrame) -> DataFrame:
     return d.select("doc_id", F.xxhash64("text").alias("th"), "text")
 
 
+#: Buckets in which ``tagged`` looks up the ids that have several texts.
+BUCKETS = 1 << 16
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """``doc_id, tag, text``: the tag tells texts under one id apart. It is ``th``,
+    all 64 bits, and 0 where an id has one text, which the id alone names.
+
+    What comes to the driver is the buckets of ids with several texts, at most
+    ``BUCKETS``; an id that falls into one by chance has ``th`` as well, which
+    changes no result.
+    """
+    d = keyed(docs)
+    bucket = F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")
+    several = (d.groupBy("doc_id").agg((F.min("th") != F.max("th")).alias("several")).filter("several")
+               .select(bucket.alias("b")).distinct().collect())
+    flags = bytearray(BUCKETS)
+    for r in several:
+        flags[r["b"]] = 1
+    tag = F.when(F.substring(F.lit(flags), bucket + 1, 1) == F.lit(bytearray([1])), F.col("th")).otherwise(F.lit(0)) if several else F.lit(0)
+    return d.select("doc_id", tag.cast("long").alias("tag"), "text")
+
+
 def lower_ascii(col: Column) -> Column:
     """Lower-cases A-Z only."""
     return F.translate(col, UPPER, LOWER)

@@ -24,7 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, materialise, small
+from kinship.llm import common
+from kinship.llm.common import materialise, small
 from kinship.llm.suffix_dedup import U, mix, sliding_min
 
 FIRST = 4
@@ -36,13 +37,13 @@ GONE, NEXT, MEET, MARK = range(4)
 MOST = 13
 
 
-def place(tag, start, n, kind):
-    """Tag of the text, first window, number of windows and what the row says, in 64 bits."""
-    return (tag << 40) | (start << 6) | (n << 2) | kind
+def place(start, n, kind):
+    """First window, number of windows and what the row says, in 64 bits."""
+    return (start << 6) | (n << 2) | kind
 
 
 def unplace(p: np.ndarray) -> tuple[np.ndarray, ...]:
-    return (p >> 40) & 0xFFFFFF, (p >> 6) & ((1 << 34) - 1), (p >> 2) & 15, p & 3
+    return p >> 6, (p >> 2) & 15, p & 3
 
 
 _RNG = np.random.Generator(np.random.PCG64(13))
@@ -129,9 +130,9 @@ def judge(h: np.ndarray, c: np.ndarray, doc: np.ndarray, mark: np.ndarray) -> tu
     return smaller, several[gh], contents[gh]
 
 
-_ROWS = T.StructType([T.StructField(c, T.LongType()) for c in ("h", "c", "doc", "place")])
-_PLACES = T.StructType([T.StructField(c, T.LongType()) for c in ("doc", "place")])
-_RUNS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("h", "doc", "place")), T.StructField("names", T.BinaryType())])
+_ROWS = T.StructType([T.StructField(c, T.LongType()) for c in ("h", "c", "doc", "tag", "place")])
+_PLACES = T.StructType([T.StructField(c, T.LongType()) for c in ("doc", "tag", "place")])
+_RUNS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("h", "doc", "tag", "place")), T.StructField("names", T.BinaryType())])
 
 
 def batch_of(schema: T.StructType, *cols: np.ndarray) -> pa.RecordBatch:
@@ -179,8 +180,8 @@ def first_level(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.R
         marks = np.flatnonzero(groups(h) & several & contents)
         key = np.where(kind == MEET, h, c)          # what does not meet only passes through
         yield batch_of(_ROWS, np.concatenate([key, h[marks]]), np.concatenate([c, c[marks]]),
-                       np.concatenate([doc, doc[marks]]),
-                       np.concatenate([place(tag, start, n, kind), np.full(len(marks), MARK)]))
+                       np.concatenate([doc, doc[marks]]), np.concatenate([tag, tag[marks]]),
+                       np.concatenate([place(start, n, kind), np.full(len(marks), MARK)]))
 
 
 def meet_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,17 +190,18 @@ def meet_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     A gram has at most a few rows per batch of the level before, so its rows
     fit together.
     """
-    held = [np.zeros(0, np.int64)] * 4
+    held = [np.zeros(0, np.int64)] * 5
 
-    def out(h, c, doc, p) -> pa.RecordBatch:
+    def out(h, c, doc, tag, p) -> pa.RecordBatch:
         kind = p & 3
         through = kind < MEET
         m = ~through
-        h, c, doc_m, pm = h[m], c[m], doc[m], p[m]
+        h, c, doc_m, tag_m, pm = h[m], c[m], doc[m], tag[m], p[m]
         mark = (pm & 3) == MARK
         smaller, several, contents = judge(h, c, doc_m, mark)
         gone, nxt = ~mark & smaller, ~mark & ~smaller & several & contents
         return batch_of(_PLACES, np.concatenate([doc[through], doc_m[gone], doc_m[nxt]]),
+                        np.concatenate([tag[through], tag_m[gone], tag_m[nxt]]),
                         np.concatenate([p[through], pm[gone] & ~3 | GONE, pm[nxt] & ~3 | NEXT]))
 
     for b in batches:
@@ -221,8 +223,8 @@ def second_level(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
             lists = s.column("places")
             of = np.repeat(np.arange(s.num_rows), lists.value_lengths().to_numpy())
             p = lists.flatten().to_numpy()
-            tag, start, n, kind = unplace(p)
-            doc = s.column("doc").to_numpy()
+            start, n, kind = unplace(p)
+            doc, tag = s.column("doc").to_numpy(), s.column("tag").to_numpy()
             gone = kind == GONE
             i = np.flatnonzero(~gone)
             n_i = n[i]
@@ -234,14 +236,15 @@ def second_level(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.
             name = grams(w.hash, length)
             at, size = run_table(low[win], win, text) if len(win) else (np.zeros(0, np.int64),) * 2
             t = text[at]
-            tags = s.column("tag").to_numpy()
             raw = name[win].tobytes()
             names = [raw[8 * a:8 * (a + k)] for a, k in zip(at.tolist(), size.tolist())]
-            spread = mix(p[gone].view(U), doc[of[gone]].view(U))
+            g = of[gone]
+            spread = mix(mix(p[gone].view(U), doc[g].view(U)), tag[g].view(U))
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate([low[win[at]], spread]).view(np.int64)),
-                pa.array(np.concatenate([doc[t], doc[of[gone]]])),
-                pa.array(np.concatenate([place(tags[t], win[at] - w.first[t], size, MEET), p[gone]])),
+                pa.array(np.concatenate([doc[t], doc[g]])),
+                pa.array(np.concatenate([tag[t], tag[g]])),
+                pa.array(np.concatenate([place(win[at] - w.first[t], size, MEET), p[gone]])),
                 pa.array([*names, *[None] * int(gone.sum())], pa.binary())], names=_RUNS.names)
 
 
@@ -254,8 +257,8 @@ def meet_second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def windows(t: pa.Table) -> pa.RecordBatch | None:
         through = t.filter(pa.compute.is_null(t["names"]))
         t = t.filter(pa.compute.is_valid(t["names"]))
-        h, doc, p = (t[c].to_numpy() for c in ("h", "doc", "place"))
-        tag, start, n, _ = unplace(p)
+        h, doc, tag, p = (t[c].to_numpy() for c in ("h", "doc", "tag", "place"))
+        start, n, _ = unplace(p)
         name = np.frombuffer(b"".join(t["names"].to_pylist()), U)
         own = np.repeat(np.arange(len(n)), n)
         start = start[own] + np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
@@ -265,9 +268,9 @@ def meet_second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = np.flatnonzero(groups(name, h))
         smaller = doc > doc[at][np.cumsum(groups(name, h)) - 1] if len(at) else np.zeros(0, bool)
         kind = np.where(smaller, GONE, MEET)
-        pd, pp = through["doc"].to_numpy(), through["place"].to_numpy()
-        return batch_of(_ROWS, np.concatenate([name.view(np.int64), pp * 31 + pd]), np.concatenate([h, pd]),
-                        np.concatenate([doc, pd]), np.concatenate([place(tag, start, 1, kind), pp]))
+        pd, pt, pp = (through[c].to_numpy() for c in ("doc", "tag", "place"))
+        return batch_of(_ROWS, np.concatenate([name.view(np.int64), (pp * 31 + pd) ^ pt]), np.concatenate([h, pd]),
+                        np.concatenate([doc, pd]), np.concatenate([tag, pt]), np.concatenate([place(start, 1, kind), pp]))
 
     for b in batches:
         t = pa.Table.from_batches([b])
@@ -300,10 +303,10 @@ def meet_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows sorted by name, gram and document: those of a larger document than the first are removed."""
     state = (0, 0, 0, False)
     for b in batches:
-        name, h, doc, p = (b.column(c).to_numpy() for c in _ROWS.names)
+        name, h, doc, tag, p = (b.column(c).to_numpy() for c in _ROWS.names)
         meets = (p & 3) == MEET
-        through_doc, through_p = doc[~meets], p[~meets]
-        name, h, doc, p = name[meets], h[meets], doc[meets], p[meets]
+        through = [x[~meets] for x in (doc, tag, p)]
+        name, h, doc, tag, p = (x[meets] for x in (name, h, doc, tag, p))
         gone = np.zeros(len(name), bool)
         if len(name):
             new = groups(name, h)
@@ -313,13 +316,11 @@ def meet_full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             least_row = least[np.cumsum(new) - 1]
             gone = doc > least_row
             state = (name[-1], h[-1], least_row[-1], True)
-        yield batch_of(_PLACES, np.concatenate([through_doc, doc[gone]]),
-                       np.concatenate([through_p, p[gone] & ~3 | GONE]))
+        yield batch_of(_PLACES, *(np.concatenate(x) for x in zip(through, (doc[gone], tag[gone], p[gone] & ~3 | GONE))))
 
 
 def gathered(places: DataFrame) -> DataFrame:
-    return (places.groupBy("doc", F.expr("shiftrightunsigned(place, 40)").alias("tag"))
-            .agg(F.collect_set("place").alias("places")))
+    return places.groupBy("doc", "tag").agg(F.collect_set("place").alias("places"))
 
 
 _SPAN_LIST = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
@@ -332,7 +333,7 @@ def spans_of(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.Reco
     for b in batches:
         out = []
         for places in b.column("places").to_pylist():
-            _, start, n, _ = unplace(np.array(places, np.int64))
+            start, n, _ = unplace(np.array(places, np.int64))
             by = np.argsort(start)
             a, z = start[by], np.maximum.accumulate((start + n - 1 + length)[by])
             new = np.flatnonzero(np.append(True, a[1:] > z[:-1]))
@@ -346,17 +347,15 @@ _KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("span
 
 
 def tagged(docs: DataFrame) -> DataFrame:
-    """``doc_id, doc, tag, text``: the id without nulls and 24 bits of the text's hash."""
-    return keyed(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"),
-                              F.expr("th & 16777215").alias("tag"), "text")
+    """``doc_id, doc, tag, text``: the id, the id without nulls, what tells its texts apart."""
+    return common.tagged(docs).select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "tag", "text")
 
 
-def repeated(docs: DataFrame, length: int = 13) -> DataFrame:
-    """``doc, tag, spans``: maximal runs of words that windows of ``length``
-    words cover which also start in a document with a smaller id."""
+def repeated(d: DataFrame, length: int = 13) -> DataFrame:
+    """``doc, tag, spans`` of ``tagged`` texts: maximal runs of words that windows of
+    ``length`` words cover which also start in a document with a smaller id."""
     if not 2 * FIRST <= length <= MOST:
         raise ValueError(f"needs {2 * FIRST} <= length <= {MOST}")
-    d = tagged(docs)
     one = (d.select("doc", "tag", "text").mapInArrow(lambda x: first_level(x, length), _ROWS)
            .repartition("h").sortWithinPartitions("h", "c", "doc").mapInArrow(meet_first, _PLACES))
     two = (d.join(gathered(one), ["doc", "tag"]).select("doc", "tag", "text", "places")
@@ -380,7 +379,8 @@ def dedup(docs: DataFrame, length: int = 13, max_broadcast: int = 200_000) -> Da
     ``max_broadcast`` documents are sent to where the texts are read; those of
     more are joined by a shuffle.
     """
-    spans = materialise(repeated(docs, length), "word-spans")
+    texts = tagged(docs)
+    spans = materialise(repeated(texts, length), "word-spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -393,5 +393,5 @@ def dedup(docs: DataFrame, length: int = 13, max_broadcast: int = 200_000) -> Da
                     out.append({"doc_id": r["doc_id"], "n_words": len(words), "kept": b" ".join(kept).decode(), "spans": found})
                 yield pa.RecordBatch.from_pylist(out, schema=_KEPT_ARROW)
 
-    return (tagged(docs).join(small(spans, max_broadcast), ["doc", "tag"], "left")
+    return (texts.join(small(spans, max_broadcast), ["doc", "tag"], "left")
             .select("doc_id", "text", "spans").mapInArrow(remove, KEPT))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kinship.llm.common import keyed, materialise, small
+from kinship.llm.common import materialise, small, tagged
 
 U = np.uint64
 _A, _B, _C = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
@@ -293,7 +293,7 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # --- Spark -----------------------------------------------------------------
 
-REGIONS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "anchor", "c", "place")),
+REGIONS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "tag", "anchor", "c", "place")),
                         T.StructField("own", T.BooleanType())])
 COVERED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "tag", "a", "z")])
 SLICES = T.StructType([*(T.StructField(c, T.LongType()) for c in ("part", "sub", "n_subs", "doc_id", "tag", "s0", "n")),
@@ -301,14 +301,11 @@ SLICES = T.StructType([*(T.StructField(c, T.LongType()) for c in ("part", "sub",
 #: Covered bytes (a, z), or of a spread anchor the sorted names of one range and their places.
 FOUND = T.StructType([*COVERED.fields, T.StructField("part", T.LongType()), T.StructField("range", T.LongType()),
                       *(T.StructField(c, T.BinaryType()) for c in ("names", "docs", "tags", "at"))])
-def tagged(docs: DataFrame) -> DataFrame:
-    """``doc_id, tag, text``; the tag, 20 bits of the text's hash, tells texts under one id apart."""
-    return keyed(docs).select("doc_id", F.expr("th & 1048575").alias("tag"), "text")
 
 
-def find_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """``doc_id, anchor, c, place, own`` of every region; a place packs the tag,
-    the first start (35 bits) and the number of starts (9 bits)."""
+def find_regions(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """``doc_id, tag, anchor, c, place, own`` of every region of ``tagged`` texts; a
+    place packs the first start and the number of starts (9 bits)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -325,14 +322,15 @@ def find_regions(docs: DataFrame, length: int, gram: int) -> DataFrame:
             if owner:
                 take = np.repeat(owner, size)
                 anchor, content, s0, n, own = (np.concatenate(c) for c in cols)
-                place = b.column("tag").to_numpy()[take] << 44 | s0 << 9 | n
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(take)), *map(pa.array, (anchor, content, place, own))],
+                take = pa.array(take)
+                yield pa.RecordBatch.from_arrays([b.column("doc_id").take(take), b.column("tag").take(take),
+                                                  *map(pa.array, (anchor, content, s0 << 9 | n, own))],
                                                  names=REGIONS.names)
 
-    return tagged(docs).mapInArrow(run, REGIONS)
+    return texts.mapInArrow(run, REGIONS)
 
 
-_TAG, _START, _N = "shiftrightunsigned(place, 44)", f"(shiftright(place, 9) & {(1 << 35) - 1})", "(place & 511)"
+_START, _N = "shiftright(place, 9)", "(place & 511)"
 
 
 def sort_shard(shard: pa.Table, length: int) -> pa.Table:
@@ -398,16 +396,16 @@ def merge_range(lists: pa.Table, length: int) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], schema=_COVERED_ARROW)
 
 
-def covered(docs: DataFrame, length: int = 400, gram: int = 192, shard_bytes: int = 1 << 20) -> DataFrame:
-    """``doc_id, tag, a, z``: byte ranges whose windows of ``length`` bytes also
-    start elsewhere. Ranges may overlap and repeat.
+def covered(texts: DataFrame, length: int = 400, gram: int = 192, shard_bytes: int = 1 << 20) -> DataFrame:
+    """``doc_id, tag, a, z``: byte ranges of ``tagged`` texts whose windows of
+    ``length`` bytes also start elsewhere. Ranges may overlap and repeat.
 
     ``gram`` is the size of the minimizers (at least 8; of 256 bytes at most),
     ``shard_bytes`` about what one suffix array sorts.
     """
     if not (8 <= gram <= 256 <= length <= 512):
         raise ValueError("needs 8 <= gram <= 256 <= length <= 512")
-    found = materialise(find_regions(docs, length, gram), "regions")
+    found = materialise(find_regions(texts, length, gram), "regions")
     anchors = materialise(
         found.groupBy("anchor").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"),
                                     F.max("own").alias("own"), F.min("doc_id").alias("least"))
@@ -415,9 +413,9 @@ def covered(docs: DataFrame, length: int = 400, gram: int = 192, shard_bytes: in
     cand = materialise(found.drop("own").join(anchors, "anchor"), "candidates")
     contents = materialise(
         cand.groupBy("anchor", "c").agg(F.count("*").alias("k"), F.max("several").alias("several"), F.first("least").alias("least"),
-                                        *(F.first(c).alias(c) for c in ("doc_id", "place"))), "contents")
-    whole = (cand.select("anchor", "c", "doc_id", "place").join(contents.filter("k > 1").select("anchor", "c"), ["anchor", "c"])
-             .select("doc_id", F.expr(_TAG).alias("tag"), F.expr(_START).alias("a"),
+                                        *(F.first(c).alias(c) for c in ("doc_id", "tag", "place"))), "contents")
+    whole = (cand.select("anchor", "c", "doc_id", "tag", "place").join(contents.filter("k > 1").select("anchor", "c"), ["anchor", "c"])
+             .select("doc_id", "tag", F.expr(_START).alias("a"),
                      F.expr(f"{_START} + {_N} - 1 + {length}").alias("z")))
 
     # one region of each content goes to a shard that the anchor determines
@@ -434,8 +432,8 @@ def covered(docs: DataFrame, length: int = 400, gram: int = 192, shard_bytes: in
         .select("anchor", "n_subs", F.expr(f"""case when n_subs > 1 then anchor
             when of_doc > {4 * shard_bytes} then pmod(xxhash64(anchor), {n_shards})
             else pmod(xxhash64(least), {n_shards}) end""").alias("part")), "shards")
-    wanted = (reps.select("anchor", "c", "doc_id", "place").join(dealt, "anchor")
-              .groupBy("doc_id", F.expr(_TAG).alias("tag"))
+    wanted = (reps.select("anchor", "c", "doc_id", "tag", "place").join(dealt, "anchor")
+              .groupBy("doc_id", "tag")
               .agg(F.collect_list(F.struct("part", F.expr("if(n_subs > 1, 1 + pmod(c, n_subs), 0)").alias("sub"), "n_subs",
                                            F.expr(_START).alias("s0"), F.expr(_N).alias("n"))).alias("cuts")))
 
@@ -454,7 +452,7 @@ def covered(docs: DataFrame, length: int = 400, gram: int = 192, shard_bytes: in
                     out += [dict(c, doc_id=r["doc_id"], tag=r["tag"], raw=data[c["s0"]:c["s0"] + c["n"] - 1 + length]) for c in joined]
                 yield pa.RecordBatch.from_pylist(out, schema=_SLICES_ARROW)
 
-    d, w = tagged(docs).alias("d"), wanted.alias("w")
+    d, w = texts.alias("d"), wanted.alias("w")
     slices = (d.join(w, F.expr("d.doc_id <=> w.doc_id and d.tag = w.tag"))
               .select("d.doc_id", "d.tag", "d.text", "w.cuts").mapInArrow(cut, SLICES))
     parts = materialise(slices.groupBy("part", "sub").applyInArrow(lambda t: sort_shard(t, length), FOUND), "sorted")
@@ -505,7 +503,8 @@ def dedup(docs: DataFrame, length: int = 400, max_broadcast: int = 200_000, **ho
     lose all of it, whatever their ids; a null id is an id of its own. An empty
     table gives an empty result.
     """
-    spans = materialise(union_of(covered(docs, length, **how)), "spans")
+    texts = tagged(docs)
+    spans = materialise(union_of(covered(texts, length, **how)), "spans")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -518,7 +517,7 @@ def dedup(docs: DataFrame, length: int = 400, max_broadcast: int = 200_000, **ho
                     out.append({"doc_id": r["doc_id"], "n_bytes": len(data), "kept": kept, "spans": found})
                 yield pa.RecordBatch.from_pylist(out, schema=_KEPT_ARROW)
 
-    d, p = tagged(docs).alias("d"), small(spans, max_broadcast).alias("p")
+    d, p = texts.alias("d"), small(spans, max_broadcast).alias("p")
     return (d.join(p, F.expr("d.doc_id <=> p.doc_id and d.tag = p.tag"), "left")
             .select("d.doc_id", "d.text", "p.spans").mapInArrow(remove, KEPT))
 

@@ -81,3 +81,15 @@ def test_words_and_hashes():
 
 def test_empty_table(spark):
     assert sd.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_many_texts_under_one_id(spark):
+    rng = random.Random(14)
+    words = lambda k: [f"w{rng.randrange(10**6)}" for _ in range(k)]      # noqa: E731
+    passages = [words(20) for _ in range(3000)]
+    rows = [(rng.choice([None, 1, 2, 3]), " ".join(words(rng.randint(0, 9)) + p + words(rng.randint(0, 9)))) for p in passages]
+    for _ in range(20000):
+        p, a = rng.choice(passages), rng.randint(0, 4)
+        rows.append((7, " ".join(words(rng.randint(0, 12)) + p[a:a + rng.randint(13, 16)] + words(rng.randint(0, 12)))))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert result(df) == brute(rows)

@@ -122,3 +122,16 @@ def test_what_may_repeat_holds_all_repeats(monkeypatch):
         kept = {(i, a + k) for i, a, n in sd.may_repeat(strings, starts, 400) for k in range(n)}
         assert repeated <= kept and all(a < starts[i] for i, a in kept)
         assert len(kept) < 1.5 * len(repeated)
+
+
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_many_texts_under_one_id(spark, doc_id):
+    rng = random.Random(15)
+    text = lambda k: "".join(rng.choices("abcdefgh", k=k))      # noqa: E731
+    texts = []
+    for _ in range(2500):
+        passage = text(262)
+        texts += [text(rng.randint(0, 30)) + passage + text(rng.randint(0, 30)) for _ in range(2)]
+    df = spark.createDataFrame([(doc_id, t) for t in texts], "doc_id long, text string").repartition(4)
+    got = sorted((r.n_bytes, bytes(r.kept), len(r.spans)) for r in sd.dedup(df, 256, gram=64).collect())
+    assert got == sorted(brute_spans(texts, 256))
