@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 from kinship.operators.strategy import spread, written
-from kinship.sources.jsonl import read_jsonl, split_valid, with_dataset
+from kinship.sources.jsonl import nested_schema, read_jsonl, split_valid, with_dataset
 from kinship.sources.schemas import QUESTION_RECORD, SIMPLIFIED_RECORD
 
 
@@ -21,13 +21,19 @@ def corpus_schema(question_field: str = "question_text", base: StructType = SIMP
 
 def read_corpus(spark: SparkSession, paths, question_field: str = "question_text",
                 base: StructType = SIMPLIFIED_RECORD, path_glob: str | None = None,
-                recursive: bool = False) -> tuple[DataFrame, DataFrame]:
+                recursive: bool = False, whole: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(records, quarantine)``; records carry ``ord`` and ``question_text``.
 
     The lines are parsed once, spread and written: every reader of the records
-    sees the same ``ord``, and an unsplittable file is read by one task only once.
+    sees the same ``ord``, and an unsplittable file is read by one task only once. With ``whole``, one
+    more pass before finds the fields of annotations and candidates that
+    ``base`` does not list, and the records carry them.
     """
-    df = read_jsonl(spark, paths, corpus_schema(question_field, base), path_glob, recursive).drop("_line")
+    schema = corpus_schema(question_field, base)
+    df = read_jsonl(spark, paths, schema, path_glob, recursive)
+    if whole:
+        df = read_jsonl(spark, paths, nested_schema(split_valid(df)[0], schema), path_glob, recursive)
+    df = df.drop("_line")
     good, bad = split_valid(written(spread(df), "corpus"))
     if question_field != "question_text":
         good = good.withColumnRenamed(question_field, "question_text")

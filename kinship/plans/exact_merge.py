@@ -42,7 +42,7 @@ def merged_record(df: DataFrame) -> DataFrame:
 def build(spark: SparkSession, corpus_paths, question_sets: Mapping[str, Sequence[str] | str],
           keep: str = "last", question_field: str = "question_text", with_error: bool = False,
           normalizer: str = "basic") -> dict[str, DataFrame]:
-    corpus, corpus_bad = read_corpus(spark, corpus_paths, question_field)
+    corpus, corpus_bad = read_corpus(spark, corpus_paths, question_field, whole=True)
     questions, q_bad = read_questions(spark, question_sets)
     cs = link.prepare_corpus(corpus, normalizer=normalizer)
     qs = link.prepare_questions(questions, normalizer=normalizer)

@@ -59,7 +59,7 @@ def unmatched_samples(unmatched: DataFrame, n: int = 5) -> DataFrame:
 
 def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mapping[str, Sequence[str] | str],
           path_glob: str = "*.jsonl.gz", question_field: str = "question_text") -> dict[str, DataFrame]:
-    corpus, corpus_bad = read_corpus(spark, list(corpus_dirs), question_field, path_glob=path_glob)
+    corpus, corpus_bad = read_corpus(spark, list(corpus_dirs), question_field, path_glob=path_glob, whole=True)
     questions, q_bad = read_questions(spark, question_sets)
     cs = store(link.prepare_corpus(corpus, normalizer="question"))
     qs = link.prepare_questions(questions, normalizer="question")

@@ -17,6 +17,7 @@ the outputs (``sinks.write_merged``).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -152,6 +153,15 @@ def full_schema(spark: SparkSession, paths, known: StructType) -> StructType:
     return merged_type(known, spark.read.json(_paths(paths)).schema)
 
 
+def nested_schema(lines: DataFrame, known: StructType, line: str = "_line") -> StructType:
+    """``known`` with the fields inside its structs that the records of ``lines``
+    have besides, from one pass over them. A field of several types is text."""
+    spark = lines.sparkSession
+    text = getattr(lines.select(line)._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    found = StructType.fromJson(json.loads(spark._jsparkSession.read().json(text).schema().json()))
+    return merged_type(known, StructType([f for f in found if f.name in known.names]))
+
+
 def first_records(df: DataFrame, n: int, order: str = "ord") -> DataFrame:
     """The first ``n`` records in input order."""
     return df.orderBy(order).limit(n)

@@ -3,7 +3,7 @@
 import json
 import os
 
-from kinship.plans import corpus_prep, fuzzy_link, keyed_enrich
+from kinship.plans import corpus_prep, exact_merge, fuzzy_link, keyed_enrich
 from kinship.sources.jsonl import first_files, read_jsonl, sample_files, split_valid
 from kinship.sources.schemas import QUESTION_RECORD
 
@@ -99,3 +99,22 @@ def test_file_samples_from_folders(spark, tmpdir_run):
     assert base(first_files(spark, train, 2)) == ["a.jsonl", "b.jsonl"]
     assert base(first_files(spark, train + "/*.jsonl", 2)) == ["a.jsonl", "b.jsonl"]
     assert base(sample_files(spark, {train: 2, dev: 1})) == ["a.jsonl", "b.jsonl", "y.jsonl"]
+
+
+def test_unknown_annotation_fields_reach_linked_outputs(spark, tmpdir_run):
+    span = {"start_token": 0, "end_token": 1}
+    ann = [{"annotation_id": 99, "long_answer": dict(span, candidate_index=4), "short_answers": [dict(span, extra="e")],
+            "yes_no_answer": "NONE", "judge": {"name": "x"}}]
+    cand = [dict(span, top_level=True, note="n")]
+    folder = os.path.join(tmpdir_run, "corpus")
+    os.makedirs(folder)
+    # a quarantined record does not hide the fields of the others
+    write(os.path.join(folder, "a.jsonl"), [dict(CORPUS[0], annotations=ann, long_answer_candidates=cand),
+                                            dict(CORPUS[0], annotations="odd", long_answer_candidates=3), "cut {"])
+    q = write(os.path.join(tmpdir_run, "q.jsonl"), [{"question": "Which river is the longest", "answer": ["Nile"]}])
+    exact, keyed = (os.path.join(tmpdir_run, x) for x in ("exact", "keyed"))
+    assert exact_merge.run(spark, [folder], {"d": q}, exact)["quarantine"].count() == 2
+    keyed_enrich.run(spark, [folder], {"d": q}, keyed, path_glob="*.jsonl")
+    for out in (os.path.join(exact, "matched"), os.path.join(keyed, "enriched")):
+        got = lines_of(out)[0]
+        assert got["annotations"] == ann and got["long_answer_candidates"] == cand
