@@ -255,3 +255,16 @@ def q_sorted_lines(spark, sf_dir):
     rows = link.unmatched(qs, idx).select(F.split("question", "[\r\n]")[0].alias("question"))
     write_sorted_lines(rows, "question", path)
     return spark.read.text(path).withColumnRenamed("value", "question")
+
+
+@register("sorted_texts", f"""
+WITH {S.prepared('question')}
+SELECT DISTINCT question FROM pq2 WHERE key NOT IN (SELECT key FROM pc)""")
+def q_sorted_texts(spark, sf_dir):
+    from kinship.sources.sinks import read_sorted_lines, write_sorted_lines
+
+    path = _folder(spark, "texts")
+    qs, cs = _exact_inputs(spark, sf_dir, norm="question")
+    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    write_sorted_lines(link.unmatched(qs, idx), "question", path)
+    return read_sorted_lines(spark, path, "question")

@@ -6,7 +6,7 @@ is funnelled through one task or the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MODES = ("overwrite", "append", "error", "ignore")
@@ -40,19 +40,41 @@ def write_merged(df: DataFrame, path: str, hit, overlay: list[str], line: str =
     df.select(by, merged_json(F.col(line), hit, overlay).alias("value")).write.mode(mode).partitionBy(by).text(path)
 
 
+def escaped_line(c):
+    """A text as one line: backslash, line feed and carriage return as ``\\\\``, ``\\n``, ``\\r``."""
+    for raw, esc in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")):
+        c = F.replace(c, F.lit(raw), F.lit(esc))
+    return c
+
+
+def unescaped_line(c):
+    """The text that ``escaped_line`` made a line of."""
+    def plain(p):
+        return F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+
+    # between escaped backslashes a backslash only stands before n or r
+    return F.array_join(F.transform(F.split(c, r"\\\\"), plain), "\\")
+
+
 def write_sorted_lines(df: DataFrame, col: str, path: str, mode: str = "overwrite",
                        by: str | None = None) -> None:
     """Distinct values of ``col`` as text lines in ascending order (a global
     range-partitioned sort: part files are in order). With ``by``, one
-    folder per value of ``by`` (``by=value``), each sorted."""
+    folder per value of ``by`` (``by=value``), each sorted. A text is one line,
+    whatever it holds (``escaped_line``); ``read_sorted_lines`` gives it back."""
     cols = ([by] if by else []) + [col]
     out = df.select(*[F.col(c).cast("string") for c in cols]).distinct().orderBy(*cols)
-    w = out.write.mode(mode)
+    w = out.withColumn(col, escaped_line(F.col(col))).write.mode(mode)
     if by:
         w = w.partitionBy(by)
     w.text(path)
 
 
+def read_sorted_lines(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """The texts of ``write_sorted_lines`` as ``col``, and ``by`` if it was given."""
+    return spark.read.text(path).withColumn("value", unescaped_line(F.col("value"))).withColumnRenamed("value", col)
+
+
 def write_keyed(df: DataFrame, path: str, key: str, partitions: int | None = None,
                 mode: str = "overwrite") -> None:
     """Parquet laid out by ``key``: hash-partitioned on the key and sorted

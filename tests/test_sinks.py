@@ -60,3 +60,13 @@ def test_bucketed_tables_join_without_shuffle(spark, tmpdir_run):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.sql("DROP TABLE IF EXISTS kinship_test_a")
         spark.sql("DROP TABLE IF EXISTS kinship_test_b")
+
+
+def test_sorted_lines_hold_whole_texts(spark, tmpdir_run):
+    from kinship.sources.sinks import read_sorted_lines
+
+    texts = ["a\nb", "a\nc", "a\\nb", "a\\\nb", "a\\\\n", "\r\n", "\\", "\\\\r", "é\\r\r\\", "a", "\n\\\\\n"]
+    write_sorted_lines(spark.createDataFrame([("d", t) for t in texts + texts], "dataset string, question string"),
+                       "question", tmpdir_run, by="dataset")
+    assert len(_lines(os.path.join(tmpdir_run, "dataset=d"))) == len(texts)
+    assert sorted(r.question for r in read_sorted_lines(spark, tmpdir_run, "question").collect()) == sorted(texts)
