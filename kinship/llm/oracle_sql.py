@@ -148,3 +148,87 @@ WITH RECURSIVE d AS (
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.y) AS component_id
 FROM d JOIN reach r ON r.x = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY 1, 2
 """
+
+OP12 = r"""
+WITH w AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(words) < 200 THEN 1 ELSE 0 END
+         + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END
+         + CASE WHEN coalesce(w.doc_id > min(w.doc_id) OVER (PARTITION BY t), false) THEN 16 ELSE 0 END AS mask
+  FROM w LEFT JOIN marks ON marks.doc_id = w.doc_id
+), cell AS (
+  SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask
+), l AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 4, 8, 16]) AS b
+), o AS (
+  SELECT p.c || q.c || r.c || s.c || t.c AS filter_order, [p.b, q.b, r.b, s.b, t.b] AS bits
+  FROM l p, l q, l r, l s, l t WHERE (p.b | q.b | r.b | s.b | t.b) = 31
+), st AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS before
+  FROM o, (SELECT unnest(range(1, 6)) AS step)
+), per AS (
+  SELECT part, filter_order, step, bit,
+         sum(CASE WHEN (mask & (before | bit)) = 0 THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN (mask & bit) > 0 AND (mask & before) = 0 THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN (mask & bit) > 0 AND (mask & before) > 0 THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN (mask & bit) > 0 AND (mask & before) = 0 THEN good ELSE 0 END) AS good_lost,
+         sum(CASE WHEN (mask & bit) > 0 AND (mask & before) = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM cell, st GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM per
+"""
+
+OP13 = r"""
+WITH o AS (
+  SELECT conv_id AS c, sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS m,
+         len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words, turn
+  FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+  SELECT c, m, words, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, substr(m, 1, 32)) AS pos FROM o
+), tab AS (
+  SELECT list_reduce(list_prepend(k::BIGINT, range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) AS v, k
+  FROM (SELECT unnest(range(256)) AS k)
+), tabs AS (
+  SELECT list(v ORDER BY k) AS t FROM tab
+), ids AS (
+  SELECT c, c - c % 20 AS b, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+         lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM p), tabs
+), own AS (
+  SELECT c, list(m ORDER BY pos) AS ms, list(words ORDER BY pos) AS ws FROM p GROUP BY c
+), seq AS (
+  SELECT ids.c, CASE WHEN base.c IS NULL THEN own.ms[h + 1:] ELSE list_concat(base.ms[1:h], own.ms[h + 1:]) END AS ms,
+         CASE WHEN base.c IS NULL THEN own.ws[h + 1:] ELSE list_concat(base.ws[1:h], own.ws[h + 1:]) END AS ws
+  FROM ids JOIN own ON own.c = ids.c LEFT JOIN own base ON base.c = ids.b
+), path AS (
+  SELECT c, d, len(ms) AS n, sha256(array_to_string(ms[1:d], '')) AS g,
+         CASE WHEN d > 0 THEN sha256(array_to_string(ms[1:d - 1], '')) END AS pg, CASE WHEN d > 0 THEN ws[d] ELSE 0 END AS words
+  FROM (SELECT c, ms, ws, unnest(range(0, len(ms) + 1)) AS d FROM seq)
+), node AS (
+  SELECT g, d, min(pg) AS pg, min(c) AS first_c, count(*) AS n_convs, (count(*) - 1) * max(words) AS worth,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = n), '')) AS ends_sha256
+  FROM path GROUP BY g, d
+), kids AS (
+  SELECT pg, d, count(*) AS k FROM node WHERE d > 0 GROUP BY pg, d
+), sub AS (
+  SELECT path.g, path.d, sum(x.worth) AS saved, sum(CASE WHEN k.k IS NULL THEN 1 ELSE 0 END) AS leaves
+  FROM node x LEFT JOIN kids k ON k.pg = x.g AND k.d = x.d + 1 JOIN path ON path.c = x.first_c AND path.d <= x.d
+  GROUP BY path.g, path.d
+)
+SELECT node.first_c AS conv_id, node.d::BIGINT AS depth, up.first_c AS parent_conv_id, node.n_convs::BIGINT AS n_convs,
+       coalesce(kids.k, 0)::BIGINT AS n_children, sub.leaves::BIGINT AS n_leaves, sub.saved::BIGINT AS saved_tokens, node.ends_sha256
+FROM node JOIN sub ON sub.g = node.g AND sub.d = node.d LEFT JOIN kids ON kids.pg = node.g AND kids.d = node.d + 1
+LEFT JOIN node up ON up.g = node.pg AND up.d = node.d - 1
+"""

@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.llm import block_names, bpe_codec, decontaminate, oracle_sql, parity_join, pii, substring_dedup, suffix_dedup, toxicity, warc
+from kinship.llm import (
+    block_names, bpe_codec, decontaminate, filter_audit, oracle_sql, parity_join, pii, prefix_trie, substring_dedup,
+    suffix_dedup, toxicity, warc,
+)
 from kinship.llm import token_counts as counts
 from kinship.llm.common import read_table
 
@@ -108,3 +111,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join", oracle_sql.OP10)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90).drop("th", "is_first")
+
+
+@query("op12_filter_audit", oracle_sql.OP12)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query("op13_prefix_trie", oracle_sql.OP13)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations"))
