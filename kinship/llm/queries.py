@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.llm import (
-    block_names, bpe_codec, decontaminate, filter_audit, oracle_sql, parity_join, pii, prefix_trie, substring_dedup,
+    block_names, bpe_codec, decontaminate, filter_audit, main_text, oracle_sql, parity_join, pii, prefix_trie, substring_dedup,
     suffix_dedup, toxicity, warc,
 )
 from kinship.llm import token_counts as counts
@@ -113,6 +113,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parity_join.jaccard_components(read_table(spark, sf_dir, "documents"), words=3, percent=90).drop("th", "is_first")
 
 
+@query("op11_html_extraction")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(read_table(spark, sf_dir, "pages"), main_text.fit())
+
+
 @query("op12_filter_audit", oracle_sql.OP12)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
