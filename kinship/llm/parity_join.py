@@ -312,15 +312,13 @@ def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Reco
 
 
 def pack(value: np.ndarray) -> bytes:
-    """The elements as 48-bit numbers."""
-    return value.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    """The elements as 64-bit numbers."""
+    return value.astype("<u8").tobytes()
 
 
 def unpack(items: bytes) -> np.ndarray:
     """The packed elements, sorted."""
-    wide = np.zeros((len(items) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(items, np.uint8).reshape(-1, 6)
-    return np.sort(wide.view("<u8").ravel().astype(U))
+    return np.sort(np.frombuffer(items, "<u8").astype(U))
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -403,7 +401,7 @@ def verify(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Recor
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block_items: int = 1_000_000,
-                       max_broadcast: int = 200_000) -> DataFrame:
+                       block_docs: int = 512, max_broadcast: int = 200_000) -> DataFrame:
     """``doc_id, th, n_shingles, component_id, is_first`` of every row.
 
     Texts are lower-cased (A-Z only) and split at blanks, tabs and line or page
@@ -413,7 +411,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     id that links lead to, ``is_first`` marks the row that stands for all (rows
     that repeat it too, and every row without shingles). Null and empty texts have no shingles and no links;
     repeated rows each get a row; a null id is larger than all others; an empty
-    table gives an empty result. ``block_items`` bounds what a task compares. At
+    table gives an empty result. ``block_items`` and ``block_docs`` bound what a task
+    compares: a larger cluster is dealt to blocks, a task for each two of them. At
     most ``max_broadcast`` clustered sets are named where the texts are read;
     more are joined to them by a shuffle.
     """
@@ -438,10 +437,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
 
     member = classes.join(clusters.withColumnRenamed("node", "s1"), "s1")
     member = materialise(member.select("root", "cid", "n", "rep.doc_id", "rep.th"), "members")
-    blocks = member.groupBy("root").agg(F.sum("n").alias("size")).withColumn(
-        "n_blocks", F.expr(f"(size + {block_items - 1}) div {block_items}"))
+    blocks = member.groupBy("root").agg(F.sum("n").alias("size"), F.count("*").alias("docs")).withColumn(
+        "n_blocks", F.expr(f"greatest((size + {block_items - 1}) div {block_items}, (docs + {block_docs - 1}) div {block_docs})"))
     dealt = materialise(member.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("n_blocks")))
-                        .drop("size", "n"), "dealt")
+                        .drop("size", "docs", "n"), "dealt")
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("root", "i", "j", "block", "cid")] + [("items", pa.binary())])

@@ -389,35 +389,35 @@ def fixed_lines() -> tuple[list[str], list[list[Span]]]:
     return texts, spans
 
 
-def fit(docs: DataFrame, max_rows: int = 300, window: int = 60, repeat: int = 6) -> Field:
+def fit(docs: DataFrame, max_rows: int = 300, max_chars: int = 50_000, window: int = 60, repeat: int = 6) -> Field:
     """Train on the fixed lines (each ``repeat`` times) and at most ``max_rows``
-    documents with digits or at signs, chosen by a hash of the text and labelled
-    by the base rules; of a document, the words around its spans are used."""
-    held = docs.select(whole_text().alias("text")).filter(F.col("text").rlike("[0-9@]")).withColumn("h", F.xxhash64("text"))
+    documents with digits or at signs, chosen by a hash of the text among those of at most
+    ``max_chars`` characters and labelled by the base rules; of a document, all its
+    words within ``window`` characters of digits and at signs are used."""
+    held = (docs.select(whole_text().alias("text")).filter(F.col("text").rlike("[0-9@]") & (F.length("text") <= max_chars))
+            .withColumn("h", F.xxhash64("text")))
     # the texts themselves are looked up by the largest hash chosen, so no task sends more than hashes
     last = held.select("h").distinct().orderBy("h").limit(max_rows).agg(F.max("h")).first()[0]
     rows = held.filter(F.col("h") <= last).groupBy("h").agg(F.min("text").alias("text")).orderBy("h").collect() if last is not None else []
     texts, spans = [], []
     for r in rows:
         found = base_spans(r["text"])
-        for a, z in cuts(r["text"], found, window):
+        for a, z in cuts(r["text"], window):
             texts.append(r["text"][a:z])
             spans.append([(s - a, k, e - a) for s, k, e in found if a <= s and e <= z])
     lines, marks = fixed_lines()
     return train(texts + lines * repeat, spans + marks * repeat)
 
 
-def cuts(text: str, found: list[Span], window: int) -> list[tuple[int, int]]:
-    """Pieces of a text around its digits and at signs, and one from its beginning."""
-    out = [(0, min(len(text), 4 * window))]
+def cuts(text: str, window: int) -> list[tuple[int, int]]:
+    """All pieces of a text around its digits and at signs."""
+    out: list[tuple[int, int]] = []
     for m in re.finditer(r"\S*[0-9@]\S*", text):
         a, z = max(0, m.start() - window), min(len(text), m.end() + window)
-        if a < out[-1][1]:
+        if out and a < out[-1][1]:
             out[-1] = (out[-1][0], max(z, out[-1][1]))
         else:
             out.append((a, z))
-        if len(out) > 40:
-            break
     return out
 
 

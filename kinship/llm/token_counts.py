@@ -41,14 +41,15 @@ def units(text: str) -> list[str]:
 
 
 def balanced(texts: Iterable[str], max_bytes: int) -> Iterator[list[str]]:
-    """Consecutive texts grouped to about ``max_bytes`` each (at least one text)."""
+    """Consecutive texts grouped to about ``max_bytes`` of UTF-8 each (at least one text)."""
     group, size = [], 0
     for t in texts:
-        if group and size + len(t) > max_bytes:
+        n = len(t) if t.isascii() else len(t.encode())
+        if group and size + n > max_bytes:
             yield group
             group, size = [], 0
         group.append(t)
-        size += len(t)
+        size += n
     if group:
         yield group
 

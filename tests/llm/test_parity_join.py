@@ -194,3 +194,17 @@ def test_components(spark):
 
 def test_empty_table(spark):
     assert pj.jaccard_components(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_elements_keep_all_bits():
+    from kinship.llm.parity_join import pack, unpack
+
+    a = np.array([5, 5 + (1 << 50), (1 << 63) + 5, 7], np.uint64)
+    assert unpack(pack(a)).tolist() == sorted(a.tolist())
+
+
+def test_blocks_by_count(spark):
+    rows = [(i, " ".join(f"w{j}" for j in range(60)) + f" x{i} y{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in pj.jaccard_components(df, words=3, percent=80, block_docs=7).collect()}
+    assert got == dict.fromkeys(range(40), 0)

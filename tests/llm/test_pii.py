@@ -117,3 +117,13 @@ def test_find_and_query(spark, field, texts):
 def test_fit_without_rows(spark):
     field = pii.fit(spark.createDataFrame([], SCHEMA))
     assert pii.added_spans(field, ["the of and"], [[]]) == [[]]
+
+
+def test_all_pieces_of_a_text_train():
+    from kinship.llm.pii import cuts
+
+    text = " ".join(f"{'word ' * 40}mail{i}@example.org" for i in range(60))
+    pieces = cuts(text, 20)
+    assert len(pieces) == 60 and all(a < z for a, z in pieces) and pieces[0][0] > 0
+    assert all(any(a <= text.index(f"mail{i}@") < z for a, z in pieces) for i in (0, 41, 59))
+    assert cuts("no marks here", 20) == []

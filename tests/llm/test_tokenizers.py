@@ -86,3 +86,9 @@ def test_queries_read_whole_tables(spark, enc):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
+
+
+def test_batches_are_balanced_by_bytes():
+    from kinship.llm.token_counts import balanced
+
+    assert list(balanced(["é" * 4, "é" * 4, "aaaa", "aaaa", "a" * 99], 10)) == [["é" * 4], ["é" * 4], ["aaaa", "aaaa"], ["a" * 99]]
