@@ -57,7 +57,8 @@ STOP_LISTS = {"14": STOP_WORDS_14, "35": STOP_WORDS_35, "none": ()}
 # keyword punctuation nor whitespace, so one regex split finds them all.
 WORD_SEPARATORS = "[" + PUNCT_CLASS[1:-1] + WS_CLASS[1:-1] + "]+"
 
-_ENDS_WS = f"^{WS_CLASS}+|{WS_CLASS}+$"
+# the characters of ``WS_CLASS``
+WS_CHARS = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 _ANY_WS = f"{WS_CLASS}+"
 # a character that is not whitespace: ``strip(x) != ''`` <=> ``x`` contains one
 NON_WS = "[^" + WS_CLASS[1:-1] + "]"
@@ -69,7 +70,7 @@ def _col(c) -> Column:
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode whitespace."""
-    return F.regexp_replace(_col(c), _ENDS_WS, "")
+    return F.btrim(_col(c), F.lit(WS_CHARS))
 
 
 def has_text(c) -> Column:

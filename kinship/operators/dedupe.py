@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinship.operators.strategy import digest
+
 KEEP_MODES = ("last", "first")
 
 
@@ -46,6 +48,14 @@ def build_index(df: DataFrame, key: str, order: str, payload: Sequence[str] = ()
     return out
 
 
+def digest_index(df: DataFrame, key: str, order: str, payload: Sequence[str] = (), keep: str = "last") -> DataFrame:
+    """``build_index`` by the digest of the key: ``_kd`` names the key, whose text
+    is neither shuffled nor returned (unless it is in ``payload``). ``hot_join``
+    takes it as it is."""
+    narrow = df.select(digest(key).alias("_kd"), order, *[c for c in payload if c != order])
+    return build_index(narrow, "_kd", order, payload, keep=keep)
+
+
 def attach_payload(rows: DataFrame, records: DataFrame, order: str, payload: Sequence[str],
                    win_col: str = "win_ord") -> DataFrame:
     """Late materialisation: fetch wide ``payload`` columns of the winning

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from kinship.functions.text import normalizer as _normalizer
 from kinship.functions.text import has_text, strip_ws
-from kinship.operators.dedupe import attach_payload, build_index
-from kinship.operators.strategy import hot_join
+from kinship.operators.dedupe import attach_payload, build_index, digest_index
+from kinship.operators.strategy import digest, hot_join
 
 NO_MATCH = "No match found"
 
@@ -48,9 +48,14 @@ def corpus_index(corpus: DataFrame, order: str, payload: Sequence[str] = (), kee
     return build_index(corpus, "key", order, payload, keep=keep, drop_empty_keys=drop_empty_keys)
 
 
+def key_index(corpus: DataFrame, order: str, keep: str = "last") -> DataFrame:
+    """Which record of each key counts, the key as its digest: no text is shuffled."""
+    return digest_index(corpus.select("key", order), "key", order, keep=keep)
+
+
 def unmatched(questions: DataFrame, index: DataFrame) -> DataFrame:
     """Questions whose key is not in the index."""
-    return hot_join(questions, index.select("key"), "key", "left_anti")
+    return hot_join(questions, index.select("_kd" if "_kd" in index.columns else "key"), "key", "left_anti")
 
 
 def with_reason(unmatched_rows: DataFrame, reason: str = NO_MATCH) -> DataFrame:
@@ -64,12 +69,19 @@ def exact_merge(questions: DataFrame, corpus: DataFrame, order: str,
     """Questions joined (``how`` = inner or left) with the payload of the
     kept corpus record of their key.
 
-    ``late=True`` matches on a narrow ``(key, order)`` index and then fetches
+    ``late=True`` matches on an index of key digests and orders and then fetches
     the wide payload by the winners' order.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
     if late:
-        idx = corpus_index(corpus.select("key", order), order, keep=keep)
+        idx = key_index(corpus, order, keep)
         return attach_payload(hot_join(questions, idx, "key", how), corpus, order, payload)
     return hot_join(questions, corpus_index(corpus, order, payload, keep=keep), "key", how)
+
+
+def probe_store(questions: DataFrame, table: str, how: str = "left", key: str = "key") -> DataFrame:
+    """``questions`` joined (inner, left or left_anti) with a table of ``sinks.save_store``,
+    whose side is read bucket by bucket: only the questions are shuffled."""
+    store = questions.sparkSession.table(table)
+    return questions.withColumn("_kd", digest(key)).join(store.drop(key), "_kd", how).drop("_kd")

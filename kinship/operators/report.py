@@ -21,7 +21,8 @@ def _rate(matched, processed):
 
 def match_report(questions: DataFrame, index: DataFrame, by: str | None = "dataset") -> DataFrame:
     """processed / matched / unmatched / match_rate, per ``by`` or overall."""
-    j = hot_join(questions, index.select("key").withColumn("_hit", F.lit(1)), "key", "left")
+    named = "_kd" if "_kd" in index.columns else "key"
+    j = hot_join(questions, index.select(named).withColumn("_hit", F.lit(1)), "key", "left")
     aggs = [
         F.count(F.lit(1)).alias("processed"),
         F.count("_hit").alias("matched"),

@@ -21,19 +21,29 @@ from kinship.session import checkpoint_dir
 
 
 def digest(*cols: str) -> Column:
-    """SHA-256 of the columns' text (nulls told apart from empty strings)."""
+    """SHA-256 of the columns' text (nulls told apart from empty strings).
+
+    Never null, also by its type: else a join's test for null keys would be
+    pushed to the scan and compute the key there once more."""
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("0")) for c in cols]
-    return F.unhex(F.sha2(F.concat_ws("\x00", *parts), 256))
+    return F.coalesce(F.unhex(F.sha2(F.concat_ws("\x00", *parts), 256)), F.lit(b""))
 
 
 def hot_join(probe: DataFrame, unique: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """``probe`` joined with ``unique`` (one row per ``key``) so that AQE may split hot keys of ``probe``.
 
-    Null keys never match.
+    ``unique`` has ``key`` or its digest ``_kd`` (``dedupe.digest_index``). Null keys never match.
     """
-    p = probe.withColumn("_kd", F.when(F.col(key).isNotNull(), digest(key)))
-    u = unique.where(F.col(key).isNotNull()).withColumn("_kd", digest(key)).drop(key)
-    return p.join(u, "_kd", how).drop("_kd")
+    def joined_by(d: Column, null: Column, if_null: bytes) -> Column:
+        # not the expression that an index is grouped by, so that both sides are shuffled; nulls of the sides differ
+        return F.when(null, F.lit(if_null)).otherwise(F.concat(F.lit(b"\x01"), d))
+
+    p = probe.withColumn("_jd", joined_by(digest(key), F.col(key).isNull(), b"p"))
+    if "_kd" in unique.columns:
+        u = unique.withColumn("_jd", joined_by(F.col("_kd"), F.lit(False), b"u")).drop("_kd")
+    else:
+        u = unique.withColumn("_jd", joined_by(digest(key), F.col(key).isNull(), b"u")).drop(key)
+    return p.join(u, "_jd", how).drop("_jd")
 
 
 def written(df: DataFrame, what: str) -> DataFrame:

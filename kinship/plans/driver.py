@@ -62,7 +62,7 @@ FROM pq2 WHERE key NOT IN (SELECT key FROM pc)
 """)
 def q_unmatched(spark, sf_dir):
     qs, cs = _exact_inputs(spark, sf_dir)
-    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    idx = link.key_index(cs, "ord")
     out = link.unmatched(qs, idx)
     return out.select("q_id", "question", F.array_join("answer", " ").alias("answer"))
 
@@ -240,7 +240,7 @@ FROM pq2 WHERE key NOT IN (SELECT key FROM pc)
 """)
 def q_unmatched_reason(spark, sf_dir):
     qs, cs = _exact_inputs(spark, sf_dir)
-    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    idx = link.key_index(cs, "ord")
     out = link.with_reason(link.unmatched(qs, idx))
     return out.select("q_id", "question", F.array_join("answer", " ").alias("answer"), "error")
 
@@ -264,7 +264,7 @@ SELECT DISTINCT question FROM pq2 WHERE key NOT IN (SELECT key FROM pc)
 """)
 def q_unmatched_text_sorted(spark, sf_dir):
     qs, cs = _exact_inputs(spark, sf_dir, norm="question")
-    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    idx = link.key_index(cs, "ord")
     return link.unmatched(qs, idx).select("question").distinct().orderBy("question")
 
 
@@ -309,7 +309,7 @@ def q_match_report(spark, sf_dir):
     from kinship.operators.report import match_report
 
     qs, cs = _exact_inputs(spark, sf_dir)
-    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    idx = link.key_index(cs, "ord")
     return match_report(qs, idx, by="dataset")
 
 
@@ -325,7 +325,7 @@ def q_match_report_total(spark, sf_dir):
     from kinship.operators.report import corpus_counters, match_report, side_by_side
 
     qs, cs = _exact_inputs(spark, sf_dir)
-    idx = link.corpus_index(cs.select("key", "ord"), "ord")
+    idx = link.key_index(cs, "ord")
     return side_by_side(corpus_counters(T.corpus(spark, sf_dir)), match_report(qs, idx, by=None))
 
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinship.operators.strategy import digest
+
 MODES = ("overwrite", "append", "error", "ignore")
 
 
@@ -96,3 +98,11 @@ def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str =
     if path:
         w = w.option("path", path)
     w.saveAsTable(table)
+
+
+def save_store(df: DataFrame, table: str, key: str, path: str | None = None, buckets: int | None = None) -> None:
+    """A (near-)unique ``key``'s records as a table bucketed by the key's digest
+    ``_kd``, which ``link.probe_store`` joins without a shuffle of the table. There are
+    as many buckets as the session has shuffle partitions, so that the questions are dealt to them."""
+    n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    save_bucketed(df.withColumn("_kd", digest(key)), table, "_kd", n, path=path)

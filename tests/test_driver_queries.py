@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from kinship.plans import driver, driver_more  # noqa: F401
+from kinship.plans import driver, driver_more, driver_stores  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")

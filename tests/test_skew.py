@@ -2,6 +2,7 @@
 Results must stay exact (no rows dropped, capped or sampled)."""
 
 import random
+from collections import Counter
 
 import pytest
 
@@ -128,4 +129,6 @@ def test_frequent_token_is_split_over_tasks(spark, eager_skew):
     freq = token_counts(side.selectExpr("explode(kw) as token"))
     rows, plan = final_plan(ranked_tokens(side.selectExpr("lid", "3 as sz", "kw"), "lid", freq))
     assert "skew=true" in plan
-    assert len(rows) == 3 * n and {r.df for r in rows if r.token == "common"} == {n}
+    times = Counter(r.code for r in rows)
+    assert len(rows) == 3 * n and sorted(times.values())[-2:] == [n // 500, n]
+    assert max(times, key=times.get) == max(times)          # the most frequent comes last in a set
