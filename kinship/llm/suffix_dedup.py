@@ -3,9 +3,9 @@
 Any two places that hold the same string of ``length`` bytes also share the
 smallest hash of a gram in it. Texts are therefore split into regions, runs of
 windows with one smallest hash (the anchor), and only regions whose anchor
-occurs again are looked at. Regions with equal contents are repeated as a
-whole. What is left, one region per distinct content of an
-anchor, is dealt to shards: by the smallest document that has the anchor, so
+occurs again are looked at. Of the regions with equal contents two go to the
+shards, of every other content one; what the suffix array finds of the two holds
+for their copies. Regions are dealt to shards: by the smallest document that has the anchor, so
 that neighbouring regions of a document mostly travel as one string, or by the
 anchor itself where that document has too many. A shard sorts all suffixes of
 its strings (Larsson-Sadakane refinement in numpy) and takes the common
@@ -405,21 +405,22 @@ def covered(texts: DataFrame, length: int = 400, gram: int = 192, shard_bytes: i
     """
     if not (8 <= gram <= 256 <= length <= 512):
         raise ValueError("needs 8 <= gram <= 256 <= length <= 512")
+    spark = texts.sparkSession
     found = materialise(find_regions(texts, length, gram), "regions")
     anchors = materialise(
         found.groupBy("anchor").agg(F.count("*").alias("k"), F.min("c").alias("lo"), F.max("c").alias("hi"),
                                     F.max("own").alias("own"), F.min("doc_id").alias("least"))
         .filter("k > 1 or own").select("anchor", F.expr("lo <> hi or own").alias("several"), "least"), "anchors")
     cand = materialise(found.drop("own").join(anchors, "anchor"), "candidates")
+    at = F.struct("doc_id", "tag", "place")
     contents = materialise(
         cand.groupBy("anchor", "c").agg(F.count("*").alias("k"), F.max("several").alias("several"), F.first("least").alias("least"),
-                                        *(F.first(c).alias(c) for c in ("doc_id", "tag", "place"))), "contents")
-    whole = (cand.select("anchor", "c", "doc_id", "tag", "place").join(contents.filter("k > 1").select("anchor", "c"), ["anchor", "c"])
-             .select("doc_id", "tag", F.expr(_START).alias("a"),
-                     F.expr(f"{_START} + {_N} - 1 + {length}").alias("z")))
+                                        F.min(at).alias("lo"), F.max(at).alias("hi")), "contents")
 
-    # one region of each content goes to a shard that the anchor determines
-    reps = contents.filter("several").withColumn("n", F.expr(_N))
+    # one or two regions of each content go to a shard that the anchor determines
+    reps = (contents.filter("several or lo <> hi")
+            .select("anchor", "c", "least", F.explode(F.array_distinct(F.array("lo", "hi"))).alias("at"))
+            .select("anchor", "c", "least", "at.doc_id", "at.tag", "at.place").withColumn("n", F.expr(_N)))
     per_anchor = materialise(reps.groupBy("anchor").agg(F.sum(F.col("n") + length).alias("size"), F.first("least").alias("least")),
                              "anchor-sizes")
     per_doc = per_anchor.groupBy(F.coalesce("least", F.lit(-1)).alias("least")).agg(F.sum("size").alias("of_doc"))
@@ -455,11 +456,25 @@ def covered(texts: DataFrame, length: int = 400, gram: int = 192, shard_bytes: i
     d, w = texts.alias("d"), wanted.alias("w")
     slices = (d.join(w, F.expr("d.doc_id <=> w.doc_id and d.tag = w.tag"))
               .select("d.doc_id", "d.tag", "d.text", "w.cuts").mapInArrow(cut, SLICES))
-    parts = materialise(slices.groupBy("part", "sub").applyInArrow(lambda t: sort_shard(t, length), FOUND), "sorted")
+    # so many tasks for so many shards: a number of its own is not merged by AQE
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), n_shards // 16)
+    parts = materialise(slices.repartition(tasks, "part", "sub").groupBy("part", "sub")
+                        .applyInArrow(lambda t: sort_shard(t, length), FOUND), "sorted")
     alone = parts.filter("range is null").select("doc_id", "tag", "a", "z")
     merged = parts.filter("range is not null").groupBy("part", "range").applyInArrow(
         lambda t: merge_range(t, length), COVERED)
-    return whole.unionByName(alone).unionByName(merged)
+    sorted_out = materialise(alone.unionByName(merged), "sorted-out")
+
+    # copies of a region are covered where the shards found it covered; a row that is stored twice repeats itself
+    span = [F.expr(_START).alias("a"), F.expr(f"{_START} + {_N} - 1 + {length}").alias("z")]
+    copied = contents.filter("k > 2 and lo <> hi").select("anchor", "c", "lo.doc_id", "lo.tag", "lo.place")
+    m, u = copied.alias("m"), union_of(sorted_out).alias("u")
+    proven = (m.join(u, F.expr("m.doc_id <=> u.doc_id and m.tag = u.tag")).select("anchor", "c", "place", "spans")
+              .select("anchor", "c", *span, "spans").filter("exists(spans, s -> s.start <= a and s.end >= z)").select("anchor", "c"))
+    twice = contents.filter("k > 1 and lo = hi").select("anchor", "c")
+    copies = (cand.select("anchor", "c", "doc_id", "tag", "place")
+              .join(materialise(proven.unionByName(twice), "proven"), ["anchor", "c"]).select("doc_id", "tag", *span))
+    return sorted_out.unionByName(copies)
 
 
 _SLICES_ARROW = pa.schema([(c, pa.int64()) for c in SLICES.names[:-1]] + [("raw", pa.binary())])
