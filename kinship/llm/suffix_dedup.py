@@ -333,13 +333,18 @@ def find_regions(texts: DataFrame, length: int, gram: int) -> DataFrame:
 _START, _N = "shiftright(place, 9)", "(place & 511)"
 
 
+#: Starts of one string in a suffix array; longer ones are cut, so that Kasai's
+#: lanes are many and short. A piece's last bytes are shorter than a window and match none.
+LANE = 2048
+
+
 def sort_shard(shard: pa.Table, length: int) -> pa.Table:
     """Suffix array of one shard: what of its strings is repeated, and, for an
     anchor spread over several shards, its window names by range."""
     # a row that is in the table twice sends its strings twice: they are one string each
     rows = list({(r["doc_id"], r["tag"], r["s0"]): r for r in shard.to_pylist()}.values())
     strings, n = [r["raw"] for r in rows], np.array([r["n"] for r in rows], np.int64)
-    left = may_repeat(strings, n, length)
+    left = [(i, a + o, min(LANE, k - o)) for i, a, k in may_repeat(strings, n, length) for o in range(0, k, LANE)]
     again, sa = repeated_starts([strings[i][a:a + k - 1 + length] for i, a, k in left],
                                 np.array([k for _, _, k in left], np.int64), length)
     out = []
