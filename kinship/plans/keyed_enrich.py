@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators import link
+from kinship.operators.distinct_state import distinct_by_digest
 from kinship.operators.strategy import cut_lineage
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl, write_merged, write_sorted_lines
@@ -40,9 +41,7 @@ def store(corpus: DataFrame) -> DataFrame:
 
 def distinct_counts(rows: DataFrame, hit) -> DataFrame:
     """Distinct questions with and without a stored record, per dataset."""
-    return rows.groupBy("dataset").agg(
-        F.count_distinct(F.when(hit, F.col("question"))).alias("questions_with_refs"),
-        F.count_distinct(F.when(~hit, F.col("question"))).alias("questions_without_refs"))
+    return distinct_by_digest(rows, "question", ["dataset"], {"questions_with_refs": hit, "questions_without_refs": ~hit})
 
 
 def records_per_file(corpus: DataFrame) -> DataFrame:
