@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from kinship.operators.strategy import spread, written
-from kinship.sources.jsonl import nested_schema, read_jsonl, split_valid, with_dataset
+from kinship.sources.jsonl import read_jsonl, split_valid, typed_payload, with_dataset, with_payload
 from kinship.sources.schemas import QUESTION_RECORD, SIMPLIFIED_RECORD
 
 
@@ -25,16 +25,18 @@ def read_corpus(spark: SparkSession, paths, question_field: str = "question_text
     """``(records, quarantine)``; records carry ``ord`` and ``question_text``.
 
     The lines are parsed once, spread and written: every reader of the records
-    sees the same ``ord``, and an unsplittable file is read by one task only once. With ``whole``, one
-    more pass before finds the fields of annotations and candidates that
-    ``base`` does not list, and the records carry them.
+    sees the same ``ord``, and an unsplittable file is read by one task only once. With ``whole``, annotations
+    and candidates are written as VARIANT, and an aggregate over what was written
+    finds the fields that ``base`` does not list; the records carry them.
     """
     schema = corpus_schema(question_field, base)
     df = read_jsonl(spark, paths, schema, path_glob, recursive)
+    nested = [f.name for f in schema if isinstance(f.dataType, ArrayType)] if whole else []
     if whole:
-        df = read_jsonl(spark, paths, nested_schema(split_valid(df)[0], schema), path_glob, recursive)
-    df = df.drop("_line")
-    good, bad = split_valid(written(spread(df), "corpus"))
+        df = with_payload(df, nested)
+    good, bad = split_valid(written(spread(df.drop("_line")), "corpus"))
+    if whole:
+        good = typed_payload(good, schema, nested)
     if question_field != "question_text":
         good = good.withColumnRenamed(question_field, "question_text")
     return good, bad

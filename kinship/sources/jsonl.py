@@ -17,12 +17,12 @@ the outputs (``sinks.write_merged``).
 
 from __future__ import annotations
 
-import json
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructField, StructType, VariantType
+from pyspark.sql.types import ArrayType, DataType, NullType, StringType, StructField, StructType, VariantType
 
 ERR_BAD_JSON = "Malformed JSON"
 ERR_NOT_OBJECT = "Not a JSON object"
@@ -153,13 +153,39 @@ def full_schema(spark: SparkSession, paths, known: StructType) -> StructType:
     return merged_type(known, spark.read.json(_paths(paths)).schema)
 
 
-def nested_schema(lines: DataFrame, known: StructType, line: str = "_line") -> StructType:
-    """``known`` with the fields inside its structs that the records of ``lines``
-    have besides, from one pass over them. A field of several types is text."""
-    spark = lines.sparkSession
-    text = getattr(lines.select(line)._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
-    found = StructType.fromJson(json.loads(spark._jsparkSession.read().json(text).schema().json()))
-    return merged_type(known, StructType([f for f in found if f.name in known.names]))
+def quoted_type(t: DataType) -> str:
+    """``t`` in SQL's words, every field name quoted."""
+    if isinstance(t, StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {quoted_type(f.dataType)}" for f in t.fields) + ">"
+    if isinstance(t, ArrayType):
+        return f"array<{quoted_type(t.elementType)}>"
+    return "string" if isinstance(t, NullType) else t.simpleString()
+
+
+def variant_type(found: str) -> DataType:
+    """The type that ``schema_of_variant_agg`` names (objects there are structs here)."""
+    pieces = re.split(r"(`(?:[^`]|``)*`)", found)           # quoted names are left alone
+    return DataType.fromDDL("".join(x if x.startswith("`") else re.sub(r"\bOBJECT<", "STRUCT<", x) for x in pieces))
+
+
+def with_payload(lines: DataFrame, names: Sequence[str], line: str = "_line") -> DataFrame:
+    """``lines`` with the fields ``names`` of each valid record as VARIANT: all
+    that the record holds there, whatever a schema knows of it. A record that VARIANT
+    cannot hold (a name twice in one object) keeps the fields that the schema has."""
+    valid, whole = F.col("_error").isNull(), F.col("_whole")
+    out = lines.withColumn("_whole", F.when(valid, F.try_parse_json(line)))
+    return out.withColumns({
+        n: F.when(valid & whole.isNull(), F.to_variant_object(n)).otherwise(F.try_variant_get(whole, f'$["{n}"]', "variant"))
+        for n in names}).drop("_whole")
+
+
+def typed_payload(rows: DataFrame, known: StructType, names: Sequence[str]) -> DataFrame:
+    """VARIANT columns ``names`` of (written) ``rows`` as typed columns: ``known``
+    with the fields, at any depth, that the values have besides. One aggregate over
+    these columns finds them; a field of several types stays VARIANT, one that is always null is text."""
+    seen = rows.agg(*[F.schema_of_variant_agg(n).alias(n) for n in names]).first()
+    types = {n: merged_type(known[n].dataType, variant_type(seen[n])) for n in names}
+    return rows.withColumns({n: F.variant_get(n, "$", quoted_type(t)) for n, t in types.items()})
 
 
 def first_records(df: DataFrame, n: int, order: str = "ord") -> DataFrame:

@@ -118,3 +118,22 @@ def test_unknown_annotation_fields_reach_linked_outputs(spark, tmpdir_run):
     for out in (os.path.join(exact, "matched"), os.path.join(keyed, "enriched")):
         got = lines_of(out)[0]
         assert got["annotations"] == ann and got["long_answer_candidates"] == cand
+
+
+def test_unknown_fields_at_any_depth_in_one_scan(spark, tmpdir_run):
+    """Payloads are VARIANT until written; names that SQL would misread, several types, repeated names."""
+    from kinship.plans.common import read_corpus
+
+    deep = [{"yes_no_answer": "NO", "a`b": {"OBJECT<": [{"z": 1}]}, "mixed": 1, "never": None},
+            {"yes_no_answer": "YES", "mixed": {"k": "v"}, "n": 12345678901234567890}]
+    path = write(os.path.join(tmpdir_run, "c.jsonl"), [
+        dict(CORPUS[0], annotations=deep), dict(CORPUS[0], annotations=None), CORPUS[0], dict(CORPUS[0], annotations=[7]),
+        '{"example_id": 5, "question_text": "twice", "annotations": [{"yes_no_answer": "NO"}], "question_text": "named twice"}'])
+    good, bad = read_corpus(spark, path, whole=True)
+    got = [json.loads(x) for x, in good.selectExpr("to_json(struct(example_id, annotations))").collect()]
+    one = next(r["annotations"] for r in got if r["example_id"] == 1 and r.get("annotations"))
+    assert one == [{**{k: v for k, v in deep[0].items() if v is not None}}, deep[1]]
+    assert [a["yes_no_answer"] for r in got if r["example_id"] == 5 for a in r["annotations"]] == ["NO"]
+    assert len(got) == 4 and [r._error for r in bad.collect()] == ["A field does not fit its type"]
+    nothing, _ = read_corpus(spark, write(os.path.join(tmpdir_run, "e.jsonl"), [CORPUS[0]]), whole=True)
+    assert nothing.first().annotations is None
