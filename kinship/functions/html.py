@@ -1,14 +1,14 @@
 """HTML helpers: UTF-8 byte slicing and fragment-to-text conversion.
 
-``html_text`` strips comments, doctype/processing declarations, the bodies
-of ``script``/``style``/``template`` elements and all tags, then decodes
-character references with the result of Python's ``html.unescape`` (HTML5
-rules, e.g. legacy names such as ``&amp`` decode without ``;``). The
-references listed in ``ENTITIES`` are decoded natively with
-``regexp_replace`` (``&amp`` last, which makes the chain equal to a single
-decoding pass); a fragment holding any other ``&`` reference is decoded by a
-vectorised pandas UDF over ``html.unescape`` -- only those rows leave the
-JVM.
+A fragment's text leaves out tags, comments, declarations and the contents of
+``script``, ``style`` and ``template``, and decodes character references with
+the result of Python's ``html.unescape`` (HTML5 rules, e.g. legacy names such
+as ``&amp`` decode without ``;``). Plain fragments stay in the JVM: where no
+``ODD`` sign occurs every tag ends at its first ``>``, and the references
+listed in ``ENTITIES`` are decoded with ``regexp_replace`` (``&amp`` last,
+which makes the chain equal to a single decoding pass). Only the others, read
+by the tokenizer of ``html_tokens``, and those with other references go to one
+Arrow function.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, StringType
 
+from kinship.functions.html_tokens import text_of
 from kinship.functions.text import _col
 
 # --- fixed values: references decoded natively, in this order ------------
@@ -53,17 +54,12 @@ def entity_pattern(name: str, optional: bool) -> str:
     return "&" + name + (";?" if optional else ";")
 
 
-# Removed in this order; no back-references, so the same patterns run in
-# Java regex and RE2.
-STRIP_PATTERNS = (
-    r"(?s)<!--.*?-->",
-    r"(?is)<script\b[^>]*>.*?</script[ \t\n\f\r]*>",
-    r"(?is)<style\b[^>]*>.*?</style[ \t\n\f\r]*>",
-    r"(?is)<template\b[^>]*>.*?</template[ \t\n\f\r]*>",
-    r"<![^>]*>",
-    r"<\?[^>]*>",
-    r"<[^>]*>",
-)
+# Signs that a fragment needs the tokenizer: a "<" that no tag name follows (comments,
+# declarations, text), tags without end, quoted values with ">", raw text.
+# Each is linear to search for; a sign in mere text costs time, no more.
+ODD = (r"""(?i)<[^a-z/]|</[^a-z]|</?\z|<[^>]*<|<[^>]*\z|=[ \t\n\f\r]*"[^"]*>|=[ \t\n\f\r]*'[^']*>"""
+       r"""|<(?:script|style|template)(?![^ \t\n\f\r/>])""")
+PLAIN_TAG = r"<[^>]*>"
 
 
 @pandas_udf(StringType())
@@ -71,12 +67,6 @@ def _unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda v: None if v is None else _html.unescape(v))
 
 
-@pandas_udf(ArrayType(StringType()))
-def _unescape_all(s: pd.Series) -> pd.Series:
-    return s.map(lambda arr: None if arr is None else
-                 [None if v is None else _html.unescape(v) for v in arr])
-
-
 def decode_native(c) -> Column:
     """Decode the ``ENTITIES`` references natively (usable in lambdas); for
     text without other references this equals ``html.unescape``."""
@@ -94,24 +84,38 @@ def decode_entities(c) -> Column:
     return F.when(other, _unescape(F.when(other, c))).otherwise(decode_native(c))
 
 
-def decode_entities_all(arr) -> Column:
-    """Element-wise ``decode_entities`` over an ``array<string>``; the Python
-    path runs once per array, only for arrays holding other references."""
-    arr = _col(arr)
-    other = F.exists(arr, lambda x: x.rlike(OTHER_REF))
-    return F.when(other, _unescape_all(F.when(other, arr))).otherwise(F.transform(arr, decode_native))
+@pandas_udf(StringType())
+def _text(s: pd.Series) -> pd.Series:
+    return s.map(lambda v: None if v is None else _html.unescape(text_of(v)))
 
 
-def strip_tags(c) -> Column:
-    c = _col(c)
-    for p in STRIP_PATTERNS:
-        c = F.regexp_replace(c, p, "")
-    return c
+@pandas_udf(ArrayType(StringType()))
+def _text_all(s: pd.Series) -> pd.Series:
+    return s.map(lambda arr: None if arr is None else
+                 [None if v is None else _html.unescape(text_of(v)) for v in arr])
+
+
+def _plain_text(c: Column) -> Column:
+    return F.regexp_replace(c, PLAIN_TAG, "")
+
+
+def _needs_reader(c: Column) -> Column:
+    return c.rlike(ODD) | _plain_text(c).rlike(OTHER_REF)
 
 
 def html_text(c) -> Column:
     """Text of an HTML fragment (tags removed, references decoded)."""
-    return decode_entities(strip_tags(c))
+    c = _col(c)
+    odd = _needs_reader(c)
+    return F.when(odd, _text(F.when(odd, c))).otherwise(decode_native(_plain_text(c)))
+
+
+def html_text_all(arr) -> Column:
+    """Element-wise ``html_text`` over an ``array<string>``; an array with a
+    fragment that needs the tokenizer goes to it whole, once."""
+    arr = _col(arr)
+    odd = F.exists(arr, _needs_reader)
+    return F.when(odd, _text_all(F.when(odd, arr))).otherwise(F.transform(arr, lambda x: decode_native(_plain_text(x))))
 
 
 def byte_slice(text, start_byte, end_byte) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from kinship.functions.html import byte_slice, decode_entities_all, strip_tags
+from kinship.functions.html import byte_slice, html_text_all
 from kinship.functions.text import _col
 
 BYTE_FIELDS = ("start_byte", "end_byte")
@@ -96,8 +96,8 @@ def short_answer_texts(html, annotations, max_tokens: int = 5, drop_blank: bool
     cut from the UTF-8 bytes of ``html`` and converted to text; sorted."""
     sas = F.flatten(F.transform(_col(annotations), lambda a: a["short_answers"]))
     sas = F.filter(sas, lambda s: (s["end_token"] - s["start_token"]) <= F.lit(max_tokens))
-    frags = F.transform(sas, lambda s: strip_tags(byte_slice(html, s["start_byte"], s["end_byte"])))
-    texts = decode_entities_all(frags)
+    frags = F.transform(sas, lambda s: byte_slice(html, s["start_byte"], s["end_byte"]))
+    texts = html_text_all(frags)
     if drop_blank:
         texts = F.filter(texts, lambda x: x != "")
     return F.array_sort(F.array_distinct(texts))
