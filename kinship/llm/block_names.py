@@ -4,13 +4,16 @@ The normalised bytes of a document are cut into blocks of a fixed size. All
 blocks are sorted and each distinct one gets an integer name; then pairs of
 adjacent names are sorted and named in turn, level by level, until every
 document is one name. Equal names of one level stand for equal bytes, so
-``(length, name)`` identifies a text without any chance of a collision.
+``(length, name)`` identifies a text without a collision. Rows are joined with
+their names by id and a 64-bit hash of the text, so two texts under one id could
+be taken for one another only if those hashes collide.
 
 Sorting is hash-partitioned: equal keys meet in one partition and are
 neighbours there, the name is the partition's number and the key's rank in
-it. Before they are shuffled, equal keys of a batch are combined into one row
-that lists its documents, so a block that a third of all rows share travels
-once per batch.
+it. Equal keys of a batch are first combined into one numbered row that lists its
+documents. Only keys and row numbers are sorted; the lists meet the names by the
+row's number. So a block that a third of all rows share reaches its task once per
+batch, without its documents.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ COMBINED = T.StructType([
     T.StructField("key", T.BinaryType()),
     *(T.StructField(c, _LIST) for c in ("doc_id", "th", "n_bytes", "idx")),
 ])
-NAMED = T.StructType([T.StructField(c, T.LongType()) for c in ("doc_id", "th", "n_bytes", "idx", "name")])
+NAMED = T.StructType([T.StructField("row", T.LongType()), T.StructField("name", T.LongType())])
 _LISTS = pa.schema([("key", pa.binary()), *((c, pa.list_(pa.int64())) for c in ("doc_id", "th", "n_bytes", "idx"))])
 
 
@@ -81,7 +84,7 @@ def adjacent(named: DataFrame) -> DataFrame:
 
 
 def name_keys(combined: DataFrame) -> DataFrame:
-    """Sort the keys and give every distinct one an integer name."""
+    """Sort the keys and give every distinct one an integer name: ``doc_id, th, n_bytes, idx, name``."""
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, rank, last = TaskContext.get().partitionId() << 40, 0, None
@@ -92,13 +95,14 @@ def name_keys(combined: DataFrame) -> DataFrame:
                     rank += 1
                 last = k
                 names.append(base + rank)
-            lists = [b.column(c) for c in ("doc_id", "th", "n_bytes", "idx")]
-            n = lists[0].value_lengths().to_numpy()
-            yield pa.RecordBatch.from_arrays(
-                [*(c.flatten() for c in lists), pa.array(np.repeat(np.array(names, np.int64), n))],
-                names=NAMED.names)
-
-    return (combined.repartition("key").sortWithinPartitions("key").mapInArrow(lean(name), NAMED))
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(names, pa.int64())], names=NAMED.names)
+
+    # numbered once: what was written keeps its numbers when a task is run again
+    rows = materialise(combined.withColumn("row", F.monotonically_increasing_id()), "keys")
+    names = (rows.select("key", "row").repartition("key").sortWithinPartitions("key").mapInArrow(lean(name), NAMED))
+    return (rows.drop("key").join(names, "row")
+            .select("name", F.inline(F.arrays_zip("doc_id", "th", "n_bytes", "idx")))
+            .select("doc_id", "th", "n_bytes", "idx", "name"))
 
 
 def identities(docs: DataFrame, size: int = 4096) -> DataFrame:
