@@ -12,6 +12,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinship.session import checkpoint_dir
 
@@ -83,10 +84,36 @@ def materialise(df: DataFrame, what: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, max_rows: int) -> DataFrame:
-    """``df`` as the broadcast side of a join if it has so few rows, else as it
-    is: the join then shuffles, and AQE splits what is skewed."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+#: Most bytes of a broadcast side, whatever its number of rows.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def row_bytes(schema: T.StructType) -> Column:
+    """About what a row takes: 8 bytes a value, and the length of texts and lists."""
+
+    def width(t: T.DataType) -> int:
+        return sum(width(f.dataType) for f in t) if isinstance(t, T.StructType) else 8
+
+    def of(f: T.StructField) -> Column:
+        c = F.col(f.name)
+        if isinstance(f.dataType, T.ArrayType):
+            e = f.dataType.elementType
+            if isinstance(e, (T.StringType, T.BinaryType, T.ArrayType)):
+                return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+            return F.coalesce(F.size(c), F.lit(0)) * F.lit(width(e))
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0))
+        return F.lit(width(f.dataType))
+
+    return sum((of(f).cast("long") for f in schema), F.lit(16).cast("long"))
+
+
+def small(df: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` as the broadcast side of a join if it has at most so many rows and
+    bytes, else as it is: the join then shuffles, and AQE splits what is skewed."""
+    first = df.select(row_bytes(df.schema).alias("w")).limit(max_rows + 1)
+    n, w = first.agg(F.count(F.lit(1)), F.coalesce(F.sum("w"), F.lit(0))).first()
+    return F.broadcast(df) if n <= max_rows and w <= max_bytes else df
 
 
 def without(docs: DataFrame, dropped: DataFrame, repeated: DataFrame | None = None,
