@@ -148,6 +148,20 @@ def q_unmatched_samples(spark, sf_dir):
     return unmatched_samples(link.unmatched(qs, idx).select("question"))
 
 
+@register("stored_samples", f"""
+WITH {S.prepared('question')},
+idx AS (SELECT key, arg_max(corpus_question, ord) AS nq_original_question FROM pc GROUP BY key),
+m AS (SELECT DISTINCT question FROM pq2 WHERE key IN (SELECT key FROM pc) ORDER BY question LIMIT 5)
+SELECT key, nq_original_question FROM idx WHERE key IN (SELECT {S.norm_question('question')} FROM m)""")
+def q_stored_samples(spark, sf_dir):
+    from kinship.plans.keyed_enrich import stored_samples
+
+    qs, cs = _exact_inputs(spark, sf_dir, norm="question")
+    cs = cs.withColumn("nq_original_question", F.col("corpus_question"))
+    matched = link.exact_merge(qs, cs, "ord", ["nq_original_question"]).select("question")
+    return stored_samples(matched, link.corpus_index(cs, "ord", ["nq_original_question"]))
+
+
 @register("first_answers", """
 SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL ELSE lang END AS answer FROM documents""")
 def q_first_answers(spark, sf_dir):

@@ -56,6 +56,13 @@ def unmatched_samples(unmatched: DataFrame, n: int = 5) -> DataFrame:
     return link.prepare_questions(first, normalizer="question")
 
 
+def stored_samples(matched: DataFrame, idx: DataFrame, n: int = 5) -> DataFrame:
+    """The stored originals of the first matched questions in text order; ``idx`` has a row for each key."""
+    first = matched.select("question").distinct().orderBy("question").limit(n)
+    keys = link.prepare_questions(first, normalizer="question").select("key")
+    return idx.join(keys, "key", "left_semi").select("key", "nq_original_question")
+
+
 def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mapping[str, Sequence[str] | str],
           path_glob: str = "*.jsonl.gz", question_field: str = "question_text") -> dict[str, DataFrame]:
     corpus, corpus_bad = read_corpus(spark, list(corpus_dirs), question_field, path_glob=path_glob, whole=True)
@@ -70,10 +77,6 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     matched_q = enriched.where(hit).select("dataset", "question").distinct()
     unmatched_q = enriched.where(~hit).select("dataset", "question").distinct()
     idx = link.corpus_index(cs, "ord", ["nq_original_question"], keep="last")
-    # stored originals of the first 5 matched questions (in text order)
-    sample_keys = matched_q.select("question").distinct().orderBy("question").limit(5)
-    sample_keys = link.prepare_questions(sample_keys, normalizer="question").select("key")
-    stored_samples = idx.join(sample_keys, "key", "left_semi").select("key", "nq_original_question")
     norm_samples = cs.orderBy("ord").limit(5).select("key", "nq_original_question")
     return {
         "enriched": enriched.select("dataset", "ord", "question", "answer", *payload, hit.alias("matched"), "_line"),
@@ -81,7 +84,7 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
         "matched_questions": matched_q,
         "counts": distinct_counts(enriched, hit),
         "per_file": records_per_file(cs),
-        "stored_samples": stored_samples,
+        "stored_samples": stored_samples(matched_q, idx),
         "unmatched_samples": unmatched_samples(unmatched_q),
         "normalization_samples": norm_samples,
         "quarantine": corpus_bad.select("_file", "_corrupt_record", "_error")

@@ -9,6 +9,7 @@ from kinship.functions.text import STOP_WORDS_14, STOP_WORDS_35
 from kinship.operators.fuzzy import best_match, top_k_candidates
 from kinship.operators.link import prepare_corpus, prepare_questions
 from kinship.operators.simjoin import similarity_join
+from kinship.operators.topk_join import TopKJoin, top_k_join
 
 VOCAB = ["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "the", "of"]
 
@@ -95,3 +96,46 @@ def test_top_k_matches_brute_force(spark):
     qdf = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(asked)], "q_id long, question string")
     got = {tuple(r) for r in top_k_candidates(prepare_questions(qdf), prepare_corpus(cdf, url_col="document_url"), 0.3, 3, "35").collect()}
     assert got == exp
+
+
+def _sets(spark, L, R):
+    return (spark.createDataFrame([(i, s) for i, s in enumerate(L)], "lid int, kw array<string>"),
+            spark.createDataFrame([(j, s) for j, s in enumerate(R)], "rid int, kw array<string>"))
+
+
+@pytest.mark.parametrize("k,t,rounds", [(1, 0.3, (0.8, 0.5)), (3, 0.3, (0.8, 0.5)), (3, 0.2, (0.9, 0.7, 0.4)),
+                                        (2, 0.5, (0.3,)), (40, 0.3, (0.6,)), (3, 1.0, (0.8,))])
+def test_rising_bound_equals_brute_force(spark, k, t, rounds):
+    rng = random.Random(k)
+    L, R = rand_sets(rng, 50) + [[], None], rand_sets(rng, 60) + rand_sets(rng, 20, 3, 4) + [[], None]
+    exp = set()
+    near = brute([s or [] for s in L], [s or [] for s in R], t)
+    for i in range(len(L)):
+        mine = sorted(((-s, j, n) for a, j, n, s in near if a == i))[:k]
+        exp |= {(i, j, n, -s, rank) for rank, (s, j, n) in enumerate(mine, 1)}
+    got = {(r.lid, r.rid, r.n_common, r.sim, r["rank"]) for r in top_k_join(*_sets(spark, L, R), k, t, rounds).collect()}
+    assert got == exp
+
+
+def test_bounds_are_reached_by_k_partners_and_shorten_the_join(spark):
+    rng = random.Random(3)
+    words = [f"w{i}" for i in range(400)]
+    L = []
+    for _ in range(12):         # groups of sets that differ by a few words
+        base = rng.sample(words, 40)
+        L += [sorted({*rng.sample(base, 36), *rng.sample(words, 3)}) for _ in range(12)]
+    left, right = _sets(spark, L, L)
+    join = TopKJoin(left, right, 3, 0.3, (0.8, 0.5))
+    bounds = {r.lid: r.bound for r in join.bounds().collect()}
+    assert len(bounds) > 0.9 * len(L)
+    for i, b in bounds.items():
+        sims = sorted((len({*L[i]} & {*s}) / len({*L[i]} | {*s}) for s in L), reverse=True)
+        assert 0.3 <= b <= sims[2]
+    assert join.met().count() * 2 < TopKJoin(left, right, 3, 0.3, ()).met().count()
+
+
+def test_top_k_join_of_empty_sides(spark):
+    none, some = _sets(spark, [], [["a"]])
+    assert top_k_join(none, some, 2, 0.3).collect() == []
+    left, empty = _sets(spark, [["a"]], [])
+    assert top_k_join(left, empty, 2, 0.3).collect() == []
