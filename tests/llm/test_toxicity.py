@@ -1,6 +1,10 @@
 """The pattern grammar clause by clause, and held-out accuracy."""
 
+import math
+import random
+import re
 import zlib
+from itertools import product
 
 import pytest
 
@@ -24,6 +28,54 @@ def test_clauses():
     assert read("II") == {"i": 2.0}
 
 
+def plain_clause(symbols, weights):
+    """A clause by looking back from every word, without any machine."""
+    out = {}
+
+    def add(kind, weight):
+        out[kind] = out.get(kind, 0.0) + weight
+
+    hits = [i for i, s in enumerate(symbols) if s in "IT"]
+    for i, s in enumerate(symbols):
+        before = symbols[:i]
+        if s in "IT":
+            how = "-neg" if "N" in before else "-rep" if "R" in before else "-at" if "Y" in before else ""
+            add(s.lower() + how, weights[hits.index(i)])
+        elif s == "Y":
+            earlier = [j for j in hits if j < i]
+            if any("N" not in symbols[:j] and "R" not in symbols[:j] for j in earlier):
+                add("i-at", weights[hits.index(earlier[-1])])
+    return out
+
+
+def test_every_short_clause_as_read_plainly():
+    for n in range(7):
+        for symbols in map("".join, product("ITYNR", repeat=n)):
+            weights = [1.0 + j / 8 for j in range(sum(c in "IT" for c in symbols))]
+            assert tx.read_clause(symbols, weights) == plain_clause(symbols, weights), symbols
+
+
+def test_texts_as_read_plainly():
+    lexicon = {"idiot": 2.0, "^scum": 3.0, "^scumb": 3.5, "kill": 1.5}
+    words = ["idiot", "idiots", "scum", "scumbag", "kill", "hurt", "you", "them", "not", "said", "table", "Écrit", "x1y", "NEVER"]
+    fixed = [(set(ws), c) for ws, c in ((tx.TARGETS, "Y"), (tx.NEGATIONS, "N"), (tx.REPORTS, "R"), (tx.THREATS, "T"))]
+    rng = random.Random(5)
+    for _ in range(300):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", ", ", ". ", "; ", "!", "\n", "-"]) for _ in range(rng.randint(0, 40)))
+        total = dict.fromkeys(tx.KINDS, 0.0)
+        for clause in re.split(r"[.!?;:\n]", text.lower()):
+            symbols, weights = "", []
+            for w in re.findall(r"[^\W\d_]+", clause):
+                weight = max([v for e, v in lexicon.items() if w == e or (e[0] == "^" and w.startswith(e[1:]) and len(w) >= len(e))],
+                             default=0.0)
+                c = "I" if weight else next((c for ws, c in fixed if w in ws), "")
+                symbols += c
+                weights += [weight or 1.0] if c in ("I", "T") else []
+            for kind, v in plain_clause(symbols, weights).items():
+                total[kind] += v
+        assert tx.Reader(lexicon).features(text) == pytest.approx([math.log1p(total[k]) for k in tx.KINDS])
+
+
 def test_scope_ends_with_the_clause():
     r = tx.Reader({"idiot": 2.0, "^scum": 3.0})
     kinds = lambda t: {k for k, v in zip(tx.KINDS, r.features(t)) if v}      # noqa: E731
