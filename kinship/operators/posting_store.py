@@ -1,93 +1,89 @@
 """Stored inverted index over keyword sets, probed by question batches.
 
-``build_store`` writes three tables: ``sets`` (a record of each distinct keyword
-set and its candidates), ``tokens`` (in how many sets a keyword is) and
-``blocks`` (posting lists cut into blocks by keyword and band of set sizes, dealt
-over folders by a digest of the keyword). ``probe`` finds the sets of the store
+``build_store`` writes ``sets`` (a record of each distinct keyword set), ``tokens`` (the
+number of each keyword, by frequency), ``coded`` (the sets as numbers, dealt to the
+shares of ``set_cells``) and ``blocks`` (posting lists of each share cut into blocks,
+dealt over folders by share). ``probe`` finds the sets of the store
 that are similar to a batch of questions from these tables alone: the corpus text
-is not read again. The order of the keywords in a set is the store's, by count
-and then keyword; keywords that the store does not know come first and have no
-postings.
+is not read again. The order of the keywords in a set is the store's; keywords that
+the store does not know come first and have no postings.
 
-Sizes within a band differ by less than ``BAND``; a block names its band, so a
-question's keyword meets only blocks of sizes that can be similar enough, and only
-blocks in whose prefixes the keyword stands early enough.
+A share's sets are of one band of sizes, so a question goes to the shares of sizes that
+can be similar enough and meets there the postings of its own keywords only.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.operators.simjoin import HASH_BITS, in_order, ranked_tokens, token_counts, verified
+from kinship.operators.set_cells import Cells, coded, token_numbers
+from kinship.operators.simjoin import prefix_length, with_ids, with_numbers
 from kinship.operators.strategy import written
 
-BAND = 1.3
-#: Postings in one block at most.
+#: Postings in one block at most, about.
 BLOCK = 512
 
 
-def band_of(size: Column) -> Column:
-    return F.floor(F.log(size.cast("double")) / F.lit(math.log(BAND))).cast("int")
-
-
 def build_store(sets: DataFrame, path: str, t: float, folders: int = 16) -> None:
     """Write the store of ``sets`` (``rid``, ``kw`` and any other columns) for
     similarities of at least ``t``. Postings of a frequent keyword are dealt over blocks by
     their sets, so no task holds a whole posting list."""
     spark = sets.sparkSession
     sets.write.mode("error").parquet(f"{path}/sets")
-    sized = spark.read.schema(sets.schema).parquet(f"{path}/sets").select("rid", "kw", F.size("kw").alias("sz")).where("sz > 0")
-    token_counts(sized.select(F.explode("kw").alias("token"))).write.parquet(f"{path}/tokens")
-    places = written(_places(sized, "rid", _tokens(spark, path), t), "places")
-    longest = places.groupBy("code").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
-    share = F.pmod(F.xxhash64("rid"), F.lit(-(-longest // BLOCK)))
-    blocks = places.groupBy("code", band_of(F.col("sz")).alias("band"), share.alias("share")).agg(
-        F.collect_list(F.struct("rid", "sz", "pos", "lo", "hi")).alias("postings"), F.max("hi").alias("most"), F.min("lo").alias("least"),
-        F.min("sz").alias("smallest"), F.max("sz").alias("largest"))
-    (blocks.drop("share").withColumn("folder", F.pmod(F.xxhash64("code"), F.lit(folders))).repartition("folder", "code")
-     .write.partitionBy("folder").parquet(f"{path}/blocks"))
-    spark.createDataFrame([(float(t),)], "t double").coalesce(1).write.parquet(f"{path}/settings")
+    sized = with_numbers(spark.read.schema(sets.schema).parquet(f"{path}/sets"), "rid")
+    sized.select("no", "rid").write.parquet(f"{path}/numbers")
+    token_numbers(sized.select(F.explode("kw").alias("token"))).write.parquet(f"{path}/tokens")
+    codes = coded(sized, _tokens(spark, path))
+    cells = Cells.of(codes, t)
+    dealt = cells.dealt(codes)
+    dealt.write.parquet(f"{path}/coded")
+    places = written(_read_coded(spark, path).select("band", "share", "no", F.posexplode(F.slice("codes", F.lit(1), prefix_length(F.col("sz"), t)))
+                                                     .alias("place", "code")).withColumn("place", F.col("place") + 1), "places")
+    longest = places.groupBy("band", "share", "code").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
+    part = F.pmod(F.xxhash64("no"), F.lit(-(-longest // BLOCK)))
+    blocks = places.groupBy("band", "share", "code", part.alias("part")).agg(F.collect_list(F.struct("no", "place")).alias("p"))
+    blocks = blocks.select("band", "share", "code", F.col("p.no").alias("sets"), F.col("p.place").alias("places"),
+                           F.pmod(F.xxhash64("band", "share"), F.lit(folders)).alias("folder"))
+    blocks.repartition("folder", "code").write.partitionBy("folder").parquet(f"{path}/blocks")
+    shares = ",".join(f"{b}:{n}" for b, n in sorted(cells.shares.items()))
+    spark.createDataFrame([(float(t), shares, cells.size)], PostingStore.SETTINGS).coalesce(1).write.parquet(f"{path}/settings")
 
 
 def _tokens(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("tk long, df long").parquet(f"{path}/tokens")
+    return spark.read.schema("token string, code int").parquet(f"{path}/tokens")
 
 
-def _places(sized: DataFrame, id_col: str, tokens: DataFrame, t: float) -> DataFrame:
-    """The prefix rows of sets in the store's order, without keywords that it does
-    not know. Counts come from a table, so both sides are shuffled for the join and hot keywords can be split."""
-    return in_order(ranked_tokens(sized, id_col, tokens, "left"), id_col, t).where(F.col("code") >= F.lit(1 << HASH_BITS))
+def _read_coded(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("no long, sz int, codes array<int>, band int, share int").parquet(f"{path}/coded")
 
 
 class PostingStore:
     """A store that ``build_store`` has written."""
 
-    BLOCKS = ("code long, band int, postings array<struct<rid: long, sz: int, pos: int, lo: int, hi: int>>, most int, least int, "
-              "smallest int, largest int, folder int")
+    BLOCKS = "band int, share int, code int, sets array<long>, places array<int>"
+    SETTINGS = "t double, shares string, size long"
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
-        self.t = spark.read.schema("t double").parquet(f"{path}/settings").first()["t"]
+        held = spark.read.schema(self.SETTINGS).parquet(f"{path}/settings").first()
+        self.t = held["t"]
+        self.cells = Cells(self.t, dict(tuple(map(int, x.split(":"))) for x in held["shares"].split(",") if x), held["size"])
         self.sets = spark.read.parquet(f"{path}/sets")
 
     def probe(self, questions: DataFrame, t: float | None = None) -> DataFrame:
         """``lid, rid, n_common, sim`` of all sets of the store that are similar by
         ``t`` (at least the store's own) or more to ``questions`` (``lid, kw``)."""
+        return self.best(questions, None, t)
+
+    def best(self, questions: DataFrame, k: int | None, t: float | None = None) -> DataFrame:
+        """``probe`` that may leave out pairs of which the question has ``k`` better ones (ties to the smaller ``rid``)."""
         t = t or self.t
         if t < self.t:
             raise ValueError(f"the store holds prefixes for similarities from {self.t}")
-        asked = written(questions.select("lid", "kw").withColumn("sz", F.size("kw")).where("sz > 0"), "asked")
-        mine = _places(asked, "lid", _tokens(self.spark, self.path), t)
-        mine = mine.select("lid", F.col("sz").alias("lsz"), F.col("pos").alias("lpos"), "code", F.col("lo").alias("llo"), F.col("hi").alias("lhi"))
-        # a keyword meets the blocks of the bands that its question's partners can be in
-        near = mine.where("llo <= lhi").withColumn("band", F.explode(F.sequence(band_of(F.col("llo")), band_of(F.col("lhi")))))
+        asked = with_numbers(questions, "lid")
+        mine = coded(asked, _tokens(self.spark, self.path))
         blocks = self.spark.read.schema(self.BLOCKS).parquet(f"{self.path}/blocks").drop("folder")
-        met = near.join(blocks, ["code", "band"]).where("smallest <= lhi and largest >= llo and lsz <= most and lsz >= least")
-        met = met.select("lid", "lsz", "lpos", "llo", "lhi", F.explode("postings").alias("p"))
-        met = met.select("lid", "lsz", "lpos", "llo", "lhi", F.col("p.rid").alias("rid"), F.col("p.sz").alias("rsz"),
-                         F.col("p.pos").alias("rpos"), F.col("p.hi").alias("rhi"))
-        met = met.where("rsz >= llo and rsz <= lhi and lsz <= rhi")
-        return verified(met, asked, self.sets.select("rid", "kw").withColumn("sz", F.size("kw")), t)
+        held = _read_coded(self.spark, self.path).unionByName(blocks, allowMissingColumns=True)
+        rids = self.spark.read.parquet(f"{self.path}/numbers")
+        return with_ids(self.cells.pairs(mine, held, k, t), asked, rids, "lid", "rid")
