@@ -159,7 +159,7 @@ def q_stored_samples(spark, sf_dir):
     qs, cs = _exact_inputs(spark, sf_dir, norm="question")
     cs = cs.withColumn("nq_original_question", F.col("corpus_question"))
     matched = link.exact_merge(qs, cs, "ord", ["nq_original_question"]).select("question")
-    return stored_samples(matched, link.corpus_index(cs, "ord", ["nq_original_question"]))
+    return stored_samples(matched, cs)
 
 
 @register("first_answers", """

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from kinship.operators import link
 from kinship.operators.distinct_state import distinct_by_digest
-from kinship.operators.strategy import cut_lineage
+from kinship.operators.strategy import cut_lineage, written
 from kinship.plans.common import read_corpus, read_questions
 from kinship.sources.sinks import write_jsonl, write_merged, write_sorted_lines
 
@@ -56,11 +56,13 @@ def unmatched_samples(unmatched: DataFrame, n: int = 5) -> DataFrame:
     return link.prepare_questions(first, normalizer="question")
 
 
-def stored_samples(matched: DataFrame, idx: DataFrame, n: int = 5) -> DataFrame:
-    """The stored originals of the first matched questions in text order; ``idx`` has a row for each key."""
+def stored_samples(matched: DataFrame, keyed: DataFrame, n: int = 5) -> DataFrame:
+    """The stored originals of the first matched questions in text order. Only the
+    records of their (at most ``n``) keys are indexed, not the whole store."""
     first = matched.select("question").distinct().orderBy("question").limit(n)
-    keys = link.prepare_questions(first, normalizer="question").select("key")
-    return idx.join(keys, "key", "left_semi").select("key", "nq_original_question")
+    keys = link.prepare_questions(first, normalizer="question").select("key").distinct()
+    idx = link.corpus_index(keyed.join(F.broadcast(keys), "key", "left_semi"), "ord", ["nq_original_question"], keep="last")
+    return idx.select("key", "nq_original_question")
 
 
 def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mapping[str, Sequence[str] | str],
@@ -68,23 +70,25 @@ def build(spark: SparkSession, corpus_dirs: Sequence[str], question_sets: Mappin
     corpus, corpus_bad = read_corpus(spark, list(corpus_dirs), question_field, path_glob=path_glob, whole=True)
     questions, q_bad = read_questions(spark, question_sets)
     cs = store(link.prepare_corpus(corpus, normalizer="question"))
+    # a key is a normalised text: it is made once and written, for all that looks records up by it
+    keyed = written(cs.select("key", "ord", "_file", "nq_original_question"), "keyed")
     qs = link.prepare_questions(questions, normalizer="question")
     payload = list(STORED) + ["nq_original_question"]
     # question fields of the same names stay in the record; on matched rows the payload replaces them
     qs = qs.select("dataset", "ord", "q_id", "question", "answer", "key", "_line")
-    enriched = cut_lineage(link.exact_merge(qs, cs, "ord", payload, keep="last", how="left"))
+    merged = link.exact_merge(qs, cs, "ord", payload, keep="last", how="left", index=link.key_index(keyed, "ord", keep="last"))
+    enriched = cut_lineage(merged.drop("key"))      # no output has it: it need not travel with the rows
     hit = F.col("win_ord").isNotNull()
     matched_q = enriched.where(hit).select("dataset", "question").distinct()
     unmatched_q = enriched.where(~hit).select("dataset", "question").distinct()
-    idx = link.corpus_index(cs, "ord", ["nq_original_question"], keep="last")
-    norm_samples = cs.orderBy("ord").limit(5).select("key", "nq_original_question")
+    norm_samples = keyed.orderBy("ord").limit(5).select("key", "nq_original_question")
     return {
         "enriched": enriched.select("dataset", "ord", "question", "answer", *payload, hit.alias("matched"), "_line"),
         "unmatched_questions": unmatched_q,
         "matched_questions": matched_q,
         "counts": distinct_counts(enriched, hit),
-        "per_file": records_per_file(cs),
-        "stored_samples": stored_samples(matched_q, idx),
+        "per_file": records_per_file(keyed),
+        "stored_samples": stored_samples(matched_q, keyed),
         "unmatched_samples": unmatched_samples(unmatched_q),
         "normalization_samples": norm_samples,
         "quarantine": corpus_bad.select("_file", "_corrupt_record", "_error")
