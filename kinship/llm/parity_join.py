@@ -111,8 +111,10 @@ _SETS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("doc_id", "th",
 _SHARED = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "first", "s1")])
 #: Words of the short sketch of a set of at most ``SHORT_OF`` elements; twice as many for twice as large sets.
 SHORT, SHORT_OF = 8, 900
-#: Most sets of a key that are compared with each other at once.
-GROUP = 512
+#: Sets of a key from which on it is dealt in blocks, and the most sets of a block.
+GROUP, KEY_BLOCK = 512, 4096
+#: About the bytes of elements that a task gives at once.
+MEMBER_BYTES = 8 << 20
 _KEYS = T.StructType([T.StructField(c, T.LongType()) for c in ("key", "s1")])
 _EDGES = T.StructType([T.StructField(c, T.LongType()) for c in ("a", "b")])
 _MEMBERS = T.StructType([*(T.StructField(c, T.LongType()) for c in ("root", "i", "j", "block", "cid")),
@@ -215,7 +217,7 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by key and set: what several sets share.
 
     Of a key of at most ``GROUP`` sets all rows go on, to be compared. A key of
-    more gives an edge from its first set to every other, as a stream.
+    more gives each other set with its first one, as a stream (``key_blocks``).
     """
     none = np.zeros(0, np.int64)
     held = (none, none)
@@ -260,18 +262,36 @@ def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from close(*held)
 
 
+def key_blocks(shared: DataFrame) -> DataFrame:
+    """``key, s1`` of what is compared: the keys of ``meet``, a large one as a key for each two of its blocks.
+
+    A set that many share a key with by chance (a common line alone in a piece)
+    has few that are similar. Were all of them connected unseen, these keys would
+    make one cluster of a share of all sets that grows with their number.
+    """
+    large = shared.filter("first is not null")
+    large = large.select("key", "s1").unionByName(large.select("key", F.col("first").alias("s1")).distinct())
+    blocks = large.groupBy("key").agg(F.expr(f"(count(*) + {KEY_BLOCK - 1}) div {KEY_BLOCK}").alias("n_blocks"))
+    dealt = (large.join(blocks, "key").withColumn("i", F.pmod(F.xxhash64("s1"), F.col("n_blocks")))
+             .withColumn("j", F.explode(F.expr("sequence(0L, n_blocks - 1)"))).filter("i <> j or n_blocks = 1")
+             .select(F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j")).alias("key"), "s1"))
+    return shared.filter("first is null").select("key", "s1").unionByName(dealt)
+
+
 def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by key, at most ``GROUP`` sets each: edges that connect the
+    """Rows sorted by key, of which a task holds one at a time: edges that connect the
     sets of a key whose short sketches do not rule out that they are similar."""
-    held: pa.Table | None = None
+    held: list[pa.Table] = []
 
     def edges(t: pa.Table) -> pa.RecordBatch:
         key, s1, n = (t[c].to_numpy() for c in ("key", "s1", "n"))
         bits = Sketches(t["bits"].to_pylist())
 
         def near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-            sizes = 100 * np.minimum(n[x], n[y]) >= bands.percent * np.maximum(n[x], n[y])
-            return sizes & (bits.apart(x, y) <= bands.differ(n[x] + n[y]))
+            yes = 100 * np.minimum(n[x], n[y]) >= bands.percent * np.maximum(n[x], n[y])
+            x, y = x[yes], y[yes]
+            yes[yes] = bits.apart(x, y) <= bands.differ(n[x] + n[y])
+            return yes
 
         at = np.flatnonzero(groups(key))
         size = np.diff(np.append(at, len(key)))
@@ -289,7 +309,9 @@ def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Reco
                 while front:
                     x = front.pop()
                     new = np.flatnonzero(~reached)
-                    new = new[near(np.full(len(new), left[x]), left[new])] if len(new) else new
+                    if not len(new):
+                        break
+                    new = new[near(np.full(len(new), left[x]), left[new])]
                     reached[new] = True
                     front += new.tolist()
                     out_a.append(np.full(len(new), s1[left[x]]))
@@ -298,17 +320,19 @@ def compare(batches: Iterator[pa.RecordBatch], bands: Bands) -> Iterator[pa.Reco
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (out_a, out_b)], names=_EDGES.names)
 
     for b in batches:
-        t = pa.Table.from_batches([b])
-        t = pa.concat_tables([held, t]).combine_chunks() if held is not None else t
-        key = t["key"].to_numpy()
+        key = b.column("key").to_numpy()
         if not len(key):
             continue
-        last = int(np.searchsorted(key, key[-1], "left"))
-        held = t.slice(last)
-        if last:
+        t, last = pa.Table.from_batches([b]), int(np.searchsorted(key, key[-1], "left"))
+        if held and (last or held[0]["key"][0].as_py() != key[-1]):
+            yield edges(pa.concat_tables([*held, t.slice(0, last)]).combine_chunks())
+            held, t = [], t.slice(last)
+        elif last:
             yield edges(t.slice(0, last))
-    if held is not None and held.num_rows:
-        yield edges(held)
+            t = t.slice(last)
+        held.append(t)
+    if held:
+        yield edges(pa.concat_tables(held).combine_chunks())
 
 
 def pack(value: np.ndarray) -> bytes:
@@ -428,12 +452,11 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
     shared = materialise(
         d.select("text").mapInArrow(lean(lambda x: key_rows(x, words, bands)), _KEYS)
         .repartition("key").sortWithinPartitions("key", "s1").mapInArrow(lean(meet), _SHARED), "shared")
-    compared = (shared.filter("first is null").select("key", "s1")
+    compared = (key_blocks(shared)
                 .join(small(classes.select("s1", "n", "bits"), max_broadcast), "s1")
                 .select("key", "s1", "n", "bits").repartition("key").sortWithinPartitions("key")
                 .mapInArrow(lean(lambda x: compare(x, bands)), _EDGES))
-    clusters = components(compared.unionByName(
-        shared.filter("first is not null").select(F.col("first").alias("a"), F.col("s1").alias("b"))))
+    clusters = components(compared)
 
     member = classes.join(clusters.withColumnRenamed("node", "s1"), "s1")
     member = materialise(member.select("root", "cid", "n", "rep.doc_id", "rep.th"), "members")
@@ -444,17 +467,26 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, block
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("root", "i", "j", "block", "cid")] + [("items", pa.binary())])
+
+        def rows() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+
         for b in batches:
             for s in slices(b):
                 value, text = shingle_sets(Words(s.column("text").to_pylist()), words)
                 end = np.cumsum(np.bincount(text, minlength=s.num_rows))
-                out = [[] for _ in range(6)]
+                out, held = [[] for _ in range(6)], 0
                 for t, (root, cid, block, n) in enumerate(zip(*(s.column(c).to_pylist() for c in ("root", "cid", "block", "n_blocks")))):
                     items = pack(value[end[t - 1] if t else 0:end[t]])
                     for other in range(n):
                         for c, v in zip(out, (root, min(block, other), max(block, other), block, cid, items)):
                             c.append(v)
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+                        # a set goes to as many tasks as its cluster has blocks: not all at once
+                        held += len(items)
+                        if held >= MEMBER_BYTES:
+                            yield rows()
+                            out, held = [[] for _ in range(6)], 0
+                yield rows()
 
     found = (d.alias("d").join(small(dealt, max_broadcast).alias("m"), F.expr("d.doc_id <=> m.doc_id and d.th = m.th"))
              .select("root", "cid", "block", "n_blocks", "d.text").mapInArrow(lean(deal), _MEMBERS)

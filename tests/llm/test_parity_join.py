@@ -208,3 +208,18 @@ def test_blocks_by_count(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r["doc_id"]: r["component_id"] for r in pj.jaccard_components(df, words=3, percent=80, block_docs=7).collect()}
     assert got == dict.fromkeys(range(40), 0)
+
+
+def test_a_common_line_makes_no_cluster(spark, monkeypatch):
+    """Over 512 texts share a key because a common line is alone in a piece: they are compared, in blocks, not connected unseen."""
+    rng = random.Random(12)
+    tables = {}
+    monkeypatch.setattr(pj, "KEY_BLOCK", 256)
+    monkeypatch.setattr(pj, "materialise", lambda df, what, made=pj.materialise: tables.setdefault(what, made(df, what)))
+    rows = [(i, "one line that all have " + " ".join(f"w{rng.randrange(10 ** 9)}" for _ in range(8))) for i in range(12000)]
+    rows += [(20000 + i, rows[100 * i][1] + " more") for i in range(20)]
+    got = {r.doc_id: r.component_id for r in pj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 100 * (i - 20000) if i >= 20000 else i for i, _ in rows}
+    assert tables["shared"].filter("first is not null").count() > 512
+    clusters = [r["count"] for r in tables["members"].groupBy("root").count().collect()]
+    assert len(clusters) >= 20 and max(clusters) < 10
