@@ -2,14 +2,15 @@
 
 ``build_store`` writes ``sets`` (a record of each distinct keyword set), ``tokens`` (the
 number of each keyword, by frequency), ``coded`` (the sets as numbers, dealt to the
-shares of ``set_cells``) and ``blocks`` (posting lists of each share cut into blocks,
-dealt over folders by share). ``probe`` finds the sets of the store
+shares of ``set_cells``, a file each) and ``blocks`` (posting lists of each share cut into blocks,
+a file for each share, dealt over folders). ``probe`` finds the sets of the store
 that are similar to a batch of questions from these tables alone: the corpus text
 is not read again. The order of the keywords in a set is the store's; keywords that
 the store does not know come first and have no postings.
 
 A share's sets are of one band of sizes, so a question goes to the shares of sizes that
-can be similar enough and meets there the postings of its own keywords only.
+can be similar enough and meets there the postings of its own keywords only. A task reads
+the files of its share: the store is not shuffled for a batch.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.operators.set_cells import Cells, coded, token_numbers
+from kinship.operators.set_cells import Cells, coded, filed, token_numbers
 from kinship.operators.simjoin import prefix_length, with_ids, with_numbers
 from kinship.operators.strategy import written
 
@@ -36,8 +37,7 @@ def build_store(sets: DataFrame, path: str, t: float, folders: int = 16) -> None
     token_numbers(sized.select(F.explode("kw").alias("token"))).write.parquet(f"{path}/tokens")
     codes = coded(sized, _tokens(spark, path))
     cells = Cells.of(codes, t)
-    dealt = cells.dealt(codes)
-    dealt.write.parquet(f"{path}/coded")
+    cells.dealt(codes, f"{path}/coded")
     places = written(_read_coded(spark, path).select("band", "share", "no", F.posexplode(F.slice("codes", F.lit(1), prefix_length(F.col("sz"), t)))
                                                      .alias("place", "code")).withColumn("place", F.col("place") + 1), "places")
     longest = places.groupBy("band", "share", "code").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
@@ -45,7 +45,7 @@ def build_store(sets: DataFrame, path: str, t: float, folders: int = 16) -> None
     blocks = places.groupBy("band", "share", "code", part.alias("part")).agg(F.collect_list(F.struct("no", "place")).alias("p"))
     blocks = blocks.select("band", "share", "code", F.col("p.no").alias("sets"), F.col("p.place").alias("places"),
                            F.pmod(F.xxhash64("band", "share"), F.lit(folders)).alias("folder"))
-    blocks.repartition("folder", "code").write.partitionBy("folder").parquet(f"{path}/blocks")
+    filed(blocks, f"{path}/blocks", "folder", "band", "share")
     shares = ",".join(f"{b}:{n}" for b, n in sorted(cells.shares.items()))
     spark.createDataFrame([(float(t), shares, cells.size)], PostingStore.SETTINGS).coalesce(1).write.parquet(f"{path}/settings")
 
@@ -83,7 +83,7 @@ class PostingStore:
             raise ValueError(f"the store holds prefixes for similarities from {self.t}")
         asked = with_numbers(questions, "lid")
         mine = coded(asked, _tokens(self.spark, self.path))
-        blocks = self.spark.read.schema(self.BLOCKS).parquet(f"{self.path}/blocks").drop("folder")
-        held = _read_coded(self.spark, self.path).unionByName(blocks, allowMissingColumns=True)
+        blocks = self.spark.read.schema(self.BLOCKS).parquet(f"{self.path}/blocks")
+        held = _read_coded(self.spark, self.path)
         rids = self.spark.read.parquet(f"{self.path}/numbers")
-        return with_ids(self.cells.pairs(mine, held, k, t), asked, rids, "lid", "rid")
+        return with_ids(self.cells.pairs(mine, held, k, t, blocks), asked, rids, "lid", "rid")
